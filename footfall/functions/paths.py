@@ -1,30 +1,27 @@
-"""Location and date of a reading's file, from its path."""
+"""Location and date of a reading's file, from the file's path.
 
-from __future__ import annotations
+These run for every row of a text scan, so they cut at separators: a regular
+expression here costs more than parsing the row."""
 
-import posixpath
-import re
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Of the file that a row comes from; every file source has it.
+FILE_PATH = "_metadata.file_path"
 
-def decoded(file_path: Column) -> Column:
-    """``_metadata.file_path`` is percent-encoded, but keeps a literal plus."""
-    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
 
+def decoded(name: Column) -> Column:
+    """Spark percent-encodes metadata paths, but keeps a literal plus."""
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), plain).otherwise(name)
 
-def location_of(path: Column, root: str) -> Column:
-    """Name of the directory right below ``root``; empty for files elsewhere.
 
-    Reads ``<root>/<location>/<file>`` as well as a partitioned
-    ``<root>/location=<location>/file_date=<date>/<file>``."""
-    plain_root = posixpath.normpath(re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", root))
-    below = rf"/\Q{plain_root.strip('/')}\E/(?:location=)?([^/]+)/(?:file_date=[^/]+/)?[^/]+$"
-    return F.regexp_extract(path, below, 1)
+def directory_name(path: Column) -> Column:
+    return decoded(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
 
 
-def file_date_of(path: Column) -> Column:
-    """Date that the file is filed under; null when its name has none."""
-    text = F.regexp_extract(path, r"/(?:file_date=)?(\d{4}-\d{2}-\d{2})(?:\.csv|/[^/]+)$", 1)
-    return text.try_cast("date")
+def file_date(path: Column) -> Column:
+    """Date in a name like ``2024-01-31.csv``; null for other names."""
+    return F.substring_index(F.substring_index(path, "/", -1), ".", 1).try_cast("date")

@@ -139,7 +139,8 @@ DAILY_COLUMNS = "location, date, total_in, total_out, net_flow"
 
 ORACLES: dict[str, str] = {
     # sources
-    "scan_readings": _with("filed", 'SELECT location, "timestamp", "in", "out", file_date FROM filed'),
+    "scan_readings": _with("readings", "SELECT * FROM readings"),
+    "scan_partitioned_readings": _with("filed", 'SELECT location, "timestamp", "in", "out", file_date FROM filed'),
     "device_list": _with("filed", "SELECT DISTINCT location FROM filed"),
     "parse_timestamps": _with(
         "faulty", 'SELECT location, timestamp_text, TRY_CAST(timestamp_text AS TIMESTAMP) AS "timestamp" FROM faulty'

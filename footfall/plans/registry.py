@@ -53,14 +53,25 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.daily_totals(_hourly(spark, sf_dir))
 
 
-def _csv_root(readings: DataFrame) -> str:
+def _csv_tree(readings: DataFrame) -> str:
     root = f"{scratch_dir(readings.sparkSession)}/readings"
     write_csv_tree(readings, root)
     return root
 
 
+def _csv_directories(readings: DataFrame) -> str:
+    """One plain directory per location, here named ``location=<location>``."""
+    root = f"{scratch_dir(readings.sparkSession)}/readings"
+    write_csv_tree(readings, root, ("location",))
+    return root
+
+
+def _location_in_name():
+    return F.substring_index("location", "=", -1).alias("location")
+
+
 def _faulty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_readings(spark, _csv_root(raw_text_readings(spark, sf_dir)))
+    return read_readings(spark, _csv_tree(raw_text_readings(spark, sf_dir)), partitioned=True)
 
 
 def _written_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,13 +85,20 @@ def _written_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def scan_readings(spark, sf_dir):
-    rows = read_readings(spark, _csv_root(filed_readings(spark, sf_dir)))
+    rows = read_readings(spark, _csv_directories(filed_readings(spark, sf_dir)))
+    return rows.select(_location_in_name(), "timestamp", "in", "out")
+
+
+@_query
+def scan_partitioned_readings(spark, sf_dir):
+    rows = read_readings(spark, _csv_tree(filed_readings(spark, sf_dir)), partitioned=True)
     return rows.select("location", "timestamp", "in", "out", "file_date")
 
 
 @_query
 def device_list(spark, sf_dir):
-    return list_locations(spark, _csv_root(filed_readings(spark, sf_dir)))
+    locations = list_locations(spark, _csv_directories(filed_readings(spark, sf_dir)))
+    return locations.select(_location_in_name())
 
 
 @_query
@@ -359,7 +377,7 @@ def incremental_equals_batch(spark, sf_dir):
     on_time = F.col("file_date") == F.to_date("timestamp")
     for arrived in (readings.where(on_time), readings.where(~on_time)):
         write_csv_tree(arrived, f"{out}/in")
-        start_ingest(spark, f"{out}/in", f"{out}/tables").awaitTermination()
+        start_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True).awaitTermination()
     return tables.read_hourly(spark, f"{out}/tables/hourly")
 
 

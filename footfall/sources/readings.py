@@ -1,12 +1,19 @@
-"""Raw readings from a directory tree of CSV files, one directory per location."""
+"""Raw readings from a directory tree of CSV files.
+
+Two layouts are read, each with one scan for all locations: plain directories,
+``<root>/<location>/<date>.csv``, and the partitioned one that Spark itself writes,
+``<root>/location=<location>/file_date=<date>/<file>.csv``."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from footfall.functions.paths import decoded, file_date_of, location_of
+from footfall.functions.paths import FILE_PATH, decoded, directory_name, file_date
 from footfall.functions.time import parse_timestamp
 from footfall.model import CORRUPT, CSV_READING
 
@@ -15,10 +22,13 @@ class NoReadingsError(RuntimeError):
     """The input directory has no location directories."""
 
 
-# Applies to the batch and the streaming reader.
-TREE_OPTIONS = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+# Every name below the root that does not end in ".csv": the location directories, but
+# not a stray file beside them. Their listing is spread over the executors.
+LOCATION_DIRECTORIES = "{*[!v],*[!s]v,*[!c]sv,*[!.]csv,v,sv,csv}"
+
+CSV_FILES = {"pathGlobFilter": "*.csv"}
 CSV_OPTIONS = {
-    **TREE_OPTIONS,
+    **CSV_FILES,
     "header": True,
     # Compare every header with the schema. The default binds by position and
     # would silently swap the counts of a file with reordered columns.
@@ -28,41 +38,24 @@ CSV_OPTIONS = {
     # not depend on the columns a later query happens to use.
     "columnPruning": False,
 }
+PARTITION_COLUMNS = [T.StructField("location", T.StringType()), T.StructField("file_date", T.DateType())]
 
 
-def _locations_glob(root: str) -> str:
-    return f"{root.rstrip('/')}/*"
-
-
-def _tag(raw: DataFrame, root: str) -> DataFrame:
-    path = decoded(F.col("_metadata.file_path"))
-    location = location_of(path, root)
-    return raw.where(location != "").select(
-        location.alias("location"),
-        parse_timestamp(F.col("timestamp")).alias("timestamp"),
-        "in",
-        "out",
-        file_date_of(path).alias("file_date"),
-        path.alias("file"),
-        F.col("timestamp").alias("timestamp_text"),
-        F.col(CORRUPT).alias("malformed_line"),
-    )
-
-
-def read_readings(spark: SparkSession, root: str) -> DataFrame:
-    """All readings below ``root`` in one scan, whatever the number of locations.
+def read_readings(spark: SparkSession, root: str, *, partitioned: bool = False) -> DataFrame:
+    """All readings below ``root``.
 
     Columns: location, timestamp, in, out; where the row came from (file_date, file);
     and for the rejects the timestamp as written (timestamp_text) and the whole line
     where it did not fit the schema (malformed_line)."""
-    reader = spark.read.schema(CSV_READING).options(**CSV_OPTIONS)
-    return _tag(_existing(lambda: reader.csv(_locations_glob(root)), root), root)
+    reader = spark.read.schema(_schema(partitioned)).options(**CSV_OPTIONS)
+    return _tagged(_found(lambda: reader.csv(_paths(root, partitioned)), root), partitioned)
 
 
 def stream_readings(
     spark: SparkSession,
     root: str,
     *,
+    partitioned: bool = False,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
     max_file_age: str = "36500d",
@@ -72,25 +65,25 @@ def stream_readings(
     Spark ignores files older than ``max_file_age`` against the newest one it has
     seen; its default of a week would drop a sensor's late upload, hence the long
     default here."""
-    reader = spark.readStream.schema(CSV_READING).options(**CSV_OPTIONS)
+    reader = spark.readStream.schema(_schema(partitioned)).options(**CSV_OPTIONS)
     reader = reader.option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     elif max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return _tag(reader.csv(_locations_glob(root)), root)
+    return _tagged(reader.csv(_paths(root, partitioned)), partitioned)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per CSV file: location, file_date, path, bytes. Comes from the file
-    listing alone, no content is read."""
-    reader = spark.read.format("binaryFile").options(**TREE_OPTIONS)
-    files = _existing(lambda: reader.load(_locations_glob(root)), root)
-    location = location_of(F.col("path"), root)
-    return files.where(location != "").select(
-        location.alias("location"),
-        file_date_of(F.col("path")).alias("file_date"),
-        "path",
+    """One row per CSV file of the plain layout: location, file_date, file, bytes. Comes
+    from the file listing alone, no content is read."""
+    reader = spark.read.format("binaryFile").options(**CSV_FILES)
+    files = _found(lambda: reader.load(_paths(root, partitioned=False)), root)
+    path = F.col(FILE_PATH)
+    return files.select(
+        directory_name(path).alias("location"),
+        file_date(path).alias("file_date"),
+        decoded(path).alias("file"),
         F.col("length").alias("bytes"),
     )
 
@@ -99,23 +92,44 @@ def list_locations(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).select("location").distinct()
 
 
-def write_csv_tree(readings: DataFrame, root: str) -> None:
-    """Add location, file_date, timestamp, in, out to a tree that ``read_readings``
-    reads back, as new files. The rebalance keeps a directory to few files and
-    still splits a location that holds much of the data."""
+def write_csv_tree(readings: DataFrame, root: str, partition_by: tuple[str, ...] = ("location", "file_date")) -> None:
+    """Add timestamp, in, out to a partitioned tree, as new files. The rebalance keeps a
+    directory to few files and still splits a location that holds much of the data."""
     (
-        readings.select("location", "file_date", "timestamp", "in", "out")
-        .hint("rebalance", "location", "file_date")
+        readings.select(*partition_by, "timestamp", "in", "out")
+        .hint("rebalance", *partition_by)
         .write.mode("append")
         .option("header", True)
         # The writer's default format cuts microseconds.
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        .partitionBy("location", "file_date")
+        .partitionBy(*partition_by)
         .csv(root)
     )
 
 
-def _existing(load, root: str) -> DataFrame:
+def _schema(partitioned: bool) -> T.StructType:
+    return T.StructType(CSV_READING.fields + PARTITION_COLUMNS) if partitioned else CSV_READING
+
+
+def _paths(root: str, partitioned: bool) -> str:
+    return root if partitioned else f"{root.rstrip('/')}/{LOCATION_DIRECTORIES}"
+
+
+def _tagged(raw: DataFrame, partitioned: bool) -> DataFrame:
+    path = F.col(FILE_PATH)
+    return raw.select(
+        F.col("location") if partitioned else directory_name(path).alias("location"),
+        parse_timestamp(F.col("timestamp")).alias("timestamp"),
+        "in",
+        "out",
+        F.col("file_date") if partitioned else file_date(path).alias("file_date"),
+        decoded(path).alias("file"),
+        F.col("timestamp").alias("timestamp_text"),
+        F.col(CORRUPT).alias("malformed_line"),
+    )
+
+
+def _found(load: Callable[[], DataFrame], root: str) -> DataFrame:
     try:
         return load()
     except AnalysisException as error:

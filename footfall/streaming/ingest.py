@@ -56,6 +56,7 @@ def start_ingest(
     root: str,
     out: str,
     *,
+    partitioned: bool = False,
     rules: Iterable[str] = (BAD_TIMESTAMP,),
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = BATCH_BYTES,
@@ -63,7 +64,11 @@ def start_ingest(
     """Load all new files below ``root`` into the tables below ``out``, then stop. The
     limits only cut a large backlog into batches; every file is loaded in some batch."""
     stream = stream_readings(
-        spark, root, max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger
+        spark,
+        root,
+        partitioned=partitioned,
+        max_files_per_trigger=max_files_per_trigger,
+        max_bytes_per_trigger=max_bytes_per_trigger,
     )
     rules = tuple(rules)
     return (
