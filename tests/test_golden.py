@@ -1,0 +1,97 @@
+"""The whole path from CSV files to both tables on a hand-checked input."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import fixture_rows as fx
+import pytest
+
+from footfall.operators import lookups, monitoring, profiling
+from footfall.operators.cleansing import fill_missing
+from footfall.operators.totals import daily_totals, hourly_occupancy, sorted_daily, sorted_hourly
+from footfall.plans.batch import run_batch
+from footfall.sinks.tables import read_daily, read_hourly
+from footfall.sources.readings import read_readings
+
+
+@pytest.fixture
+def readings(spark, tree):
+    return read_readings(spark, tree(fx.FILES))
+
+
+def test_hourly_and_daily(readings):
+    hourly = hourly_occupancy(fill_missing(readings))
+    assert fx.hourly_tuples(hourly) == fx.HOURLY
+    assert fx.daily_tuples(daily_totals(hourly)) == fx.DAILY
+
+
+def test_sorted_outputs(readings):
+    hourly = hourly_occupancy(fill_missing(readings))
+    assert [(r.location, r.hour) for r in sorted_hourly(hourly).collect()] == [row[:2] for row in fx.HOURLY]
+    assert [(r.location, r.date) for r in sorted_daily(daily_totals(hourly)).collect()] == [r[:2] for r in fx.DAILY]
+
+
+def test_batch_run(spark, readings, tmp_path):
+    run = run_batch(readings, str(tmp_path / "out"))
+    assert fx.hourly_tuples(read_hourly(spark, run.out + "/hourly")) == fx.HOURLY
+    assert fx.daily_tuples(read_daily(spark, run.out + "/daily")) == fx.DAILY
+    rows = {stage: n for stage, n, _ in run.stages}
+    assert rows == {"raw": 9, "rejected": 0, "profiled": 9, "cleaned": 9, "hourly": 7, "daily": 4}
+    profile = spark.read.parquet(run.out + "/profile").first()
+    assert (profile.total_rows, profile.duplicates, profile.null_in, profile.null_out) == (9, 0, 0, 1)
+    assert (profile.min_in, profile.max_in, profile.min_out, profile.max_out) == (0, 10, 0, 6)
+    assert profile.earliest == dt.datetime(2024, 3, 1, 7) and profile.latest == dt.datetime(2024, 3, 2, 23, 59, 59)
+
+
+def test_null_percentage(readings):
+    found = profiling.null_percentages(readings.select("location", "timestamp", "in", "out")).collect()
+    assert [tuple(r) for r in found] == [("out", 1, 11.1)]
+
+
+def test_misfiled(readings):
+    found = monitoring.misfiled_readings(readings).collect()
+    assert [tuple(r) for r in found] == [("south", dt.date(2024, 3, 2), dt.date(2024, 3, 1), 1, 2, 3)]
+
+
+def test_progress_counts_files(readings):
+    found = {r.location: (r.last_timestamp, r.files, r.rows) for r in monitoring.device_progress(readings).collect()}
+    assert found == {
+        "north": (dt.datetime(2024, 3, 2, 23, 59, 59), 2, 6),
+        "south": (dt.datetime(2024, 3, 2, 12), 2, 3),
+    }
+
+
+def test_lookups(readings):
+    hourly = hourly_occupancy(fill_missing(readings))
+    found = lookups.hourly_lookup(hourly, "north", "2024-03-01").collect()
+    assert [(r.hour_display, r.occupancy) for r in found] == [("07:00", 7), ("09:00", -2)]
+    assert lookups.hourly_lookup(hourly, "east", "2024-03-01").count() == 0
+    assert tuple(lookups.day_summary(hourly, "south", "2024-03-01").first()) == (12, 4)
+    assert tuple(lookups.day_summary(hourly, "east", "2024-03-01").first()) == (0, 0)
+    assert [r.date.day for r in lookups.available_dates(hourly).collect()] == [1, 2]
+    side_by_side = lookups.device_comparison(hourly, ["north", "south"], "2024-03-01").collect()
+    assert [(r.hour.hour, r.north_occupancy, r.south_occupancy) for r in side_by_side] == [
+        (7, 7, 9),
+        (8, None, 8),
+        (9, -2, None),
+    ]
+    assert [tuple(r) for r in lookups.in_out_split(hourly, "2024-03-02").collect()] == [("north", 3, 1), ("south", 5, 5)]
+
+
+def test_dashboard(readings):
+    hourly = hourly_occupancy(fill_missing(readings))
+    first = lookups.dashboard(hourly, ["north", "east"])
+    assert first.selected_date.first().date == dt.date(2024, 3, 1)
+    assert [(r.location, r.hour_display) for r in first.hours.collect()] == [("north", "07:00"), ("north", "09:00")]
+    assert [tuple(r) for r in first.summary.collect()] == [("east", 0, 0), ("north", 9, 11)]
+    chosen = lookups.dashboard(hourly, ["south"], "2024-03-02")
+    assert chosen.selected_date.first().date == dt.date(2024, 3, 2)
+    assert [tuple(r) for r in chosen.summary.collect()] == [("south", 5, 5)]
+
+
+def test_dashboard_without_data(readings):
+    nothing = lookups.dashboard(hourly_occupancy(fill_missing(readings.where("false"))), ["north"])
+    assert nothing.dates.count() == 0
+    assert nothing.selected_date.first().date is None
+    assert [tuple(r) for r in nothing.summary.collect()] == [("north", 0, 0)]

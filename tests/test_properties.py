@@ -1,0 +1,90 @@
+"""Laws that hold for any readings."""
+
+from __future__ import annotations
+
+import datetime as dt
+import tempfile
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from footfall.model import READING
+from footfall.operators.cleansing import fill_missing
+from footfall.operators.profiling import duplicate_counts, profile_report
+from footfall.operators.rejects import flag_with_duplicates
+from footfall.operators.totals import daily_totals, hourly_occupancy
+from footfall.sinks.tables import read_hourly
+from footfall.streaming.ingest import load_batch
+
+few = settings(
+    max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+counts = st.one_of(st.none(), st.integers(0, 50))
+times = st.datetimes(dt.datetime(2024, 2, 28), dt.datetime(2024, 3, 2))
+reading = st.tuples(st.sampled_from(["a", "b", "c"]), times, counts, counts)
+readings = st.lists(reading, max_size=40).flatmap(
+    lambda rows: st.lists(st.sampled_from(rows), max_size=5).map(lambda again: rows + again) if rows else st.just(rows)
+)
+
+
+def total(df):
+    r = df.agg(F.coalesce(F.sum("total_in"), F.lit(0)), F.coalesce(F.sum("total_out"), F.lit(0))).first()
+    return tuple(r)
+
+
+def expected_hourly(rows):
+    sums = {}
+    for location, when, came, left in rows:
+        hour = sums.setdefault((location, when.replace(minute=0, second=0, microsecond=0)), [0, 0])
+        hour[0] += came or 0
+        hour[1] += left or 0
+    result, running = [], {}
+    for (location, hour), (came, left) in sorted(sums.items()):
+        day = (location, hour.date())
+        running[day] = running.get(day, 0) + came - left
+        result.append((location, hour, came, left, running[day]))
+    return result
+
+
+def found_hourly(df):
+    return sorted((r.location, r.hour, r.total_in, r.total_out, r.occupancy) for r in df.collect())
+
+
+@few
+@given(rows=readings)
+def test_totals(spark, rows):
+    df = fill_missing(spark.createDataFrame(rows, READING))
+    hourly = hourly_occupancy(df)
+    daily = daily_totals(hourly)
+    assert found_hourly(hourly) == expected_hourly(rows)
+    assert total(hourly) == total(daily) == (sum(r[2] or 0 for r in rows), sum(r[3] or 0 for r in rows))
+    last = hourly.groupBy("location", "date").agg(F.max_by("occupancy", "hour").alias("net_flow"))
+    assert sorted(last.collect()) == sorted(daily.select("location", "date", "net_flow").collect())
+
+
+@few
+@given(rows=readings)
+def test_duplicates(spark, rows):
+    df = spark.createDataFrame(rows, READING)
+    found = duplicate_counts(df).first()
+    assert tuple(found) == (len(rows), len(set(rows)), len(rows) - len(set(rows)))
+    report = profile_report(df).first()
+    assert (report.null_in, report.null_out) == (sum(r[2] is None for r in rows), sum(r[3] is None for r in rows))
+    assert report.max_in == max((r[2] for r in rows if r[2] is not None), default=None)
+    flagged = flag_with_duplicates(df, ())
+    assert flagged.where("size(reject_reasons) = 0").count() == len(set(rows))
+    assert (flagged.agg(F.sum("copies")).first()[0] or 0) == len(rows)
+
+
+@settings(few, max_examples=4)
+@given(rows=readings, data=st.data())
+def test_any_split_into_batches(spark, rows, data):
+    batch_of = data.draw(st.lists(st.integers(0, 2), min_size=len(rows), max_size=len(rows)))
+    out = tempfile.mkdtemp(prefix="footfall-test-")
+    for number in range(3):
+        part = [row for row, b in zip(rows, batch_of) if b == number]
+        batch = spark.createDataFrame(part, READING).withColumn("file", F.lit("f"))
+        load_batch(batch, number, out)
+    if rows:
+        assert found_hourly(read_hourly(spark, f"{out}/hourly")) == expected_hourly(rows)

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from footfall.operators import rejects
+from footfall.sources.readings import read_readings
+
+HEADER = "timestamp,in,out\n"
+FILES = {
+    "a/2024-03-05.csv": HEADER
+    + "2024-03-05T01:00:00,1,0\n"
+    + "2024-03-05T01:00:00,1,0\n"
+    + "yesterday,1,0\n"
+    + "2024-03-05T02:00:00,-1,abc\n"
+    + "2024-03-05T03:00:00,,\n",
+    "a/2024-03-06.csv": HEADER + "2024-03-05T01:00:00,1,0\nyesterday,1,0\n",
+}
+
+
+@pytest.fixture
+def readings(spark, tree):
+    return read_readings(spark, tree(FILES))
+
+
+def test_row_rules(readings):
+    flagged = rejects.flag_readings(readings)
+    found = sorted((r.timestamp_text, r.reject_reasons) for r in rejects.rejected(flagged).collect())
+    assert found == [
+        ("2024-03-05T02:00:00", ["malformed", "negative"]),
+        ("yesterday", ["bad_timestamp"]),
+        ("yesterday", ["bad_timestamp"]),
+    ]
+    assert rejects.valid(flagged).count() == 4
+
+
+def test_no_rules_reject_nothing(readings):
+    assert rejects.rejected(rejects.flag_readings(readings, ())).count() == 0
+
+
+def test_unknown_rule(readings):
+    with pytest.raises(ValueError):
+        rejects.flag_readings(readings, ["nonsense"])
+
+
+def test_duplicates_across_files(readings):
+    flagged = rejects.flag_with_duplicates(readings)
+    found = sorted((r.timestamp_text, r.reject_reasons, r.copies) for r in rejects.rejected(flagged).collect())
+    assert found == [
+        ("2024-03-05T01:00:00", ["duplicate"], 2),
+        ("2024-03-05T02:00:00", ["malformed", "negative"], 1),
+        ("yesterday", ["bad_timestamp"], 1),
+        ("yesterday", ["bad_timestamp", "duplicate"], 1),
+    ]
+    kept = sorted(r.timestamp for r in rejects.valid(flagged).collect())
+    assert kept == [dt.datetime(2024, 3, 5, 1), dt.datetime(2024, 3, 5, 3)]
+    assert {r.file_date for r in flagged.collect()} == {dt.date(2024, 3, 5)}
+
+
+def test_no_copy_is_lost(readings):
+    flagged = rejects.flag_with_duplicates(readings)
+    assert flagged.agg({"copies": "sum"}).first()[0] == readings.count()
+
+
+def test_rate_counts_copies(spark, readings):
+    by_row = rejects.rejection_rate(rejects.flag_readings(readings), 0.4).first()
+    assert (by_row.total_rows, by_row.rejected_rows, by_row.alert) == (7, 3, True)
+    with_copies = rejects.rejection_rate(rejects.flag_with_duplicates(readings), 0.9).first()
+    assert (with_copies.total_rows, with_copies.rejected_rows, with_copies.alert) == (7, 5, False)
