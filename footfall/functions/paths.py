@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Of the file that a row comes from; every file source has it.
+# Of the file that a row comes from; every file source has them.
 FILE_PATH = "_metadata.file_path"
+FILE_NAME = "_metadata.file_name"
 
 
 def decoded(name: Column) -> Column:
@@ -22,6 +23,6 @@ def directory_name(path: Column) -> Column:
     return decoded(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
 
 
-def file_date(path: Column) -> Column:
-    """Date in a name like ``2024-01-31.csv``; null for other names."""
-    return F.substring_index(F.substring_index(path, "/", -1), ".", 1).try_cast("date")
+def file_date(name: Column) -> Column:
+    """Date in a file name like ``2024-01-31.csv``; null for other names."""
+    return F.substring_index(name, ".", 1).try_cast("date")

@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 COUNT_COLUMNS = ("in", "out")
 
+# Where a reading came from. No part of what it says: the same reading in two files
+# is a duplicate.
+PROVENANCE = ("file_date", "file")
+
 # What a CSV file holds. The timestamp stays text until it is parsed, so that a
 # bad one can be shown in the rejects.
 CSV_READING = T.StructType(

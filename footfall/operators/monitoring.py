@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.model import PROVENANCE
+
 
 def misfiled_readings(readings: DataFrame) -> DataFrame:
     """Rows and counts per location, file date and event date where the two dates
@@ -21,18 +23,19 @@ def misfiled_readings(readings: DataFrame) -> DataFrame:
     )
 
 
-def device_progress(readings: DataFrame, file_column: str = "file") -> DataFrame:
+def device_progress(readings: DataFrame) -> DataFrame:
     """Per location: latest timestamp, files and rows. Reporting only; which files
     were read is the ingest's own ledger, as a late reading may be older than this
     timestamp.
 
     Files are counted by grouping twice, which shuffles one row per file and task
     where a distinct count would first double the rows."""
-    per_file = readings.groupBy("location", file_column).agg(
+    origin = [c for c in PROVENANCE if c in readings.columns]
+    per_file = readings.groupBy("location", *origin).agg(
         F.max("timestamp").alias("last_timestamp"), F.count("*").alias("rows")
     )
     return per_file.groupBy("location").agg(
         F.max("last_timestamp").alias("last_timestamp"),
-        F.count(file_column).alias("files"),
+        F.count("*").alias("files"),
         F.sum("rows").alias("rows"),
     )

@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.model import PROVENANCE
+
 
 BAD_TIMESTAMP = "bad_timestamp"
 MALFORMED = "malformed"
@@ -20,10 +22,6 @@ DUPLICATE = "duplicate"
 
 ROW_RULES = (BAD_TIMESTAMP, MALFORMED, NEGATIVE)
 
-# Where a reading came from is no part of what it says: the same reading in two
-# files is a duplicate.
-PROVENANCE = ("file_date", "file")
-
 
 def _rule(name: str) -> Column:
     if name == BAD_TIMESTAMP:

@@ -286,9 +286,10 @@ ORACLES: dict[str, str] = {
     ),
     "rejected_readings": _with(
         "judged",
-        """SELECT location, timestamp_text, "in", "out", reject_reasons, count(*) AS copies
+        """SELECT location, "timestamp", CASE WHEN "timestamp" IS NULL THEN timestamp_text END AS timestamp_text,
+                  "in", "out", reject_reasons, count(*) AS copies
            FROM judged WHERE reject_reasons <> ''
-           GROUP BY location, timestamp_text, in_text, out_text, "in", "out", reject_reasons""",
+           GROUP BY location, "timestamp", judged.timestamp_text, in_text, out_text, "in", "out", reject_reasons""",
     ),
     "valid_readings": _with("valid", "SELECT * FROM valid"),
     "rejection_rate": _with(

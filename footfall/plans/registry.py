@@ -322,7 +322,13 @@ def misfiled_readings(spark, sf_dir):
 def rejected_readings(spark, sf_dir):
     flagged = rejects.flag_with_duplicates(_faulty_readings(spark, sf_dir))
     return rejects.rejected(flagged).select(
-        "location", "timestamp_text", "in", "out", F.array_join("reject_reasons", ",").alias("reject_reasons"), "copies"
+        "location",
+        "timestamp",
+        "timestamp_text",
+        "in",
+        "out",
+        F.array_join("reject_reasons", ",").alias("reject_reasons"),
+        "copies",
     )
 
 
@@ -339,7 +345,7 @@ def rejection_rate(spark, sf_dir):
 
 @_query
 def device_progress(spark, sf_dir):
-    return monitoring.device_progress(filed_readings(spark, sf_dir), "file_date")
+    return monitoring.device_progress(filed_readings(spark, sf_dir))
 
 
 @_query

@@ -17,7 +17,7 @@ DEFAULT_CONF = {
     # Lets AQE cut an over-full partition before a partitioned write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Target size of a written partition: fewer, larger files than the 64 MB default.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
 }
 

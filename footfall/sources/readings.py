@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.functions.paths import FILE_PATH, decoded, directory_name, file_date
+from footfall.functions.paths import FILE_NAME, FILE_PATH, decoded, directory_name, file_date
 from footfall.functions.time import parse_timestamp
 from footfall.model import CORRUPT, CSV_READING
 
@@ -44,9 +44,10 @@ PARTITION_COLUMNS = [T.StructField("location", T.StringType()), T.StructField("f
 def read_readings(spark: SparkSession, root: str, *, partitioned: bool = False) -> DataFrame:
     """All readings below ``root``.
 
-    Columns: location, timestamp, in, out; where the row came from (file_date, file);
-    and for the rejects the timestamp as written (timestamp_text) and the whole line
-    where it did not fit the schema (malformed_line)."""
+    Columns: location, timestamp, in, out; where the row came from (file_date, file); and
+    what could not be read: the text of a bad timestamp (timestamp_text) and a line that
+    does not fit the schema (malformed_line). The last two are null for good rows, so
+    that keeping them costs next to nothing."""
     reader = spark.read.schema(_schema(partitioned)).options(**CSV_OPTIONS)
     return _tagged(_found(lambda: reader.csv(_paths(root, partitioned)), root), partitioned)
 
@@ -79,11 +80,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     from the file listing alone, no content is read."""
     reader = spark.read.format("binaryFile").options(**CSV_FILES)
     files = _found(lambda: reader.load(_paths(root, partitioned=False)), root)
-    path = F.col(FILE_PATH)
+    name = F.col(FILE_NAME)
     return files.select(
-        directory_name(path).alias("location"),
-        file_date(path).alias("file_date"),
-        decoded(path).alias("file"),
+        directory_name(F.col(FILE_PATH)).alias("location"),
+        file_date(name).alias("file_date"),
+        decoded(name).alias("file"),
         F.col("length").alias("bytes"),
     )
 
@@ -116,15 +117,16 @@ def _paths(root: str, partitioned: bool) -> str:
 
 
 def _tagged(raw: DataFrame, partitioned: bool) -> DataFrame:
-    path = F.col(FILE_PATH)
+    name = F.col(FILE_NAME)
+    timestamp = parse_timestamp(F.col("timestamp"))
     return raw.select(
-        F.col("location") if partitioned else directory_name(path).alias("location"),
-        parse_timestamp(F.col("timestamp")).alias("timestamp"),
+        F.col("location") if partitioned else directory_name(F.col(FILE_PATH)).alias("location"),
+        timestamp.alias("timestamp"),
         "in",
         "out",
-        F.col("file_date") if partitioned else file_date(path).alias("file_date"),
-        decoded(path).alias("file"),
-        F.col("timestamp").alias("timestamp_text"),
+        F.col("file_date") if partitioned else file_date(name).alias("file_date"),
+        decoded(name).alias("file"),
+        F.when(timestamp.isNull(), F.col("timestamp")).alias("timestamp_text"),
         F.col(CORRUPT).alias("malformed_line"),
     )
 

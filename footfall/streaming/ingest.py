@@ -42,6 +42,7 @@ PART = T.StructType(
 STAGED = T.StructType(
     [
         *READING.fields,
+        T.StructField("file_date", T.DateType()),
         T.StructField("file", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("date", T.DateType()),
