@@ -4,22 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from footfall.operators.contract import require_not_null
+from footfall.operators.contract import require_not_null, require_schema
 
 BATCH_ROWS = 1000
 
 
+def serving_schema(contract: T.StructType) -> T.StructType:
+    """The contract in the database's types: 32-bit counts and plain timestamps."""
+    types = {T.LongType(): T.IntegerType(), T.TimestampNTZType(): T.TimestampType()}
+    return T.StructType([T.StructField(f.name, types.get(f.dataType, f.dataType), False) for f in contract.fields])
+
+
 def serving_columns(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """The contract's columns in the database's types: 32-bit counts, where a value too
-    large fails the job instead of wrapping, and a plain timestamp."""
-    casts = {T.LongType(): "int", T.TimestampNTZType(): "timestamp"}
+    """The contract's columns, cast for the database. A count too large for it fails the
+    job instead of wrapping."""
     checked = require_not_null(df, contract)
-    return checked.select(
-        *[checked[f.name].cast(casts.get(f.dataType, f.dataType)).alias(f.name) for f in contract.fields]
-    )
+    return checked.select(*[checked[f.name].cast(f.dataType).alias(f.name) for f in serving_schema(contract).fields])
+
+
+def check_targets(spark: SparkSession, url: str, tables: Mapping[str, T.StructType], **extra: str) -> None:
+    """Compare the database's tables with their contracts before a run. Reads their
+    schemas only; an unreachable database or a missing table fails here as well. The
+    surrogate key ``id``, which the database fills itself, may be there."""
+    found = {}
+    for table in tables:
+        options = {"url": url, "dbtable": table, **extra}
+        found[table] = spark.read.format("jdbc").options(**options).load().drop("id").schema
+    require_schema(found, {table: serving_schema(contract) for table, contract in tables.items()})
 
 
 def jdbc_options(url: str, table: str, connections: int = 8, extra: Mapping[str, str] | None = None) -> dict[str, str]:
