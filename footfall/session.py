@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets AQE cut an over-full partition before a partitioned write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Many sensor files are small. Packing more of them into a task keeps the number of
+    # tasks, and of files that a map-only write leaves, in proportion to the data.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "1m",
     # Target size of a written partition: fewer, larger files than the 64 MB default.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
