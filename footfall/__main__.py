@@ -7,6 +7,8 @@ import datetime as dt
 import logging
 import sys
 
+from pyspark.sql import functions as F
+
 from footfall.model import DAILY, HOURLY
 from footfall.operators.contract import ContractError
 from footfall.operators.gates import QualityGateError
@@ -16,11 +18,14 @@ from footfall.plans.batch import DEFAULT_RULES, Gates, run_batch
 from footfall.session import build_session
 from footfall.sinks import jdbc
 from footfall.sinks.tables import read_daily, read_hourly
-from footfall.sources.readings import NoReadingsError, read_readings
+from footfall.sources.readings import NoReadingsError, list_files, read_readings
 from footfall.streaming.ingest import start_ingest
 
 logger = logging.getLogger("footfall")
 
+# Shortest line of a reading, to estimate their number from the size of the files.
+BYTES_PER_LINE = len("2024-01-01T00:00:00,0,0\n")
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="footfall", description="Totals and occupancy from people counts.")
@@ -53,12 +58,16 @@ def batch(spark, args) -> None:
     if args.jdbc_url:
         # Before any data is read: a wrong address or table ends the run here.
         jdbc.check_targets(spark, args.jdbc_url, tables)
+    expected = 0
+    if args.drop_duplicates and not args.partitioned:
+        expected = (list_files(spark, args.input).agg(F.sum("bytes")).first()[0] or 0) // BYTES_PER_LINE
     run = run_batch(
         read_readings(spark, args.input, partitioned=args.partitioned),
         args.output,
         rules=ROW_RULES if args.strict else DEFAULT_RULES,
         drop_duplicates=args.drop_duplicates,
         gates=Gates(args.max_null_rate, args.min_rows, args.max_age_hours, args.as_of),
+        expected_rows=expected,
     )
     if args.jdbc_url:
         written = {

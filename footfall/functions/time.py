@@ -20,7 +20,8 @@ def hour_bucket(ts: Column) -> Column:
 
 
 def hour_label(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm")
+    """``HH:mm``, likewise without the session zone."""
+    return F.format_string("%02d:%02d", F.hour(ts), F.minute(ts))
 
 
 def hours_between(start: Column, end: Column) -> Column:

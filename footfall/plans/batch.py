@@ -19,6 +19,7 @@ from footfall.operators.gates import gate_max_age, gate_min_rows, gate_null_rate
 from footfall.operators.profiling import profile_report
 from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected
 from footfall.operators.totals import daily_totals, hourly_occupancy
+from footfall.session import sized_shuffles
 from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly
 
 logger = logging.getLogger(__name__)
@@ -69,12 +70,14 @@ def run_batch(
     rules: Iterable[str] = DEFAULT_RULES,
     drop_duplicates: bool = False,
     gates: Gates | None = None,
+    expected_rows: int = 0,
 ) -> BatchRun:
     """Writes below ``out``: readings (valid and rejected), profile, gates, hourly and
     daily. ``out`` is the folder of this run; a failed run leaves others untouched.
 
     The source is parsed once. Profile, gates and totals read the staged Parquet
-    columns, and the daily totals only the hourly table."""
+    columns, and the daily totals only the hourly table. Shuffles are sized by the number
+    of rows staged; ``expected_rows`` sizes the one that dropping duplicates needs before."""
     spark = readings.sparkSession
     run = BatchRun(out)
     clock = time.monotonic()
@@ -85,25 +88,27 @@ def run_batch(
         run.stages.append((stage, rows, now - clock))
         clock = now
 
-    staged, total, bad = stage_readings(readings, f"{out}/readings", rules, drop_duplicates)
+    with sized_shuffles(spark, expected_rows):
+        staged, total, bad = stage_readings(readings, f"{out}/readings", rules, drop_duplicates)
     done("raw", total)
     done("rejected", bad)
 
-    weight = ["copies"] if drop_duplicates else []
-    profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
-    done("profiled", total)
-
-    clean = staged.where(F.col("status") == "valid").select(*READING.names)
-    checks = gates.check(clean) if gates else []
-    if checks:
-        reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
-        require_passed(spark.read.parquet(f"{out}/gates"))
-    done("cleaned", total - bad)
-
-    run.loads.append(write_hourly(hourly_occupancy(fill_missing(clean)), f"{out}/hourly"))
-    done("hourly", run.loads[-1].rows)
-    run.loads.append(write_daily(daily_totals(read_hourly(spark, f"{out}/hourly")), f"{out}/daily"))
-    done("daily", run.loads[-1].rows)
+    with sized_shuffles(spark, total):
+        weight = ["copies"] if drop_duplicates else []
+        profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
+        done("profiled", total)
+
+        clean = staged.where(F.col("status") == "valid").select(*READING.names)
+        checks = gates.check(clean) if gates else []
+        if checks:
+            reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
+            require_passed(spark.read.parquet(f"{out}/gates"))
+        done("cleaned", total - bad)
+
+        run.loads.append(write_hourly(hourly_occupancy(fill_missing(clean)), f"{out}/hourly"))
+        done("hourly", run.loads[-1].rows)
+        run.loads.append(write_daily(daily_totals(read_hourly(spark, f"{out}/hourly")), f"{out}/daily"))
+        done("daily", run.loads[-1].rows)
     return run
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,16 +27,31 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# One shuffle partition per this many input bytes. Map-side aggregation shrinks
-# the exchange well below the input, AQE merges what is left.
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+# A shuffled reading takes about 64 bytes in memory, so a partition of this many fits
+# beside others in an executor.
+ROWS_PER_SHUFFLE_PARTITION = 4_000_000
+# More partitions cost more in bookkeeping and tiny blocks than they save; beyond this
+# the aggregation spills.
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
-def shuffle_partitions(input_bytes: int, total_cores: int) -> int:
-    """Initial shuffle partition count for an input size: at least two waves of
-    cores, and enough that a partition stays in executor memory."""
-    by_size = -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    return max(2 * total_cores, by_size)
+def shuffle_partitions(rows: int, configured: int) -> int:
+    """Shuffle partitions for a number of rows, never fewer than configured. AQE only
+    merges partitions, so the number has to be large enough before the job."""
+    wanted = -(-rows // ROWS_PER_SHUFFLE_PARTITION)
+    return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside shuffle into enough partitions for ``rows`` readings."""
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    spark.conf.set(key, str(shuffle_partitions(rows, int(configured))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
 
 
 def build_session(

@@ -29,6 +29,7 @@ from footfall.operators.dates import MAX_LISTED_DATES, listed_dates
 from footfall.operators.monitoring import device_progress
 from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, is_rejected
 from footfall.operators.totals import daily_totals, hourly_totals, with_net_flow, with_occupancy
+from footfall.session import sized_shuffles
 from footfall.sinks.tables import write_daily, write_hourly, write_partitions
 from footfall.sources.readings import stream_readings
 
@@ -89,17 +90,22 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, rules: Iterable[str] =
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
     keys = ("status", "date", "batch_id")
-    if not write_partitions(staged, f"{out}/readings", keys, ("location", "timestamp"), replace=True):
-        return
+    rows = write_partitions(staged, f"{out}/readings", keys, ("location", "timestamp"), replace=True)
+    if rows:
+        with sized_shuffles(spark, rows):
+            load_staged(spark, batch_id, out)
 
-    # Read back, so that the files are parsed once. The pattern lists the days, not
-    # the partitions of all batches.
+
+def load_staged(spark: SparkSession, batch_id: int, out: str) -> None:
+    """Read a batch back, so that its files are parsed once, and load it. The patterns
+    list the days, not the partitions of all batches."""
+    number = F.lit(batch_id).cast("bigint").alias("batch_id")
     rows = _partitions(spark, STAGED, f"{out}/readings", f"status=*/date=*/batch_id={batch_id}")
-    progress = device_progress(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    progress = device_progress(rows).select("*", number)
     write_partitions(progress, f"{out}/progress", ("batch_id",), replace=True)
 
     valid = fill_missing(rows.where(F.col("status") == "valid"))
-    parts = hourly_totals(valid).withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*PART.names)
+    parts = hourly_totals(valid).select("*", number).select(*PART.names)
     if write_partitions(parts, f"{out}/hourly_parts", ("date", "batch_id"), ("location", "hour"), replace=True):
         new = _partitions(spark, PART, f"{out}/hourly_parts", f"date=*/batch_id={batch_id}")
         merge_dates(spark, new.select("date").distinct(), out)

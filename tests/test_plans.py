@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import lookups, profiling
 from footfall.plans.registry import QUERIES
-from footfall.session import scratch_dir, shuffle_partitions
+from footfall.session import scratch_dir, shuffle_partitions, sized_shuffles
 from footfall.sources.readings import read_readings
 
 
@@ -94,6 +94,14 @@ def test_scratch_dir_follows_the_session(spark):
     assert one.startswith(base) and one != two
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    assert shuffle_partitions(0, 8) == 16
-    assert shuffle_partitions(100 * 10**12, 4000) > 100_000
+def test_shuffle_partitions_grow_with_the_rows(spark):
+    assert shuffle_partitions(0, 200) == 200
+    assert shuffle_partitions(4_000_000_001, 200) == 1001
+    assert shuffle_partitions(10**13, 200) == 32_768
+    assert shuffle_partitions(10**13, 50_000) == 50_000
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), sized_shuffles(spark, 10**9):
+        assert spark.conf.get(key) == "250"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
