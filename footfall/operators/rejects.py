@@ -8,6 +8,8 @@ one task, as numbering its copies would."""
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +36,14 @@ def _rule(name: str) -> Column:
 
 
 def row_reasons(rules: Iterable[str]) -> Column:
-    """Names of the rules that a row breaks, in the order of ``rules``."""
-    broken = [F.when(_rule(name), F.lit(name)) for name in rules]
-    return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    """Names of the rules that a row breaks, in the order of ``rules``. The list is only
+    put together for a row that breaks any."""
+    none = F.array().cast("array<string>")
+    broken = {name: _rule(name) for name in rules}
+    if not broken:
+        return none
+    names = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in broken.items()]))
+    return F.when(reduce(or_, broken.values()), names).otherwise(none)
 
 
 def flag_readings(readings: DataFrame, rules: Iterable[str] = ROW_RULES) -> DataFrame:

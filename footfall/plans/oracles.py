@@ -17,7 +17,7 @@ from footfall.plans.registry import (
 
 # Named subqueries, each with the ones it needs before it.
 _PARTS = {
-    "delivered": "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 100 = 7",
+    "delivered": "SELECT *, unnest(CASE WHEN event_id % 100 = 7 THEN [1, 2] ELSE [1] END) AS delivery FROM events",
     "filed": """
         SELECT 'device_' || chr(CAST(65 + user_id % 8 AS INTEGER)) AS location,
                ts AS "timestamp",

@@ -20,7 +20,7 @@ from footfall.session import scratch_dir
 from footfall.sinks import tables
 from footfall.sources.events import event_readings, filed_readings, raw_text_readings
 from footfall.sources.feeds import union_feeds
-from footfall.sources.readings import list_locations, read_readings, write_csv_tree
+from footfall.sources.readings import list_locations, parse_lines, read_readings, write_csv_tree
 from footfall.streaming.ingest import start_ingest
 
 # Fixed parameters of the registered queries.
@@ -71,7 +71,9 @@ def _location_in_name():
 
 
 def _faulty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_readings(spark, _csv_tree(raw_text_readings(spark, sf_dir)), partitioned=True)
+    fields = [F.coalesce(c, F.lit("")) for c in ("timestamp", "in", "out")]
+    line = F.concat_ws(",", *fields).alias("line")
+    return parse_lines(raw_text_readings(spark, sf_dir).select("location", "file_date", line))
 
 
 def _written_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,9 +352,8 @@ def device_progress(spark, sf_dir):
 
 @_query
 def stage_row_counts(spark, sf_dir):
-    run = run_batch(
-        _faulty_readings(spark, sf_dir), scratch_dir(spark), rules=rejects.ROW_RULES, drop_duplicates=True
-    )
+    readings = read_readings(spark, _csv_tree(raw_text_readings(spark, sf_dir)), partitioned=True)
+    run = run_batch(readings, scratch_dir(spark), rules=rejects.ROW_RULES, drop_duplicates=True)
     return run.metrics(spark).select("stage", "rows")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +27,19 @@ class NoReadingsError(RuntimeError):
 LOCATION_DIRECTORIES = "{*[!v],*[!s]v,*[!c]sv,*[!.]csv,v,sv,csv}"
 
 CSV_FILES = {"pathGlobFilter": "*.csv"}
+PARSE_OPTIONS = {
+    "columnNameOfCorruptRecord": CORRUPT,
+    # Parse whole rows always, so that whether a row counts as malformed does
+    # not depend on the columns a later query happens to use.
+    "columnPruning": "false",
+}
 CSV_OPTIONS = {
     **CSV_FILES,
-    "header": True,
+    **PARSE_OPTIONS,
+    "header": "true",
     # Compare every header with the schema. The default binds by position and
     # would silently swap the counts of a file with reordered columns.
-    "enforceSchema": False,
-    "columnNameOfCorruptRecord": CORRUPT,
-    # Parse whole rows always, so that whether a row counts as malformed does
-    # not depend on the columns a later query happens to use.
-    "columnPruning": False,
+    "enforceSchema": "false",
 }
 PARTITION_COLUMNS = [T.StructField("location", T.StringType()), T.StructField("file_date", T.DateType())]
 
@@ -52,6 +55,16 @@ def read_readings(spark: SparkSession, root: str, *, partitioned: bool = False)
     return _tagged(_found(lambda: reader.csv(_paths(root, partitioned)), root), partitioned)
 
 
+def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """The same for CSV lines held in a column, as a table or a message feed has them. The
+    other columns are kept."""
+    parsed = F.from_csv(line, CSV_READING.toDDL(), PARSE_OPTIONS)
+    others = [c for c in lines.columns if c != line]
+    return lines.select(*others, parsed.alias("reading")).select(
+        *others, *_parsed(*[f"reading.{name}" for name in CSV_READING.names])
+    )
+
+
 def stream_readings(
     spark: SparkSession,
     root: str,
@@ -118,19 +131,24 @@ def _paths(root: str, partitioned: bool) -> str:
 
 def _tagged(raw: DataFrame, partitioned: bool) -> DataFrame:
     name = F.col(FILE_NAME)
-    timestamp = parse_timestamp(F.col("timestamp"))
+    location = F.col("location") if partitioned else directory_name(F.col(FILE_PATH))
+    filed = F.col("file_date") if partitioned else file_date(name)
     return raw.select(
-        F.col("location") if partitioned else directory_name(F.col(FILE_PATH)).alias("location"),
-        timestamp.alias("timestamp"),
-        "in",
-        "out",
-        F.col("file_date") if partitioned else file_date(name).alias("file_date"),
-        decoded(name).alias("file"),
-        F.when(timestamp.isNull(), F.col("timestamp")).alias("timestamp_text"),
-        F.col(CORRUPT).alias("malformed_line"),
+        location.alias("location"), filed.alias("file_date"), decoded(name).alias("file"), *_parsed(*CSV_READING.names)
     )
 
 
+def _parsed(timestamp: str, came: str, left: str, line: str) -> list[Column]:
+    time = parse_timestamp(F.col(timestamp))
+    return [
+        time.alias("timestamp"),
+        F.col(came).alias("in"),
+        F.col(left).alias("out"),
+        F.when(time.isNull(), F.col(timestamp)).alias("timestamp_text"),
+        F.col(line).alias("malformed_line"),
+    ]
+
+
 def _found(load: Callable[[], DataFrame], root: str) -> DataFrame:
     try:
         return load()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.time import hour_bucket, parse_timestamp
 from footfall.sources.feeds import union_feeds
-from footfall.sources.readings import NoReadingsError, list_files, list_locations, read_readings
+from footfall.sources.readings import NoReadingsError, list_files, list_locations, parse_lines, read_readings
 
 HEADER = "timestamp,in,out\n"
 
@@ -82,6 +82,9 @@ def test_malformed_lines_are_kept_and_told_from_empty_counts(spark, tree, line,
     # Also when the query uses other columns only.
     assert df.select("in", "malformed_line").first().malformed_line == (line if malformed else None)
     assert df.count() == 1
+    columns = ["location", "timestamp", "in", "out", "timestamp_text", "malformed_line"]
+    lines = spark.createDataFrame([("a", line)], "location string, line string")
+    assert rows(parse_lines(lines), *columns) == rows(df, *columns)
 
 
 @pytest.mark.parametrize(
