@@ -30,12 +30,17 @@ def rows_of_dates(table: DataFrame, dates: DataFrame, listed: list[dt.date] | No
     return table.where(F.col("date").isin(listed)) if listed else table.where(F.lit(False))
 
 
+def readings_between(readings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Readings from the first through the last day, as bounds that reach the scan. Totals
+    and occupancy of whole days need no others."""
+    start = F.lit(first).cast("timestamp_ntz")
+    end = F.lit(last + dt.timedelta(days=1)).cast("timestamp_ntz")
+    return readings.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+
+
 def readings_of_dates(readings: DataFrame, dates: DataFrame, listed: list[dt.date] | None) -> DataFrame:
-    """Readings whose event date is among ``dates``. Listed days also bound the timestamp,
-    which the scan can use to skip row groups."""
+    """Readings whose event date is among ``dates``."""
     if listed:
-        first = F.lit(listed[0]).cast("timestamp_ntz")
-        after = F.lit(listed[-1] + dt.timedelta(days=1)).cast("timestamp_ntz")
-        readings = readings.where((F.col("timestamp") >= first) & (F.col("timestamp") < after))
+        readings = readings_between(readings, listed[0], listed[-1])
     dated = readings.withColumn("date", F.to_date("timestamp"))
     return rows_of_dates(dated, dates, listed).drop("date")

@@ -14,7 +14,7 @@ from footfall.functions.time import hour_bucket, parse_timestamp
 from footfall.model import HOURLY
 from footfall.operators import contract, gates, lookups, monitoring, profiling, rejects, totals, trends
 from footfall.operators.cleansing import cleanse_counts, fill_missing
-from footfall.operators.dates import touched_dates
+from footfall.operators.dates import readings_between, touched_dates
 from footfall.plans.batch import rebuild_dates, run_batch
 from footfall.session import scratch_dir
 from footfall.sinks import tables
@@ -53,6 +53,12 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.daily_totals(_hourly(spark, sf_dir))
 
 
+def _hourly_of(spark: SparkSession, sf_dir: str, first: str, last: str) -> DataFrame:
+    """For lookups without a written table: only the days asked for are totalled."""
+    days = (dt.date.fromisoformat(first), dt.date.fromisoformat(last))
+    return totals.hourly_occupancy(fill_missing(readings_between(event_readings(spark, sf_dir), *days)))
+
+
 def _csv_tree(readings: DataFrame) -> str:
     root = f"{scratch_dir(readings.sparkSession)}/readings"
     write_csv_tree(readings, root)
@@ -279,27 +285,28 @@ def default_date(spark, sf_dir):
 
 @_query
 def hourly_lookup(spark, sf_dir):
-    return lookups.hourly_lookup(_hourly(spark, sf_dir), LOCATIONS[0], DAY)
+    return lookups.hourly_lookup(_hourly_of(spark, sf_dir, DAY, DAY), LOCATIONS[0], DAY)
 
 
 @_query
 def day_summary(spark, sf_dir):
-    return lookups.day_summary(_hourly(spark, sf_dir), LOCATIONS[0], DAY)
+    return lookups.day_summary(_hourly_of(spark, sf_dir, DAY, DAY), LOCATIONS[0], DAY)
 
 
 @_query
 def device_comparison(spark, sf_dir):
-    return lookups.device_comparison(_hourly(spark, sf_dir), LOCATIONS, DAY)
+    return lookups.device_comparison(_hourly_of(spark, sf_dir, DAY, DAY), LOCATIONS, DAY)
 
 
 @_query
 def in_out_split(spark, sf_dir):
-    return lookups.in_out_split(_hourly(spark, sf_dir), DAY)
+    return lookups.in_out_split(_hourly_of(spark, sf_dir, DAY, DAY), DAY)
 
 
 @_query
 def daily_lookup(spark, sf_dir):
-    return lookups.daily_lookup(_daily(spark, sf_dir), DAY, LAST_DAY, LOCATIONS)
+    daily = totals.daily_totals(_hourly_of(spark, sf_dir, DAY, LAST_DAY))
+    return lookups.daily_lookup(daily, DAY, LAST_DAY, LOCATIONS)
 
 
 @_query

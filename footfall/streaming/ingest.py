@@ -7,7 +7,7 @@ hold older ones.
 A micro-batch is written in three steps, each replacing its own partitions, so that a
 batch run again after a failure changes nothing:
 
-1. ``readings``: the batch's rows by status, event date and batch.
+1. ``readings``: the batch's rows by batch, status and event date.
 2. ``hourly_parts``: the batch's share of each hourly total, by date and batch.
 3. ``hourly`` and ``daily``: the days the batch touched, summed over all their parts.
 
@@ -45,9 +45,9 @@ STAGED = T.StructType(
         *READING.fields,
         T.StructField("file_date", T.DateType()),
         T.StructField("file", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
 PROGRESS = "location string, last_timestamp timestamp_ntz, files bigint, rows bigint, batch_id bigint"
@@ -89,7 +89,7 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, rules: Iterable[str] =
         F.to_date("timestamp").alias("date"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
-    keys = ("status", "date", "batch_id")
+    keys = ("batch_id", "status", "date")
     rows = write_partitions(staged, f"{out}/readings", keys, ("location", "timestamp"), replace=True)
     if rows:
         with sized_shuffles(spark, rows):
@@ -97,18 +97,17 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, rules: Iterable[str] =
 
 
 def load_staged(spark: SparkSession, batch_id: int, out: str) -> None:
-    """Read a batch back, so that its files are parsed once, and load it. The patterns
-    list the days, not the partitions of all batches."""
+    """Read a batch back, so that its files are parsed once, and load it. Only the batch's
+    own folder is listed, and below only the folders of its days."""
     number = F.lit(batch_id).cast("bigint").alias("batch_id")
-    rows = _partitions(spark, STAGED, f"{out}/readings", f"status=*/date=*/batch_id={batch_id}")
+    rows = _partitions(spark, STAGED, f"{out}/readings", f"batch_id={batch_id}")
     progress = device_progress(rows).select("*", number)
     write_partitions(progress, f"{out}/progress", ("batch_id",), replace=True)
 
-    valid = fill_missing(rows.where(F.col("status") == "valid"))
-    parts = hourly_totals(valid).select("*", number).select(*PART.names)
+    valid = rows.where(F.col("status") == "valid")
+    parts = hourly_totals(fill_missing(valid)).select("*", number).select(*PART.names)
     if write_partitions(parts, f"{out}/hourly_parts", ("date", "batch_id"), ("location", "hour"), replace=True):
-        new = _partitions(spark, PART, f"{out}/hourly_parts", f"date=*/batch_id={batch_id}")
-        merge_dates(spark, new.select("date").distinct(), out)
+        merge_dates(spark, valid.select("date").distinct(), out)
 
 
 def merge_dates(spark: SparkSession, dates: DataFrame, out: str, limit: int = MAX_LISTED_DATES) -> None:
@@ -137,8 +136,8 @@ def read_progress(spark: SparkSession, out: str) -> DataFrame:
     )
 
 
-def _partitions(spark: SparkSession, schema: T.StructType, table: str, *patterns: str) -> DataFrame:
-    paths = [f"{table}/{p}" for p in patterns]
+def _partitions(spark: SparkSession, schema: T.StructType, table: str, *folders: str) -> DataFrame:
+    paths = [f"{table}/{folder}" for folder in folders]
     return spark.read.schema(schema).option("basePath", table).parquet(*paths)
 
 
