@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Up to this many days are listed on the driver and become a literal filter, which
@@ -16,31 +14,36 @@ def touched_dates(readings: DataFrame) -> DataFrame:
     return readings.select(F.to_date("timestamp").alias("date")).where("date is not null").distinct()
 
 
-def listed_dates(dates: DataFrame, limit: int = MAX_LISTED_DATES) -> list[dt.date] | None:
-    """The days in order, or None when there are more than ``limit``."""
-    found = [row.date for row in dates.limit(limit + 1).collect()]
+def listed_dates(dates: DataFrame, limit: int = MAX_LISTED_DATES) -> list[str] | None:
+    """The days as text, or None when there are more than ``limit``. Text, because a faulty
+    clock may give a year that Python's dates cannot hold."""
+    found = [row.date for row in dates.select(F.col("date").cast("string")).limit(limit + 1).collect()]
     return sorted(found) if len(found) <= limit else None
 
 
-def rows_of_dates(table: DataFrame, dates: DataFrame, listed: list[dt.date] | None) -> DataFrame:
+def rows_of_dates(table: DataFrame, dates: DataFrame, listed: list[str] | None) -> DataFrame:
     """Rows of a table whose ``date`` is among ``dates``; ``listed`` are the same days as
     ``listed_dates`` gives them."""
     if listed is None:
         return table.join(dates, "date", "left_semi")
-    return table.where(F.col("date").isin(listed)) if listed else table.where(F.lit(False))
+    return table.where(F.col("date").isin(_days(listed))) if listed else table.where(F.lit(False))
 
 
-def readings_between(readings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+def readings_between(readings: DataFrame, first: Column, last: Column) -> DataFrame:
     """Readings from the first through the last day, as bounds that reach the scan. Totals
     and occupancy of whole days need no others."""
-    start = F.lit(first).cast("timestamp_ntz")
-    end = F.lit(last + dt.timedelta(days=1)).cast("timestamp_ntz")
+    start, end = first.cast("timestamp_ntz"), F.date_add(last, 1).cast("timestamp_ntz")
     return readings.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
 
 
-def readings_of_dates(readings: DataFrame, dates: DataFrame, listed: list[dt.date] | None) -> DataFrame:
+def readings_of_dates(readings: DataFrame, dates: DataFrame, listed: list[str] | None) -> DataFrame:
     """Readings whose event date is among ``dates``."""
     if listed:
-        readings = readings_between(readings, listed[0], listed[-1])
+        days = F.array(*_days(listed))
+        readings = readings_between(readings, F.array_min(days), F.array_max(days))
     dated = readings.withColumn("date", F.to_date("timestamp"))
     return rows_of_dates(dated, dates, listed).drop("date")
+
+
+def _days(listed: list[str]) -> list[Column]:
+    return [F.lit(day).cast("date") for day in listed]

@@ -116,7 +116,8 @@ def _profile(by: str = "") -> str:
     nulls = [c for c in ("location", "timestamp", "in", "out") if c != by]
     null_counts = ", ".join(f'count(*) FILTER ("{c}" IS NULL) AS null_{c}' for c in nulls)
     key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
-    join = f"JOIN distinct_rows USING ({by})" if by else "CROSS JOIN distinct_rows"
+    distinct = f"(SELECT {key}count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM readings){group})"
+    join = f"JOIN {distinct} USING ({by})" if by else f"CROSS JOIN {distinct}"
     return _with(
         "readings",
         f"""SELECT totals.*, distinct_rows, total_rows - distinct_rows AS duplicates
@@ -124,7 +125,7 @@ def _profile(by: str = "") -> str:
                          min("in") AS min_in, max("in") AS max_in, min("out") AS min_out, max("out") AS max_out,
                          min("timestamp") AS earliest, max("timestamp") AS latest
                   FROM readings{group}) AS totals
-            {join.replace("distinct_rows", f"(SELECT {key}count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM readings){group})", 1)}""",
+            {join}""",
     )
 
 
@@ -360,6 +361,7 @@ ORACLES: dict[str, str] = {
     "trailing_avg": _with(
         "daily",
         """SELECT location, date, avg(total_in) OVER last_days AS avg_in, avg(total_out) OVER last_days AS avg_out
-           FROM daily WINDOW last_days AS (PARTITION BY location ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+           FROM daily
+           WINDOW last_days AS (PARTITION BY location ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     ),
 }

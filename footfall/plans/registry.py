@@ -55,7 +55,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hourly_of(spark: SparkSession, sf_dir: str, first: str, last: str) -> DataFrame:
     """For lookups without a written table: only the days asked for are totalled."""
-    days = (dt.date.fromisoformat(first), dt.date.fromisoformat(last))
+    days = [F.lit(day).cast("date") for day in (first, last)]
     return totals.hourly_occupancy(fill_missing(readings_between(event_readings(spark, sf_dir), *days)))
 
 

@@ -38,7 +38,10 @@ from footfall.sources.readings import stream_readings
 BATCH_BYTES = 1024**4
 
 PART = T.StructType(
-    [HOURLY[c] for c in ("location", "hour", "total_in", "total_out", "date")] + [T.StructField("batch_id", T.LongType())]
+    [
+        *[HOURLY[name] for name in ("location", "hour", "total_in", "total_out", "date")],
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
 STAGED = T.StructType(
     [
@@ -141,7 +144,9 @@ def _partitions(spark: SparkSession, schema: T.StructType, table: str, *folders:
     return spark.read.schema(schema).option("basePath", table).parquet(*paths)
 
 
-def _of_dates(spark: SparkSession, schema: T.StructType, table: str, dates: DataFrame, listed: list | None) -> DataFrame:
+def _of_dates(
+    spark: SparkSession, schema: T.StructType, table: str, dates: DataFrame, listed: list[str] | None
+) -> DataFrame:
     """The table's rows of some days; listed days name their directories, so that the
     listing does not grow with the table."""
     if listed is not None:

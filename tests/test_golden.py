@@ -76,7 +76,8 @@ def test_lookups(readings):
         (8, None, 8),
         (9, -2, None),
     ]
-    assert [tuple(r) for r in lookups.in_out_split(hourly, "2024-03-02").collect()] == [("north", 3, 1), ("south", 5, 5)]
+    split = lookups.in_out_split(hourly, "2024-03-02").collect()
+    assert [tuple(r) for r in split] == [("north", 3, 1), ("south", 5, 5)]
 
 
 def test_dashboard(readings):

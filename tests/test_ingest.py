@@ -6,7 +6,8 @@ import fixture_rows as fx
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.operators.dates import listed_dates
+from footfall.operators.dates import listed_dates, touched_dates
+from footfall.plans.batch import rebuild_dates
 from footfall.sinks.tables import read_daily, read_hourly
 from footfall.sources.readings import read_readings
 from footfall.streaming import ingest
@@ -79,3 +80,20 @@ def test_merging_more_days_than_are_listed(spark, tree, tmp_path, limit):
     assert (listed_dates(dates, limit) is None) == (limit < 2)
     ingest.merge_dates(spark, dates, out, limit)
     check(spark, out)
+
+
+def test_a_faulty_clock_does_not_stop_the_ingest(spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    years = ["0001-01-01", "1969-12-31", "2024-03-05", "9999-12-31", "+12024-01-01"]
+    lines = "".join(f"{day}T23:00:00,1,0\n" for day in years)
+    run(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n" + lines}), out)
+    found = read_hourly(spark, f"{out}/hourly").select(F.col("date").cast("string").alias("d"), "total_in").collect()
+    assert sorted(r.d for r in found) == sorted(years) and {r.total_in for r in found} == {1}
+
+
+def test_rebuilding_from_the_ingested_readings(spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, tree(fx.FILES), out, max_files_per_trigger=2)
+    readings = spark.read.parquet(f"{out}/readings").where("status = 'valid'").drop("date")
+    rebuild_dates(readings, touched_dates(readings), out)
+    check(spark, out)

@@ -10,8 +10,10 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from footfall.operators import lookups, profiling
+from footfall.operators.dates import readings_of_dates, touched_dates
 from footfall.plans.registry import QUERIES
 from footfall.session import scratch_dir, shuffle_partitions, sized_shuffles
+from footfall.sources.events import event_readings
 from footfall.sources.readings import read_readings
 
 
@@ -51,7 +53,15 @@ def test_lookup_prunes_partitions_and_pushes_the_location(spark):
 
 
 def test_retention_prunes_partitions(spark):
-    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= 2024-01-20", plan(QUERIES["retention_filter"](spark, TESTDATA)))
+    text = plan(QUERIES["retention_filter"](spark, TESTDATA))
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= 2024-01-20", text)
+
+
+def test_days_become_bounds_in_the_scan(spark):
+    readings = event_readings(spark, TESTDATA)
+    listed = ["2024-01-03", "2024-01-09", "2024-01-07"]
+    text = plan(readings_of_dates(readings, touched_dates(readings), listed))
+    assert "GreaterThanOrEqual(ts,2024-01-03T00:00), LessThan(ts,2024-01-10T00:00)" in text
 
 
 def test_the_only_broadcast_is_one_row(spark):

@@ -46,9 +46,8 @@ def test_unknown_rule(readings):
 
 def test_duplicates_across_files(readings):
     flagged = rejects.flag_with_duplicates(readings)
-    found = sorted(
-        (str(r.timestamp), r.timestamp_text or "", r.reject_reasons, r.copies) for r in rejects.rejected(flagged).collect()
-    )
+    rows = rejects.rejected(flagged).collect()
+    found = sorted((str(r.timestamp), r.timestamp_text or "", r.reject_reasons, r.copies) for r in rows)
     assert found == [
         ("2024-03-05 01:00:00", "", ["duplicate"], 2),
         ("2024-03-05 02:00:00", "", ["malformed", "negative"], 1),

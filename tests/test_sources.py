@@ -108,7 +108,11 @@ def test_parse_timestamp(spark, text, expected):
 
 def test_hour_bucket_does_not_depend_on_the_session_zone(spark):
     """02:30 does not exist in Paris on the day the clocks change."""
-    times = [dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 10, 27, 2, 59, 59, 999999), dt.datetime(1969, 7, 20, 20, 17)]
+    times = [
+        dt.datetime(2024, 3, 31, 2, 30),
+        dt.datetime(2024, 10, 27, 2, 59, 59, 999999),
+        dt.datetime(1969, 7, 20, 20, 17),
+    ]
     spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
     try:
         df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
