@@ -1,16 +1,16 @@
-"""Quality gates: one row per check with its value, threshold and outcome."""
+"""Quality gates: one row per check with its value, threshold and outcome.
+
+They work on ``totals.hourly_facts``, which is small, not on the readings."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.time import hours_between
 from footfall.model import COUNT_COLUMNS
-from footfall.operators.profiling import null_counts
 
 
 class QualityGateError(RuntimeError):
@@ -27,27 +27,28 @@ def _gate(df: DataFrame, gate: str, key: Column, value: Column, threshold: float
     )
 
 
-def gate_null_rate(readings: DataFrame, max_rate: float, columns: Iterable[str] = COUNT_COLUMNS) -> DataFrame:
-    """Share of nulls per column, at most ``max_rate``. No rows means no nulls."""
-    rate = F.coalesce(F.try_divide(F.col("nulls"), F.col("total_rows")), F.lit(0.0))
-    counted = null_counts(readings.select(*columns))
-    return _gate(counted, "null_rate", F.col("column"), rate, max_rate, rate <= max_rate)
+def gate_null_rate(facts: DataFrame, max_rate: float) -> DataFrame:
+    """Share of missing counts per column, at most ``max_rate``. No rows, none missing."""
+    counted = facts.agg(F.sum("readings").alias("n"), *[F.sum(f"missing_{c}").alias(c) for c in COUNT_COLUMNS])
+    per_column = [F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in COUNT_COLUMNS]
+    rate = F.coalesce(F.try_divide(F.col("nulls"), F.col("n")), F.lit(0.0))
+    rows = counted.select("n", F.inline(F.array(*per_column)))
+    return _gate(rows, "null_rate", F.col("column"), rate, max_rate, rate <= max_rate)
 
 
-def gate_min_rows(readings: DataFrame, min_rows: int) -> DataFrame:
-    """Rows per location and day, at least ``min_rows``. A day without any reading
+def gate_min_rows(facts: DataFrame, min_rows: int) -> DataFrame:
+    """Readings per location and day, at least ``min_rows``. A day without any reading
     has no row here; the age gate sees a sensor that went silent."""
-    per_day = readings.groupBy("location", F.to_date("timestamp").alias("date")).agg(F.count("*").alias("n"))
+    per_day = facts.groupBy("location", F.to_date("hour").alias("date")).agg(F.sum("readings").alias("n"))
     key = F.concat_ws("/", "location", F.col("date").cast("string"))
     return _gate(per_day, "min_rows", key, F.col("n"), min_rows, F.col("n") >= min_rows)
 
 
-def gate_max_age(readings: DataFrame, as_of: dt.datetime, max_hours: float) -> DataFrame:
+def gate_max_age(facts: DataFrame, as_of: dt.datetime, max_hours: float) -> DataFrame:
     """Hours from a location's latest reading to ``as_of``, at most ``max_hours``."""
-    latest = readings.groupBy("location").agg(F.max("timestamp").alias("latest"))
+    latest = facts.groupBy("location").agg(F.max("latest").alias("latest"))
     age = hours_between(F.col("latest"), F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
-    passed = F.coalesce(age <= max_hours, F.lit(False))
-    return _gate(latest, "max_age", F.col("location"), age, max_hours, passed)
+    return _gate(latest, "max_age", F.col("location"), age, max_hours, F.coalesce(age <= max_hours, F.lit(False)))
 
 
 def require_passed(gates: DataFrame, shown: int = 20) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.time import hour_bucket
+from footfall.model import COUNT_COLUMNS
 
 
 def hourly_totals(readings: DataFrame) -> DataFrame:
@@ -20,7 +21,19 @@ def hourly_totals(readings: DataFrame) -> DataFrame:
     return with_net_flow(per_hour)
 
 
+def hourly_facts(readings: DataFrame) -> DataFrame:
+    """Per location and hour all that totals and quality gates need, from readings whose
+    missing counts are not filled yet: one pass over them serves both."""
+    return readings.groupBy("location", hour_bucket(F.col("timestamp")).alias("hour")).agg(
+        *[F.sum(F.coalesce(c, F.lit(0))).alias(f"total_{c}") for c in COUNT_COLUMNS],
+        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in COUNT_COLUMNS],
+        F.count("*").alias("readings"),
+        F.max("timestamp").alias("latest"),
+    )
+
+
 def with_net_flow(per_hour: DataFrame) -> DataFrame:
+    """The columns of hourly totals from sums per location and hour."""
     return per_hour.select(
         "location",
         "hour",

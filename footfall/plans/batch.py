@@ -18,7 +18,7 @@ from footfall.operators.dates import listed_dates, readings_of_dates, rows_of_da
 from footfall.operators.gates import gate_max_age, gate_min_rows, gate_null_rate, require_passed
 from footfall.operators.profiling import profile_report
 from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected
-from footfall.operators.totals import daily_totals, hourly_occupancy
+from footfall.operators.totals import daily_totals, hourly_facts, hourly_occupancy, with_net_flow, with_occupancy
 from footfall.session import sized_shuffles
 from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly
 
@@ -38,16 +38,16 @@ class Gates:
     max_age_hours: float | None = None
     as_of: dt.datetime | None = None
 
-    def check(self, readings: DataFrame) -> list[DataFrame]:
+    def check(self, facts: DataFrame) -> list[DataFrame]:
         checks = []
         if self.max_null_rate is not None:
-            checks.append(gate_null_rate(readings, self.max_null_rate))
+            checks.append(gate_null_rate(facts, self.max_null_rate))
         if self.min_rows is not None:
-            checks.append(gate_min_rows(readings, self.min_rows))
+            checks.append(gate_min_rows(facts, self.min_rows))
         if self.max_age_hours is not None:
             if self.as_of is None:
                 raise ValueError("the age gate needs as_of")
-            checks.append(gate_max_age(readings, self.as_of, self.max_age_hours))
+            checks.append(gate_max_age(facts, self.as_of, self.max_age_hours))
         return checks
 
 
@@ -72,11 +72,13 @@ def run_batch(
     gates: Gates | None = None,
     expected_rows: int = 0,
 ) -> BatchRun:
-    """Writes below ``out``: readings (valid and rejected), profile, gates, hourly and
-    daily. ``out`` is the folder of this run; a failed run leaves others untouched.
+    """Writes below ``out``: readings (valid and rejected), profile, hourly_facts, gates,
+    hourly and daily. ``out`` is the folder of this run; a failed run leaves others
+    untouched.
 
-    The source is parsed once. Profile, gates and totals read the staged Parquet
-    columns, and the daily totals only the hourly table. Shuffles are sized by the number
+    The source is parsed once and the staged Parquet read twice, for the profile and for
+    the hourly facts. Gates and hourly totals come from the facts, daily totals from the
+    hourly table. Shuffles are sized by the number
     of rows staged; ``expected_rows`` sizes the one that dropping duplicates needs before."""
     spark = readings.sparkSession
     run = BatchRun(out)
@@ -98,14 +100,17 @@ def run_batch(
         profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
         done("profiled", total)
 
-        clean = staged.where(F.col("status") == "valid").select(*READING.names)
-        checks = gates.check(clean) if gates else []
+        facts = hourly_facts(staged.where(F.col("status") == "valid"))
+        facts.write.parquet(f"{out}/hourly_facts")
+        facts = spark.read.schema(facts.schema).parquet(f"{out}/hourly_facts")
+        done("cleaned", total - bad)
+
+        checks = gates.check(facts) if gates else []
         if checks:
             reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
             require_passed(spark.read.parquet(f"{out}/gates"))
-        done("cleaned", total - bad)
 
-        run.loads.append(write_hourly(hourly_occupancy(fill_missing(clean)), f"{out}/hourly"))
+        run.loads.append(write_hourly(with_occupancy(with_net_flow(facts)), f"{out}/hourly"))
         done("hourly", run.loads[-1].rows)
         run.loads.append(write_daily(daily_totals(read_hourly(spark, f"{out}/hourly")), f"{out}/daily"))
         done("daily", run.loads[-1].rows)

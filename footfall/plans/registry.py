@@ -364,19 +364,23 @@ def stage_row_counts(spark, sf_dir):
     return run.metrics(spark).select("stage", "rows")
 
 
+def _facts(spark, sf_dir):
+    return totals.hourly_facts(event_readings(spark, sf_dir))
+
+
 @_query
 def gate_null_rate(spark, sf_dir):
-    return gates.gate_null_rate(event_readings(spark, sf_dir), MAX_NULL_RATE)
+    return gates.gate_null_rate(_facts(spark, sf_dir), MAX_NULL_RATE)
 
 
 @_query
 def gate_min_rows(spark, sf_dir):
-    return gates.gate_min_rows(event_readings(spark, sf_dir), MIN_ROWS)
+    return gates.gate_min_rows(_facts(spark, sf_dir), MIN_ROWS)
 
 
 @_query
 def gate_max_age(spark, sf_dir):
-    return gates.gate_max_age(event_readings(spark, sf_dir), dt.datetime.fromisoformat(AS_OF), MAX_AGE_HOURS)
+    return gates.gate_max_age(_facts(spark, sf_dir), dt.datetime.fromisoformat(AS_OF), MAX_AGE_HOURS)
 
 
 # --- incremental
