@@ -53,17 +53,19 @@ def flag_readings(readings: DataFrame, rules: Iterable[str] = ROW_RULES) -> Data
 
 def flag_with_duplicates(readings: DataFrame, rules: Iterable[str] = ROW_RULES) -> DataFrame:
     """The same over distinct readings, with ``copies``: repeats are flagged too. Both
-    the first copy and the repeats show the earliest file they came in."""
+    the first copy and the repeats show the earliest ``file_date`` they came in. The
+    file's name is left out: the least of a text column cannot be kept in a hash
+    aggregate, so all rows would be sorted first."""
     first = F.struct(F.lit(1).cast("bigint").alias("copies"), F.col("reject_reasons"))
     repeats = F.struct(
         (F.col("copies") - 1).alias("copies"),
         F.array_append("reject_reasons", DUPLICATE).alias("reject_reasons"),
     )
     held = F.when(F.col("copies") > 1, F.array(first, repeats)).otherwise(F.array(first))
-    origin = [c for c in readings.columns if c in PROVENANCE]
     content = [c for c in readings.columns if c not in PROVENANCE]
+    origin = [c for c in readings.columns if c == "file_date"]
     distinct = readings.groupBy(*content).agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in origin])
-    return flag_readings(distinct, rules).select(*readings.columns, F.inline(held))
+    return flag_readings(distinct, rules).select(*content, *origin, F.inline(held))
 
 
 def is_rejected() -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import lookups, profiling
 from footfall.operators.dates import readings_of_dates, touched_dates
+from footfall.operators.rejects import flag_with_duplicates
 from footfall.plans.registry import QUERIES
 from footfall.session import scratch_dir, shuffle_partitions, sized_shuffles
 from footfall.sources.events import event_readings
@@ -31,7 +32,7 @@ LAZY = [
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_workers_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, TESTDATA))
-    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas", "SortAggregate"):
         assert operator not in text
 
 
@@ -42,6 +43,12 @@ def test_flagship_has_two_exchanges_and_partial_sums(spark):
     assert "props" not in text
 
 
+def test_duplicates_are_grouped_by_hash(spark, tree):
+    readings = read_readings(spark, tree(fx.FILES))
+    assert "SortAggregate" not in plan(flag_with_duplicates(readings))
+    assert "SortAggregate" not in plan(profiling.profile_report(readings.select("location", "timestamp", "in", "out")))
+
+
 def test_daily_has_no_window(spark):
     assert "Window" not in plan(QUERIES["daily_totals"](spark, TESTDATA))
 
