@@ -26,6 +26,10 @@ class NoReadingsError(RuntimeError):
 # not a stray file beside them. Their listing is spread over the executors.
 LOCATION_DIRECTORIES = "{*[!v],*[!s]v,*[!c]sv,*[!.]csv,v,sv,csv}"
 
+# Spark's default of a week would drop a sensor's late upload. Shorten this only where
+# files arrive in such numbers that remembering their names is a burden, and never late.
+KEEP_FILES = "36500d"
+
 CSV_FILES = {"pathGlobFilter": "*.csv"}
 PARSE_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
@@ -72,13 +76,12 @@ def stream_readings(
     partitioned: bool = False,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
-    max_file_age: str = "36500d",
+    max_file_age: str = KEEP_FILES,
 ) -> DataFrame:
     """The same rows as a stream of files not seen before.
 
-    Spark ignores files older than ``max_file_age`` against the newest one it has
-    seen; its default of a week would drop a sensor's late upload, hence the long
-    default here."""
+    The driver remembers the files of the last ``max_file_age`` and Spark ignores older
+    ones, measured against the newest file it has seen."""
     reader = spark.readStream.schema(_schema(partitioned)).options(**CSV_OPTIONS)
     reader = reader.option("maxFileAge", max_file_age)
     if max_files_per_trigger:

@@ -31,7 +31,7 @@ from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, is_rejected
 from footfall.operators.totals import daily_totals, hourly_totals, with_net_flow, with_occupancy
 from footfall.session import sized_shuffles
 from footfall.sinks.tables import write_daily, write_hourly, write_partitions
-from footfall.sources.readings import stream_readings
+from footfall.sources.readings import KEEP_FILES, stream_readings
 
 # Input of one micro-batch. Large enough to keep a cluster busy, small enough that a
 # failed batch is cheap to repeat.
@@ -65,6 +65,7 @@ def start_ingest(
     rules: Iterable[str] = (BAD_TIMESTAMP,),
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = BATCH_BYTES,
+    max_file_age: str = KEEP_FILES,
 ) -> StreamingQuery:
     """Load all new files below ``root`` into the tables below ``out``, then stop. The
     limits only cut a large backlog into batches; every file is loaded in some batch."""
@@ -74,6 +75,7 @@ def start_ingest(
         partitioned=partitioned,
         max_files_per_trigger=max_files_per_trigger,
         max_bytes_per_trigger=max_bytes_per_trigger,
+        max_file_age=max_file_age,
     )
     rules = tuple(rules)
     return (

@@ -5,7 +5,9 @@ import os
 
 import fixture_rows as fx
 import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.model import CONTRACTS, DAILY, HOURLY
 from footfall.operators import contract, gates
@@ -152,6 +154,33 @@ def test_jdbc_options_and_types(hourly):
     assert served.count() == 7
 
 
+def test_jdbc_write_uses_batches_and_keeps_the_table(spark, hourly, monkeypatch):
+    """Stands in for the database, which may not be started here."""
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **given: seen.update(given) or self)
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, mode: seen.update(mode=mode) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
+    jdbc.write_jdbc(hourly, HOURLY, "jdbc:postgresql://host/db", "hourly_aggregations", user="me")
+    assert seen["saved"] and seen["mode"] == "overwrite" and seen["truncate"] == "true"
+    assert seen["batchsize"] == "1000" and seen["user"] == "me" and seen["dbtable"] == "hourly_aggregations"
+
+
+@pytest.mark.parametrize("fault", [None, "drop", "type"])
+def test_jdbc_targets_are_checked(spark, monkeypatch, fault):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), *jdbc.serving_schema(DAILY).fields])
+    table = spark.createDataFrame([], schema)
+    if fault == "drop":
+        table = table.drop("net_flow")
+    if fault == "type":
+        table = table.withColumn("date", F.col("date").cast("string"))
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: table)
+    if fault:
+        with pytest.raises(contract.ContractError, match="net_flow" if fault == "drop" else "date"):
+            jdbc.check_targets(spark, "jdbc:postgresql://host/db", {"daily_aggregations": DAILY})
+    else:
+        jdbc.check_targets(spark, "jdbc:postgresql://host/db", {"daily_aggregations": DAILY})
+
+
 def test_jdbc_counts_do_not_wrap(hourly):
     huge = daily_totals(hourly).withColumn("total_in", F.lit(2**31).cast("bigint"))
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
