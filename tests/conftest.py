@@ -21,7 +21,7 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
     }
-    session = build_session("footfall-tests", "local[4]", conf)
+    session = build_session("footfall-tests", "local[4,3]", conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

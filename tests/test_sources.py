@@ -33,6 +33,7 @@ def test_only_csv_files_of_location_directories_are_read(spark, tree):
             "a/old/2024-03-04.csv": HEADER + row,
             "a/notes.txt": "nothing to read",
             "stray.csv": HEADER + row,
+            "readme.txt": "nothing to read",
             "empty/readme.txt": "no readings yet",
         }
     )
