@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--partitioned", action="store_true", help="input has location=/file_date= folders")
         command.add_argument("--strict", action="store_true", help="also reject malformed and negative readings")
     batch.add_argument("--drop-duplicates", action="store_true", help="count a repeated reading once")
+    batch.add_argument("--max-rejection-rate", type=float, help="warn of locations with a higher share of rejects")
     batch.add_argument("--max-null-rate", type=float, help="gate: share of missing counts")
     batch.add_argument("--min-rows", type=int, help="gate: readings per location and day")
     batch.add_argument("--max-age-hours", type=float, help="gate: age of a location's latest reading")
@@ -67,6 +68,7 @@ def batch(spark, args) -> None:
         rules=ROW_RULES if args.strict else DEFAULT_RULES,
         drop_duplicates=args.drop_duplicates,
         gates=Gates(args.max_null_rate, args.min_rows, args.max_age_hours, args.as_of),
+        max_rejection_rate=args.max_rejection_rate,
         expected_rows=expected,
     )
     if args.jdbc_url:

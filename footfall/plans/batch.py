@@ -9,15 +9,15 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.model import READING
+from footfall.model import COUNT_COLUMNS, READING
 from footfall.operators.cleansing import fill_missing
 from footfall.operators.dates import listed_dates, readings_of_dates, rows_of_dates
 from footfall.operators.gates import gate_max_age, gate_min_rows, gate_null_rate, require_passed
 from footfall.operators.profiling import profile_report
-from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected
+from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected, rejection_rate
 from footfall.operators.totals import daily_totals, hourly_facts, hourly_occupancy, with_net_flow, with_occupancy
 from footfall.session import sized_shuffles
 from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly
@@ -70,10 +70,11 @@ def run_batch(
     rules: Iterable[str] = DEFAULT_RULES,
     drop_duplicates: bool = False,
     gates: Gates | None = None,
+    max_rejection_rate: float | None = None,
     expected_rows: int = 0,
 ) -> BatchRun:
-    """Writes below ``out``: readings (valid and rejected), profile, hourly_facts, gates,
-    hourly and daily. ``out`` is the folder of this run; a failed run leaves others
+    """Writes below ``out``: readings (valid and rejected), profile, rejection_rate,
+    hourly_facts, gates, hourly and daily. ``out`` is the folder of this run; a failed run leaves others
     untouched.
 
     The source is parsed once and the staged Parquet read twice, for the profile and for
@@ -98,6 +99,10 @@ def run_batch(
     with sized_shuffles(spark, total):
         weight = ["copies"] if drop_duplicates else []
         profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
+        log_profile(spark.read.parquet(f"{out}/profile").first())
+        if max_rejection_rate is not None:
+            rejection_rate(staged, max_rejection_rate).write.parquet(f"{out}/rejection_rate")
+            log_alerts(spark.read.parquet(f"{out}/rejection_rate"))
         done("profiled", total)
 
         facts = hourly_facts(staged.where(F.col("status") == "valid"))
@@ -117,6 +122,25 @@ def run_batch(
     return run
 
 
+def log_profile(report: Row) -> None:
+    """Log the one row of ``profile_report``; what may be a fault as a warning."""
+    total = report.total_rows
+    logger.info("%d readings from %s to %s", total, report.earliest, report.latest)
+    for column in COUNT_COLUMNS:
+        logger.info("%s: %s to %s", column, report[f"min_{column}"], report[f"max_{column}"])
+    for column in READING.names:
+        if nulls := report[f"null_{column}"]:
+            logger.warning("%s: %d missing (%.1f%%)", column, nulls, 100 * nulls / total)
+    if report.duplicates:
+        logger.warning("%d duplicate readings", report.duplicates)
+
+
+def log_alerts(rates: DataFrame, shown: int = 20) -> None:
+    """Warn of the locations with the highest rejection rates above the threshold."""
+    for row in rates.where("alert").orderBy(F.desc("rejection_rate"), "location").limit(shown).collect():
+        logger.warning("%s: %d of %d readings rejected", row.location, row.rejected_rows, row.total_rows)
+
+
 def stage_readings(
     readings: DataFrame, path: str, rules: Iterable[str], drop_duplicates: bool
 ) -> tuple[DataFrame, int, int]:

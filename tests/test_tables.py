@@ -131,6 +131,27 @@ def test_strict_run_keeps_rejects(spark, tree, tmp_path):
     assert tables.read_daily(spark, run.out + "/daily").first().total_in == 1
 
 
+def test_a_run_warns_of_faults(spark, tree, tmp_path, caplog):
+    files = {
+        "good/2024-03-05.csv": "timestamp,in,out\n2024-03-05T01:00:00,1,0\n2024-03-05T01:00:00,1,0\n",
+        "bad/2024-03-05.csv": "timestamp,in,out\n2024-03-05T01:00:00,,0\nxx,1,0\n",
+    }
+    with caplog.at_level("WARNING", "footfall"):
+        run_batch(read_readings(spark, tree(files)), str(tmp_path / "out"), max_rejection_rate=0.4)
+    assert [r.getMessage() for r in caplog.records] == [
+        "timestamp: 1 missing (25.0%)",
+        "in: 1 missing (25.0%)",
+        "1 duplicate readings",
+        "bad: 1 of 2 readings rejected",
+    ]
+
+
+def test_a_run_without_readings(spark, tree, tmp_path, caplog):
+    run = run_batch(read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n"})), str(tmp_path / "out"))
+    assert [load.status for load in run.loads] == ["skipped", "skipped"]
+    assert "no rows for hourly" in caplog.text
+
+
 def test_rebuilding_dates(spark, readings, tmp_path):
     out = str(tmp_path / "out")
     early = readings.where("timestamp < '2024-03-02' and file_date = '2024-03-01'")
