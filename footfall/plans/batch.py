@@ -9,7 +9,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.model import COUNT_COLUMNS, READING
@@ -20,7 +20,7 @@ from footfall.operators.profiling import profile_report
 from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected, rejection_rate
 from footfall.operators.totals import daily_totals, hourly_facts, hourly_occupancy, with_net_flow, with_occupancy
 from footfall.session import sized_shuffles
-from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly
+from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly, write_partitions
 
 logger = logging.getLogger(__name__)
 
@@ -79,8 +79,8 @@ def run_batch(
 
     The source is parsed once and the staged Parquet read twice, for the profile and for
     the hourly facts. Gates and hourly totals come from the facts, daily totals from the
-    hourly table. Shuffles are sized by the number
-    of rows staged; ``expected_rows`` sizes the one that dropping duplicates needs before."""
+    hourly table. Shuffles are sized by the number of rows staged, and later of hours;
+    ``expected_rows`` sizes the one that dropping duplicates needs before."""
     spark = readings.sparkSession
     run = BatchRun(out)
     clock = time.monotonic()
@@ -99,17 +99,18 @@ def run_batch(
     with sized_shuffles(spark, total):
         weight = ["copies"] if drop_duplicates else []
         profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
-        log_profile(spark.read.parquet(f"{out}/profile").first())
+        log_profile(spark.read.parquet(f"{out}/profile"))
         if max_rejection_rate is not None:
             rejection_rate(staged, max_rejection_rate).write.parquet(f"{out}/rejection_rate")
             log_alerts(spark.read.parquet(f"{out}/rejection_rate"))
         done("profiled", total)
 
         facts = hourly_facts(staged.where(F.col("status") == "valid"))
-        facts.write.parquet(f"{out}/hourly_facts")
-        facts = spark.read.schema(facts.schema).parquet(f"{out}/hourly_facts")
+        hours = write_partitions(facts, f"{out}/hourly_facts", (), replace=False, rebalance=False)
         done("cleaned", total - bad)
 
+    with sized_shuffles(spark, hours):
+        facts = spark.read.schema(facts.schema).parquet(f"{out}/hourly_facts")
         checks = gates.check(facts) if gates else []
         if checks:
             reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
@@ -122,8 +123,11 @@ def run_batch(
     return run
 
 
-def log_profile(report: Row) -> None:
-    """Log the one row of ``profile_report``; what may be a fault as a warning."""
+def log_profile(profile: DataFrame) -> None:
+    """Log the one row of ``profile_report``; what may be a fault as a warning. Times are
+    fetched as text, as a faulty clock may give a year that Python cannot hold."""
+    text = {c: F.col(c).cast("string") for c in ("earliest", "latest")}
+    report = profile.withColumns(text).first()
     total = report.total_rows
     logger.info("%d readings from %s to %s", total, report.earliest, report.latest)
     for column in COUNT_COLUMNS:

@@ -146,6 +146,13 @@ def test_a_run_warns_of_faults(spark, tree, tmp_path, caplog):
     ]
 
 
+def test_a_faulty_clock_does_not_stop_a_run(spark, tree, tmp_path):
+    lines = "".join(f"{day}T23:00:00,1,0\n" for day in ("0001-01-01", "9999-12-31", "+12024-01-01"))
+    readings = read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n" + lines}))
+    limits = Gates(max_null_rate=0.1, min_rows=1, max_age_hours=24, as_of=dt.datetime(2024, 3, 3))
+    assert [load.rows for load in run_batch(readings, str(tmp_path / "out"), gates=limits).loads] == [3, 3]
+
+
 def test_a_run_without_readings(spark, tree, tmp_path, caplog):
     run = run_batch(read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n"})), str(tmp_path / "out"))
     assert [load.status for load in run.loads] == ["skipped", "skipped"]
