@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.functions.rows import literal_rows
 from footfall.model import CONTRACTS
 
 VIOLATION = T.StructType(
@@ -75,7 +76,7 @@ def contract_violations(
     """Every violation: missing tables and columns, wrong types, unexpected columns,
     and columns with nulls."""
     present = {name: df for name, df in tables.items() if df is not None and name in contracts}
-    schemas = spark.createDataFrame(schema_violations({n: d.schema for n, d in present.items()}, contracts), VIOLATION)
+    schemas = literal_rows(spark, schema_violations({n: d.schema for n, d in present.items()}, contracts), VIOLATION)
     if not present:
         return schemas
     nulls = null_counts_of_contract(present, contracts).where("null_rows > 0")

@@ -104,7 +104,8 @@ def dashboard(hourly: DataFrame, locations: Sequence[str], date: Day | None = No
         day_rows = hourly.where(F.col("date") == _day(date))
     rows = day_rows.where(F.col("location").isin(*locations))
     sums = rows.groupBy("location").agg(*_sums())
-    asked = hourly.sparkSession.createDataFrame([(name,) for name in locations], "location string")
+    names = F.array(*[F.lit(name) for name in locations])
+    asked = hourly.sparkSession.range(1).select(F.explode(names).alias("location"))
     return Dashboard(
         dates=available_dates(hourly),
         selected_date=selected,

@@ -11,7 +11,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from footfall.functions.rows import literal_rows
 from footfall.model import COUNT_COLUMNS, READING
 from footfall.operators.cleansing import fill_missing
 from footfall.operators.dates import listed_dates, readings_of_dates, rows_of_dates
@@ -26,7 +28,13 @@ logger = logging.getLogger(__name__)
 
 # A reading without a time belongs to no hour, so this rule is always needed.
 DEFAULT_RULES = (BAD_TIMESTAMP,)
-STAGES = "stage string, rows bigint, seconds double"
+STAGES = T.StructType(
+    [
+        T.StructField("stage", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -60,7 +68,7 @@ class BatchRun:
     stages: list[tuple[str, int, float]] = field(default_factory=list)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.stages, STAGES)
+        return literal_rows(spark, self.stages, STAGES)
 
 
 def run_batch(

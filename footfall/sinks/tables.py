@@ -12,12 +12,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.functions.rows import literal_rows
 from footfall.model import DAILY, HOURLY
 from footfall.operators.contract import require_not_null, require_schema
 
 logger = logging.getLogger(__name__)
 
-LOAD_REPORT = "table string, rows bigint, status string"
+LOAD_REPORT = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -33,7 +40,7 @@ class Load:
 
 
 def load_report(spark: SparkSession, loads: Sequence[Load]) -> DataFrame:
-    return spark.createDataFrame([(x.table, x.rows, x.status) for x in loads], LOAD_REPORT)
+    return literal_rows(spark, [(x.table, x.rows, x.status) for x in loads], LOAD_REPORT)
 
 
 def write_hourly(hourly: DataFrame, path: str, *, replace_dates: bool = False) -> Load:

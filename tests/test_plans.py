@@ -32,7 +32,7 @@ LAZY = [
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_workers_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, TESTDATA))
-    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas", "SortAggregate"):
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD", "SortAggregate"):
         assert operator not in text
 
 
