@@ -44,3 +44,45 @@ WITH parts AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fitting f ON f.page_id = p.page_id AND f.place = 1
 """
+
+_WORDS = "regexp_extract_all(translate(text, {u}, {l}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(u=_UPPER, l=_LOWER)
+
+ORACLES["op4_decontamination"] = f"""
+WITH doc AS (
+    SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents
+), item AS (
+    SELECT item_id, {_WORDS} AS w FROM benchmark
+), pattern AS (
+    SELECT DISTINCT item_id, w[i:i + 12] AS p
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+), sizes AS (
+    SELECT DISTINCT len(p) AS n FROM pattern
+), place AS (
+    SELECT doc_id, i, n, w[i:i + n - 1] AS p
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, sizes WHERE len(w) >= n)
+), found AS (
+    SELECT doc_id, i, n, item_id FROM place JOIN pattern USING (p)
+), hit AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES["op6_exact_dedup"] = """
+WITH normal AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n,
+        sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+), chosen AS (
+    SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+        first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id
+    FROM normal
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM chosen
+"""

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.common import table
+from footfall.llm.decontamination import contamination
+from footfall.llm.exact_dedup import dedup_exact
 from footfall.llm.line_dedup import dedup_lines
+from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.url_filter import judge_urls, rule_table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -37,7 +43,31 @@ def op2_line_dedup(spark, sf_dir):
     )
 
 
+@_query
+def op4_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+@_query
+def op6_exact_dedup(spark, sf_dir):
+    return dedup_exact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op7_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rule_table(spark, URL_RULES)).drop("url")
+
+
+@_query
+def op10_packing(spark, sf_dir):
+    return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    pieces = tokenize_pieces(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    packed = pack(stage_pieces(pieces))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
