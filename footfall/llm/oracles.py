@@ -86,3 +86,25 @@ WITH normal AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM chosen
 """
+
+ORACLES["op5_jaccard_join"] = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, {_UPPER}, {_LOWER}), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, w[i:i + 3] AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), overlap AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM overlap JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), both_ways AS (
+    SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach(a, b) AS (
+    SELECT a, b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.b
+)
+SELECT doc.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(doc.doc_id, coalesce(min(reach.b), doc.doc_id)) AS component_id
+FROM doc LEFT JOIN size ON size.doc_id = doc.doc_id LEFT JOIN reach ON reach.a = doc.doc_id GROUP BY doc.doc_id
+"""

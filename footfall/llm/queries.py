@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import table
 from footfall.llm.decontamination import contamination
 from footfall.llm.exact_dedup import dedup_exact
+from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.url_filter import judge_urls, rule_table
@@ -51,6 +52,11 @@ def op4_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
 
 
+@_query
+def op5_jaccard_join(spark, sf_dir):
+    return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op6_exact_dedup(spark, sf_dir):
     return dedup_exact(table(spark, sf_dir, "documents").select("doc_id", "text"))
