@@ -108,3 +108,20 @@ WITH RECURSIVE doc AS (
 SELECT doc.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(doc.doc_id, coalesce(min(reach.b), doc.doc_id)) AS component_id
 FROM doc LEFT JOIN size ON size.doc_id = doc.doc_id LEFT JOIN reach ON reach.a = doc.doc_id GROUP BY doc.doc_id
 """
+
+ORACLES["op8_warc"] = """
+WITH digest AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), base32 AS (
+    SELECT page_id, payload, list_reduce(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(hex, CAST(k // 4 AS INTEGER) * 5 + 1, 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31 AS INTEGER) + 1, 1)),
+        lambda a, b: a || b) AS payload_digest
+    FROM digest
+), marked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS last_id FROM base32
+)
+SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+FROM marked
+"""

@@ -15,6 +15,7 @@ from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.url_filter import judge_urls, rule_table
+from footfall.llm.warc import archive_pages, page_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,6 +69,18 @@ def op7_url_filter(spark, sf_dir):
     return judge_urls(pages, rule_table(spark, URL_RULES)).drop("url")
 
 
+@_query
+def op8_warc(spark, sf_dir):
+    found = archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select(
+        page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
 @_query
 def op10_packing(spark, sf_dir):
     return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
