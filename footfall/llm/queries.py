@@ -14,6 +14,7 @@ from footfall.llm.exact_dedup import dedup_exact
 from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
+from footfall.llm.quality_rules import score_quality
 from footfall.llm.url_filter import judge_urls, rule_table
 from footfall.llm.warc import archive_pages, page_of
 
@@ -81,6 +82,13 @@ def op8_warc(spark, sf_dir):
     )
 
 
+@_query
+def op9_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @_query
 def op10_packing(spark, sf_dir):
     return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
