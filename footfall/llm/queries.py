@@ -15,6 +15,7 @@ from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.quality_rules import score_quality
+from footfall.llm.toxicity import score_toxicity
 from footfall.llm.url_filter import judge_urls, rule_table
 from footfall.llm.warc import archive_pages, page_of
 
@@ -46,6 +47,12 @@ def op2_line_dedup(spark, sf_dir):
     )
 
 
+@_query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, sf_dir, "labels"))
+
+
 @_query
 def op4_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
