@@ -1,27 +1,78 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read by the next."""
+"""The corpus pipeline: documents come in, packed training sequences go out.
+
+Each stage is a function of (spark, docs, sf_dir). Its result is written as Parquet, and the
+next stage reads that. Every stage but the last returns the columns of documents; whatever a
+stage removes or changes stays so for all that follow. Stages read the other tables they need
+(labels, benchmark) from ``sf_dir``.
+
+Null and empty texts, repeated rows and empty tables go through as the operators define it;
+other columns of ``docs`` than those of documents are left out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.llm.common import staged, table
+from footfall.llm.decontamination import contamination
+from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
+from footfall.llm.queries import packed_pieces
+from footfall.llm.toxicity import score_toxicity
 
-#: The columns of documents, which every stage but the last returns.
+#: The columns of documents.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among ``rejected`` (doc_id); a null id matches a null id."""
+    rejected = rejected.select(F.col("doc_id").alias("rejected_id")).distinct()
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti").select(*COLUMNS)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar predicts to be toxic go."""
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, staged(scored.where("predicted = 1"), "toxic"))
+
+
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs).selectExpr("doc_id", "text", "lang", "source", "char_length(text) AS n_chars")
+    """Lines that many documents share go, but in one of them; n_chars follows the text."""
+    kept = dedup_lines(docs.select(*COLUMNS))
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest doc_id stays."""
+    linked = staged(link_documents(docs), "linked")
+    return _without(docs, linked.where("component_id <> doc_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with benchmark passages go."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, staged(found.where("contaminated"), "contaminated"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, with their sequences and places."""
+    return packed_pieces(docs.select("doc_id", "text"))
 
 
-STAGES = [("line_dedup", drop_shared_lines)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_shared_lines),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
 
-#: The stages are tested against brute force; SQL cannot express the trained ones.
+#: SQL cannot express the trained grammar or the packing; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table documents, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)

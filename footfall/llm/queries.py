@@ -13,6 +13,7 @@ from footfall.llm.decontamination import contamination
 from footfall.llm.exact_dedup import dedup_exact
 from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
+from footfall.llm.lm import score_documents
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.quality_rules import score_quality
 from footfall.llm.toxicity import score_toxicity
@@ -39,6 +40,12 @@ def _query(build: Query) -> Query:
     return build
 
 
+@_query
+def op1_lm_scores(spark, sf_dir):
+    scored = score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
