@@ -36,6 +36,7 @@ from pyspark.sql.datasource import (
     EqualTo,
     In,
     InputPartition,
+    IsNotNull,
     StringStartsWith,
     WriterCommitMessage,
 )
@@ -315,6 +316,8 @@ class WarcReader(DataSourceReader):
                 self.tests.append((field, "in", set(f.value)))
             elif field and isinstance(f, StringStartsWith):
                 self.tests.append((field, "starts", f.value))
+            elif field and isinstance(f, IsNotNull):
+                self.tests.append((field, "starts", ""))
             else:
                 yield f
 
