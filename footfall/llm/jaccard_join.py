@@ -3,12 +3,12 @@
 Exact for any data; no pair of documents is ever a row. The steps:
 
 1. Every text becomes its set of shingle hashes. Texts with the same words are one from here.
-2. A text x can only link if it shares most of its shingles: of its smallest hashes, a prefix
-   long enough that a partner must share several (prefix filter with a threshold of several
-   matches). Shingles are counted over texts, up to two, in buckets of their hashes; texts
-   with too few shared ones are done. This leaves the texts of groups of near copies.
-3. Texts left that share a shingle of their shorter prefix, frequent shingles put last, may
-   link; the components of this relation are found without listing its pairs.
+2. A text can only link if it shares most of its shingles: of its smallest hashes, a prefix
+   long enough that a partner must share half of it. In buckets of hashes it is found which
+   shingles two texts hold; texts with too few of them are done.
+3. Of the texts left the whole sets are counted in the same way. Texts with too few shared
+   shingles go, the others keep a prefix of their rarest ones, in which linked texts must meet.
+   The components of this relation are found without listing its pairs.
 4. Each such component is a block of the document by n-gram incidence matrix, a large one is
    several, taken two at a time. A task multiplies a block with its transpose row by row:
    overlaps are accumulated from the columns of a row's n-grams, pairs below the bound that
@@ -32,17 +32,17 @@ from pyspark.sql import functions as F
 from footfall.llm.common import staged
 from footfall.llm.components import components
 from footfall.llm.shingles import shingle_set, word_hashes
+from footfall.llm.url_filter import BITS_PER_RULE, MAX_BLOCKS, MIN_BLOCKS, bloom_filter, may_contain
 
 SHINGLE = 4
 #: Similarity as a fraction, so that the comparison is exact: 85 of 100.
 SIMILARITY = (85, 100)
 
-#: Sizes of a task's share. Shingles counted in one bucket, and in one block of the matrix.
+#: Shingles of a task's share: of one bucket of hashes, one block of the matrix, and one
+#: bucket of small components.
 BUCKET = 1 << 20
-BLOCK = 1 << 21
-#: Frequent shingles put last in the order, at most; any order gives the same links.
-FREQUENT = 100_000
-FREQUENT_FROM = 64
+BLOCK = 1 << 20
+SMALL = 1 << 17
 
 
 def least_overlap(size, num: int, den: int):
@@ -51,8 +51,8 @@ def least_overlap(size, num: int, den: int):
 
 
 def _prefix_matches(size, num: int, den: int):
-    """Shared shingles asked of the long prefix of a text of ``size``: half as many as may differ."""
-    return 1 + (size - least_overlap(size, num, den)) // 2
+    """Shared shingles asked of the long prefix of a text of ``size``: more than may differ."""
+    return 1 + size - least_overlap(size, num, den)
 
 
 def _long_prefix(size, num: int, den: int):
@@ -90,10 +90,6 @@ def _shingled(docs: DataFrame, size: int, num: int, den: int, whole: bool) -> Da
     return texts.mapInArrow(run, f"doc_id {doc_type}, text_hash long, key binary, tag long, n_shingles long, hashes binary")
 
 
-def _flat(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in column), np.uint64)
-
-
 def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of runs of equal values."""
     if not len(sorted_values):
@@ -128,60 +124,109 @@ def _blobs(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
     ]
 
 
-def _counted(rows: DataFrame, buckets: int) -> DataFrame:
-    """(kind, id, n): of kind 0, n shingles of the text with tag ``id`` are shared with other
-    texts, in parts to be added up; of kind 1, n texts hold the frequent shingle ``id``.
+def _joined(column, kind) -> np.ndarray:
+    """The values of all blobs of a column."""
+    return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in column), kind)
+
 
-    A batch sends at most two texts of a shingle that several of its texts hold, as witnesses
-    (marked by a negative weight): a shingle of a third of all texts is two entries a batch."""
+def _matches(rows: DataFrame, buckets: int) -> DataFrame:
+    """(tag, matches): how many of a text's hashes other texts have, too. An upper bound where
+    copies of a text are in several batches.
+
+    A batch sends at most two texts of a shingle that several of its texts hold, as witnesses:
+    a shingle of a third of all texts is two entries a batch."""
 
     def spread(batches):
         for batch in batches:
             lengths = np.array([len(x.as_buffer()) // 8 for x in batch["hashes"]], np.int64)
             tags = np.repeat(batch["tag"].to_numpy(), lengths)
-            hashes, tags, starts, runs = _by_hash(_flat(batch["hashes"]), tags)
+            hashes, tags, starts, runs = _by_hash(_joined(batch["hashes"], np.uint64), tags)
             place = np.arange(len(hashes)) - np.repeat(starts, runs)
             held_by = np.repeat(runs, runs)
             own, times = np.unique(tags[held_by > 1], return_counts=True)
-            weight = np.where(held_by == 1, 1, np.where(place == 0, -(held_by - 1), -1)).astype(np.int32)
             sent = place < 2
-            bucket, hashes, tags, weights = _blobs(_bucket_of(hashes[sent], buckets).astype(np.int64), hashes[sent], tags[sent], weight[sent])
-            none = [b""] * max(0, len(bucket) - 1)
-            first = len(bucket) > 0
-            yield pa.RecordBatch.from_arrays(
-                [bucket, hashes, tags, weights, pa.array([own.tobytes()] * first + none, pa.binary()), pa.array([times.astype(np.int64).tobytes()] * first + none, pa.binary())],
-                ["bucket", "hashes", "tags", "weights", "own", "times"],
-            )
+            told = (held_by > 1).astype(np.uint8)
+            bucket, hashes, tags, told = _blobs(_bucket_of(hashes[sent], buckets).astype(np.int64), hashes[sent], tags[sent], told[sent])
+            # What the batch has counted itself goes along with its first bucket.
+            first, none = len(bucket) > 0, [b""] * max(0, len(bucket) - 1)
+            own, times = (pa.array([x.astype(np.int64).tobytes()] * first + none, pa.binary()) for x in (own, times))
+            yield pa.RecordBatch.from_arrays([bucket, hashes, tags, told, own, times], ["bucket", "hashes", "tags", "told", "own", "times"])
 
-    def count(group: pa.Table) -> pa.Table:
-        def flat(name, kind):
-            return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in group[name]), kind)
+    def parted(ids: np.ndarray, n: np.ndarray) -> pa.Table:
+        part, id_blobs, n_blobs = _blobs(_bucket_of(ids.view(np.uint64), buckets).astype(np.int64), ids, n)
+        return pa.table({"part": part, "tags": id_blobs, "n": n_blobs})
+
+    def added(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, places = np.unique(ids, return_inverse=True)
+        return ids, np.bincount(places, n, len(ids)).astype(np.int64)
 
-        hashes, tags, weights = flat("hashes", np.uint64), flat("tags", np.int64), flat("weights", np.int32)
-        order = np.lexsort((weights, tags, hashes))
-        hashes, tags, weights = hashes[order], tags[order], weights[order]
+    def count(group: pa.Table) -> pa.Table:
+        hashes, tags, told = (_joined(group[c], k) for c, k in (("hashes", np.uint64), ("tags", np.int64), ("told", np.uint8)))
+        order = np.lexsort((-told.astype(np.int8), tags, hashes))
+        hashes, tags, told = hashes[order], tags[order], told[order]
         starts, runs = _runs(hashes)
         new_text = np.r_[True, (hashes[1:] != hashes[:-1]) | (tags[1:] != tags[:-1])][: len(hashes)]
         texts = np.add.reduceat(new_text.astype(np.int64), starts) if len(starts) else starts
-        shared = np.repeat(texts, runs) > 1
-        # The negative weights come first: a text with one has been counted in its batch.
-        alone = tags[shared & new_text & (weights > 0)]
-        held = np.add.reduceat(np.abs(weights.astype(np.int64)), starts) if len(starts) else starts
-        frequent = held >= FREQUENT_FROM
-        ids, places = np.unique(np.r_[alone, flat("own", np.int64)], return_inverse=True)
-        n = np.bincount(places, np.r_[np.ones(len(alone)), flat("times", np.int64)], len(ids)).astype(np.int64)
-        return pa.table(
-            {
-                "kind": pa.array(np.repeat([0, 1], [len(ids), frequent.sum()]).astype(np.int32)),
-                "id": pa.array(np.r_[ids, hashes[starts][frequent].astype(np.int64)]),
-                "n": pa.array(np.r_[n, held[frequent]]),
-            }
-        )
+        alone = tags[(np.repeat(texts, runs) > 1) & new_text & (told == 0)]
+        own, times = _joined(group["own"], np.int64), _joined(group["times"], np.int64)
+        return parted(*added(np.r_[alone, own], np.r_[np.ones(len(alone), np.int64), times]))
+
+    def total(group: pa.Table) -> pa.Table:
+        ids, n = added(_joined(group["tags"], np.int64), _joined(group["n"], np.int64))
+        return pa.table({"tag": pa.array(ids), "matches": pa.array(n)})
 
     blobs = rows.select("tag", "hashes").mapInArrow(
-        spread, "bucket int, hashes binary, tags binary, weights binary, own binary, times binary"
+        spread, "bucket int, hashes binary, tags binary, told binary, own binary, times binary"
     )
-    return blobs.groupBy("bucket").applyInArrow(count, "kind int, id long, n long")
+    parts = blobs.groupBy("bucket").applyInArrow(count, "part int, tags binary, n binary")
+    return parts.groupBy("part").applyInArrow(total, "tag long, matches long")
+
+
+def _rarest(whole: DataFrame, blocks: int, num: int, den: int) -> DataFrame:
+    """The texts of ``whole`` that share enough shingles with others of it, with ``prefix``:
+    their rarest shingles, one more than may differ.
+
+    Blocks of texts send their distinct hashes to buckets, get back how many texts have each,
+    and order by that."""
+    numbered = whole.withColumn("block", F.pmod("tag", F.lit(blocks)).cast("int"))
+
+    def distinct(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, texts = np.unique(_joined(group["hashes"], np.uint64), return_counts=True)
+        return hashes, texts, _bucket_of(hashes, blocks).astype(np.int64)
+
+    def send(group: pa.Table) -> pa.Table:
+        hashes, texts, bucket = distinct(group)
+        numbers, hash_blobs, text_blobs = _blobs(bucket, hashes, texts)
+        block = pa.array([group["block"][0].as_py()] * len(numbers), pa.int32())
+        return pa.table({"block": block, "bucket": numbers, "hashes": hash_blobs, "n": text_blobs})
+
+    def count(group: pa.Table) -> pa.Table:
+        hashes, n = _joined(group["hashes"], np.uint64), _joined(group["n"], np.int64)
+        _, places = np.unique(hashes, return_inverse=True)
+        n = np.bincount(places, n)[places].astype(np.int64) if len(places) else n
+        sizes = [len(x.as_buffer()) // 8 for x in group["hashes"]]
+        parts = [x.tobytes() for x in np.split(n, np.cumsum(sizes)[:-1])]
+        return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(parts, pa.binary())})
+
+    def order(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        hashes, _, bucket = distinct(texts)
+        held = np.empty(len(hashes), np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        held[by_bucket] = _joined(counts.sort_by("bucket")["n"], np.int64)
+        kept, prefixes = [], []
+        for row, blob in enumerate(texts["hashes"]):
+            own = np.frombuffer(blob.as_buffer(), np.uint64)
+            n = held[np.searchsorted(hashes, own)]
+            least = least_overlap(len(own), num, den)
+            if (n > 1).sum() >= least:
+                kept.append(row)
+                prefixes.append(own[np.argsort(n, kind="stable")][: len(own) - least + 1].tobytes())
+        return texts.drop_columns(["block"]).take(pa.array(kept, pa.int64())).append_column("prefix", pa.array(prefixes, pa.binary()))
+
+    counts = numbered.groupBy("block").applyInArrow(send, "block int, bucket int, hashes binary, n binary")
+    counts = counts.groupBy("bucket").applyInArrow(count, "block int, bucket int, n binary")
+    pairs = numbered.groupBy("block").cogroup(counts.groupBy("block"))
+    return pairs.applyInArrow(order, "key binary, tag long, n_shingles long, hashes binary, prefix binary")
 
 
 class _Forest:
@@ -200,44 +245,29 @@ class _Forest:
         self.parent[max(x, y)] = min(x, y)
 
 
-def _candidate_edges(texts: DataFrame, frequent: np.ndarray, buckets: int, num: int, den: int) -> DataFrame:
-    """(a, b) of tags: a forest whose trees hold all texts that share a shingle of their short
-    prefix. ``frequent`` has the most frequent shingles, ascending by texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-
-    def short_prefix(hashes: np.ndarray, by_value: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(by_value, hashes), max(len(by_value) - 1, 0))
-        late = by_value[at] == hashes if len(by_value) else np.zeros(len(hashes), bool)
-        ordered = np.r_[hashes[~late], hashes[late][np.argsort(rank[at[late]], kind="stable")]] if late.any() else hashes
-        return ordered[: len(hashes) - least_overlap(len(hashes), num, den) + 1]
+def _candidate_edges(texts: DataFrame, buckets: int) -> DataFrame:
+    """(a, b) of tags: a forest whose trees hold all texts that share a shingle of ``prefix``."""
 
     def spread(batches):
-        rank = np.argsort(shared.value, kind="stable")
-        by_value = shared.value[rank]
         for batch in batches:
-            sets = [short_prefix(np.frombuffer(x.as_buffer(), np.uint64), by_value, rank) for x in batch["hashes"]]
-            tags = np.repeat(batch["tag"].to_numpy(), [len(s) for s in sets])
-            hashes, tags, starts, runs = _by_hash(np.concatenate(sets) if sets else np.empty(0, np.uint64), tags)
+            lengths = np.array([len(x.as_buffer()) // 8 for x in batch["prefix"]], np.int64)
+            tags = np.repeat(batch["tag"].to_numpy(), lengths)
+            hashes, tags, starts, runs = _by_hash(_joined(batch["prefix"], np.uint64), tags)
             # One text of each shingle stands for the batch's others, whose edges to it go along.
             held = np.repeat(tags[starts], runs)
             other = np.flatnonzero(tags != held)
             bucket = _bucket_of(hashes[starts], buckets).astype(np.int64)
             tied = np.unique(np.stack([held[other], tags[other]], 1), axis=0) if len(other) else np.empty((0, 2), np.int64)
             numbers, hash_blobs, tag_blobs = _blobs(bucket, hashes[starts], tags[starts])
-            first = len(numbers) > 0
-            yield pa.RecordBatch.from_arrays(
-                [numbers, hash_blobs, tag_blobs, pa.array([tied.tobytes()] * first + [b""] * max(0, len(numbers) - 1), pa.binary())],
-                ["bucket", "hashes", "tags", "tied"],
-            )
+            first, none = len(numbers) > 0, [b""] * max(0, len(numbers) - 1)
+            tied = pa.array([tied.tobytes()] * first + none, pa.binary())
+            yield pa.RecordBatch.from_arrays([numbers, hash_blobs, tag_blobs, tied], ["bucket", "hashes", "tags", "tied"])
 
     def forest(group: pa.Table) -> pa.Table:
-        def flat(name, kind):
-            return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in group[name]), kind)
-
-        hashes, tags, starts, runs = _by_hash(flat("hashes", np.uint64), flat("tags", np.int64))
+        hashes, tags, starts, runs = _by_hash(_joined(group["hashes"], np.uint64), _joined(group["tags"], np.int64))
         held = np.repeat(tags[starts], runs)
         other = tags != held
-        pairs = np.concatenate([np.stack([held[other], tags[other]], 1), flat("tied", np.int64).reshape(-1, 2)])
+        pairs = np.concatenate([np.stack([held[other], tags[other]], 1), _joined(group["tied"], np.int64).reshape(-1, 2)])
         ids, places = np.unique(pairs, return_inverse=True)
         trees = _Forest(len(ids))
         for x, y in places.reshape(-1, 2).tolist():
@@ -246,7 +276,7 @@ def _candidate_edges(texts: DataFrame, frequent: np.ndarray, buckets: int, num:
         kept = np.flatnonzero(roots != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[roots[kept]]), "b": pa.array(ids[kept])})
 
-    blobs = texts.select("tag", "hashes").mapInArrow(spread, "bucket int, hashes binary, tags binary, tied binary")
+    blobs = texts.select("tag", "prefix").mapInArrow(spread, "bucket int, hashes binary, tags binary, tied binary")
     return blobs.groupBy("bucket").applyInArrow(forest, "a long, b long")
 
 
@@ -326,31 +356,32 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
     sets = staged(_shingled(_hashed(docs), size, num, den, whole=False), "sets")
 
     in_all = sets.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
-    counted = staged(_counted(sets.where("n_shingles > 0"), 1 + in_all // (8 * BUCKET)), "counted")
-    frequent = counted.where("kind = 1").orderBy(F.desc("n"), "id").limit(FREQUENT).select("id", "n").collect()
-    frequent = np.array([r["id"] for r in reversed(frequent)], np.int64).view(np.uint64)
-
-    n, least = F.col("n_shingles"), F.expr(f"({num} * n_shingles + {den - 1}) div {den}")
-    partner_may_differ_by = least - F.expr(f"({num} * (({num} * n_shingles + {den - 1}) div {den}) + {den - 1}) div {den}")
-    asked = 1 + F.floor(partner_may_differ_by / 2)
-    matches = counted.where("kind = 0").groupBy(F.col("id").alias("tag")).agg(F.sum("n").alias("matches"))
+    n = F.col("n_shingles")
+    least = F.expr(f"({num} * n_shingles + {den - 1}) div {den}")  # also the size of the smallest partner
+    asked = 1 + least - F.expr(f"({num} * (({num} * n_shingles + {den - 1}) div {den}) + {den - 1}) div {den}")
+    matches = _matches(sets.where(n > 0), 1 + in_all // (8 * BUCKET))
     one_row = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one_row")
     copies = sets.where(n > 0).groupBy("key", "tag", "n_shingles")
     copies = staged(copies.agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), one_row), "copies")
     near = copies.join(matches, "tag").where(F.col("matches") >= asked)
     near = staged(near.select("key", F.col("one_row.doc_id").alias("near_id"), F.col("one_row.text_hash").alias("near_hash")), "near")
 
-    # The whole sets of the texts left, each from one of the rows that have it.
+    # The whole sets of the texts left, each from one of the rows that have it. A filter of
+    # bounded size keeps most other texts out of the join's shuffle.
+    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, near.count() * BITS_PER_RULE // 64))
+    words = bloom_filter(near.select("near_hash"), "near_hash", blocks).scalar()
     same_row = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash"))
-    again = _hashed(docs).join(near, same_row, "left_semi")
+    again = _hashed(docs).where(may_contain(words, blocks, F.col("text_hash"))).join(near, same_row, "left_semi")
     whole = _shingled(again, size, num, den, whole=True).select("key", "tag", "n_shingles", "hashes")
     whole = staged(whole.dropDuplicates(["key"]), "whole")
 
     left = whole.agg(F.sum("n_shingles")).first()[0] or 0
-    candidates = components(_candidate_edges(whole, frequent, 1 + left // (4 * BUCKET), num, den))
+    whole = staged(_rarest(whole, 1 + left // BUCKET, num, den), "rarest")
+    left = whole.agg(F.sum("n_shingles")).first()[0] or 0
+    candidates = components(_candidate_edges(whole, 1 + left // (4 * BUCKET)))
     candidates = staged(candidates.select(F.col("node").alias("tag"), "root"), "candidates")
     weights = whole.join(candidates, "tag").groupBy("root").agg(F.sum("n_shingles").alias("weight"))
-    blocks = weights.select("root", F.ceil(F.col("weight") / BLOCK).cast("long").alias("blocks"), F.pmod(F.xxhash64("root"), F.lit(1 + 2 * left // BLOCK)).cast("long").alias("bucket"))
+    blocks = weights.select("root", F.ceil(F.col("weight") / BLOCK).cast("long").alias("blocks"), F.pmod(F.xxhash64("root"), F.lit(1 + left // SMALL)).cast("long").alias("bucket"))
     blocks = staged(candidates.join(blocks, "root"), "blocks")
     labels = components(_links(whole, blocks, num, den)).select(F.col("node").alias("key"), "root")
 
