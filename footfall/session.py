@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from footfall.sources.folders import delete_at_end
+
 DEFAULT_CONF = {
     # Readings carry no zone. Pinning the session zone keeps text timestamps
     # with an offset comparable and never repeats or skips an hour.
@@ -30,16 +31,12 @@ DEFAULT_CONF = {
 # A shuffled reading takes about 64 bytes in memory, so a partition of this many fits
 # beside others in an executor.
 ROWS_PER_SHUFFLE_PARTITION = 4_000_000
-# More partitions cost more in bookkeeping and tiny blocks than they save; beyond this
-# the aggregation spills.
-MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def shuffle_partitions(rows: int, configured: int) -> int:
     """Shuffle partitions for a number of rows, never fewer than configured. AQE only
     merges partitions, so the number has to be large enough before the job."""
-    wanted = -(-rows // ROWS_PER_SHUFFLE_PARTITION)
-    return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(configured, -(-rows // ROWS_PER_SHUFFLE_PARTITION))
 
 
 @contextmanager
@@ -68,12 +65,9 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path for intermediate tables, in the folder that the cluster names
-    in ``spark.checkpoint.dir``. Only a local session may fall back to a temporary
-    folder of this machine, because its executors see it too."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="footfall-")
-    return f"{base.rstrip('/')}/footfall-{uuid.uuid4().hex}"
+    """A fresh path for intermediate tables, in the folder that the session names in
+    ``spark.checkpoint.dir``, else in its warehouse. It is deleted when the driver ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/footfall-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    return path

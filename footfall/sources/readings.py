@@ -6,9 +6,6 @@ Two layouts are read, each with one scan for all locations: plain directories,
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,20 +13,13 @@ from pyspark.sql import types as T
 from footfall.functions.paths import FILE_NAME, FILE_PATH, decoded, directory_name, file_date
 from footfall.functions.time import parse_timestamp
 from footfall.model import CORRUPT, CSV_READING
+from footfall.sources.folders import literal, move_only_file, subfolders
 
 
 class NoReadingsError(RuntimeError):
     """The input directory has no location directories."""
 
 
-# Every name below the root that does not end in ".csv": the location directories, but
-# not a stray file beside them. Their listing is spread over the executors.
-LOCATION_DIRECTORIES = "{*[!v],*[!s]v,*[!c]sv,*[!.]csv,v,sv,csv}"
-
-# Spark's default of a week would drop a sensor's late upload. Shorten this only where
-# files arrive in such numbers that remembering their names is a burden, and never late.
-KEEP_FILES = "36500d"
-
 CSV_FILES = {"pathGlobFilter": "*.csv"}
 PARSE_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
@@ -49,14 +39,32 @@ PARTITION_COLUMNS = [T.StructField("location", T.StringType()), T.StructField("f
 
 
 def read_readings(spark: SparkSession, root: str, *, partitioned: bool = False) -> DataFrame:
-    """All readings below ``root``.
+    """All readings below ``root``. Every folder directly below it is a location, whatever
+    its name; without any, the read fails.
 
     Columns: location, timestamp, in, out; where the row came from (file_date, file); and
     what could not be read: the text of a bad timestamp (timestamp_text) and a line that
     does not fit the schema (malformed_line). The last two are null for good rows, so
     that keeping them costs next to nothing."""
     reader = spark.read.schema(_schema(partitioned)).options(**CSV_OPTIONS)
-    return _tagged(_found(lambda: reader.csv(_paths(root, partitioned)), root), partitioned)
+    if partitioned:
+        reader = reader.option("basePath", root)
+    return _tagged(reader.csv(_folders(spark, root)), partitioned)
+
+
+def read_files(spark: SparkSession, root: str, files: list[str], *, partitioned: bool = False) -> DataFrame:
+    """The readings of some files, as list_files names them, with ``header``: true for the
+    line that names the columns. A file without one has no header that fits."""
+    reader = spark.read.schema(T.StructType([T.StructField("line", T.StringType()), *(PARTITION_COLUMNS if partitioned else [])]))
+    if partitioned:
+        reader = reader.option("basePath", root)
+    name = F.col(FILE_NAME)
+    lines = reader.text([literal(file) for file in files]).where("line <> ''")
+    header = F.lower(F.replace("line", F.lit(" "))) == F.lit(",".join(CSV_READING.names[:3]))
+    location = F.col("location") if partitioned else directory_name(F.col(FILE_PATH))
+    filed = F.col("file_date") if partitioned else file_date(name)
+    origin = [location.alias("location"), filed.alias("file_date"), decoded(name).alias("file")]
+    return parse_lines(lines.select(*origin, header.alias("header"), "line"))
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -69,44 +77,48 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def stream_readings(
-    spark: SparkSession,
-    root: str,
-    *,
-    partitioned: bool = False,
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: int | None = None,
-    max_file_age: str = KEEP_FILES,
-) -> DataFrame:
-    """The same rows as a stream of files not seen before.
-
-    The driver remembers the files of the last ``max_file_age`` and Spark ignores older
-    ones, measured against the newest file it has seen."""
-    reader = spark.readStream.schema(_schema(partitioned)).options(**CSV_OPTIONS)
-    reader = reader.option("maxFileAge", max_file_age)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    elif max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return _tagged(reader.csv(_paths(root, partitioned)), partitioned)
-
-
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per CSV file of the plain layout: location, file_date, file, bytes. Comes
-    from the file listing alone, no content is read."""
+def list_files(spark: SparkSession, root: str, *, partitioned: bool = False) -> DataFrame:
+    """One row per CSV file: location, file_date, file, bytes, modified and path. Comes from
+    the file listing alone, no content is read."""
     reader = spark.read.format("binaryFile").options(**CSV_FILES)
-    files = _found(lambda: reader.load(_paths(root, partitioned=False)), root)
-    name = F.col(FILE_NAME)
+    if partitioned:
+        # Without this, the partition columns' types would follow their values.
+        reader = reader.option("recursiveFileLookup", "true")
+    files = reader.load(_folders(spark, root))
+    name, path = F.col(FILE_NAME), F.col(FILE_PATH)
+    if partitioned:
+        location, filed = (_partition_value(path, c) for c in ("location", "file_date"))
+        filed = filed.try_cast("date")
+    else:
+        location, filed = directory_name(path), file_date(name)
     return files.select(
-        directory_name(F.col(FILE_PATH)).alias("location"),
-        file_date(name).alias("file_date"),
+        location.alias("location"),
+        filed.alias("file_date"),
         decoded(name).alias("file"),
         F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
+        F.col("path"),
     )
 
 
+def _partition_value(path: Column, column: str) -> Column:
+    """From a path ``.../<column>=<value>/...``; Spark escapes a value's special characters."""
+    text = F.substring_index(F.substring_index(path, f"/{column}=", -1), "/", 1)
+    unescaped = F.url_decode(F.replace(decoded(text), F.lit("+"), F.lit("%2B")))
+    return F.when(text != "__HIVE_DEFAULT_PARTITION__", unescaped)
+
+
 def list_locations(spark: SparkSession, root: str) -> DataFrame:
-    return list_files(spark, root).select("location").distinct()
+    """One row per location, also of those without files yet."""
+    names = [F.lit(name) for name in locations_of(spark, root)]
+    return spark.range(1).select(F.explode(F.array(*names)).alias("location"))
+
+
+def locations_of(spark: SparkSession, root: str) -> list[str]:
+    names = subfolders(spark, root)
+    if not names:
+        raise NoReadingsError(f"no location directories in {root}")
+    return names
 
 
 def write_csv_tree(readings: DataFrame, root: str, partition_by: tuple[str, ...] = ("location", "file_date")) -> None:
@@ -124,12 +136,34 @@ def write_csv_tree(readings: DataFrame, root: str, partition_by: tuple[str, ...]
     )
 
 
+def write_named_csv(readings: DataFrame, root: str) -> None:
+    """Write the plain layout, ``<location>/<date>.csv``, a file for each location and date
+    whose name stays the same when it is written again. For test input: each file is put
+    together in one task."""
+    line = F.concat_ws(
+        ",",
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("in", "out")],
+    )
+    header = ",".join(CSV_READING.names[:3])
+    files = readings.groupBy("location", "file_date").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    rows = files.select("location", "file_date", F.concat(F.lit(header + "\n"), "lines").alias("value"))
+    spark = readings.sparkSession
+    path = f"{root.rstrip('/')}.parts"
+    rows.repartition(F.col("location"), F.col("file_date")).write.mode("overwrite").partitionBy("location", "file_date").text(path)
+    for location in subfolders(spark, path):
+        for day in subfolders(spark, f"{path}/{location}"):
+            name = f"{location.removeprefix('location=')}/{day.removeprefix('file_date=')}.csv"
+            move_only_file(spark, f"{path}/{location}/{day}", f"{root}/{name}")
+
+
 def _schema(partitioned: bool) -> T.StructType:
     return T.StructType(CSV_READING.fields + PARTITION_COLUMNS) if partitioned else CSV_READING
 
 
-def _paths(root: str, partitioned: bool) -> str:
-    return root if partitioned else f"{root.rstrip('/')}/{LOCATION_DIRECTORIES}"
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    """The location folders. Listing what is in them is spread over the executors."""
+    return [literal(f"{root.rstrip('/')}/{name}") for name in locations_of(spark, root)]
 
 
 def _tagged(raw: DataFrame, partitioned: bool) -> DataFrame:
@@ -150,12 +184,3 @@ def _parsed(timestamp: str, came: str, left: str, line: str) -> list[Column]:
         F.when(time.isNull(), F.col(timestamp)).alias("timestamp_text"),
         F.col(line).alias("malformed_line"),
     ]
-
-
-def _found(load: Callable[[], DataFrame], root: str) -> DataFrame:
-    try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise NoReadingsError(f"no location directories in {root}") from error
-        raise
