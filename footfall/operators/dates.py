@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many days are listed on the driver and become a literal filter, which
-# prunes partitions. Ten years fit; beyond that the days stay a table to join with.
-MAX_LISTED_DATES = 3660
+# So many days are worked on at once: a filter or a list of folders of ten years. A longer
+# list is taken in slices, so that no number of days makes a query read a whole table.
+DATES_AT_ONCE = 3660
 
 
 def touched_dates(readings: DataFrame) -> DataFrame:
     return readings.select(F.to_date("timestamp").alias("date")).where("date is not null").distinct()
 
 
-def listed_dates(dates: DataFrame, limit: int = MAX_LISTED_DATES) -> list[str] | None:
-    """The days as text, or None when there are more than ``limit``. Text, because a faulty
-    clock may give a year that Python's dates cannot hold."""
-    found = [row.date for row in dates.select(F.col("date").cast("string")).limit(limit + 1).collect()]
-    return sorted(found) if len(found) <= limit else None
+def listed_dates(dates: DataFrame) -> list[str]:
+    """The days as text, because a faulty clock may give a year that Python's dates cannot
+    hold. The number of days, not of rows, bounds the list."""
+    return sorted(row.date for row in dates.select(F.col("date").cast("string")).distinct().collect() if row.date)
 
 
-def rows_of_dates(table: DataFrame, dates: DataFrame, listed: list[str] | None) -> DataFrame:
-    """Rows of a table whose ``date`` is among ``dates``; ``listed`` are the same days as
-    ``listed_dates`` gives them."""
-    if listed is None:
-        return table.join(dates, "date", "left_semi")
-    return table.where(F.col("date").isin(_days(listed))) if listed else table.where(F.lit(False))
+def slices(days: Sequence[str], at_once: int | None = None) -> Iterator[Sequence[str]]:
+    at_once = at_once or DATES_AT_ONCE
+    for start in range(0, len(days), at_once):
+        yield days[start : start + at_once]
 
 
 def readings_between(readings: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -36,14 +35,10 @@ def readings_between(readings: DataFrame, first: Column, last: Column) -> DataFr
     return readings.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
 
 
-def readings_of_dates(readings: DataFrame, dates: DataFrame, listed: list[str] | None) -> DataFrame:
-    """Readings whose event date is among ``dates``."""
-    if listed:
-        days = F.array(*_days(listed))
-        readings = readings_between(readings, F.array_min(days), F.array_max(days))
-    dated = readings.withColumn("date", F.to_date("timestamp"))
-    return rows_of_dates(dated, dates, listed).drop("date")
-
-
-def _days(listed: list[str]) -> list[Column]:
-    return [F.lit(day).cast("date") for day in listed]
+def readings_of_dates(readings: DataFrame, listed: Sequence[str]) -> DataFrame:
+    """Readings whose event date is among the listed days."""
+    if not listed:
+        return readings.where(F.lit(False))
+    days = [F.lit(day).cast("date") for day in listed]
+    within = readings_between(readings, F.array_min(F.array(*days)), F.array_max(F.array(*days)))
+    return within.where(F.to_date("timestamp").isin(days))

@@ -36,26 +36,40 @@ def gate_null_rate(facts: DataFrame, max_rate: float) -> DataFrame:
     return _gate(rows, "null_rate", F.col("column"), rate, max_rate, rate <= max_rate)
 
 
-def gate_min_rows(facts: DataFrame, min_rows: int) -> DataFrame:
-    """Readings per location and day, at least ``min_rows``. A day without any reading
-    has no row here; the age gate sees a sensor that went silent."""
-    per_day = facts.groupBy("location", F.to_date("hour").alias("date")).agg(F.sum("readings").alias("n"))
+def gate_min_rows(facts: DataFrame, min_rows: int, expected: DataFrame | None = None) -> DataFrame:
+    """Readings per location and day, at least ``min_rows``. Days of ``expected`` (location,
+    date) that have none count as 0; without it, a day without any reading has no row here.
+    Where ``facts`` tell valid readings from all, only the valid count."""
+    counted = "valid" if "valid" in facts.columns else "readings"
+    days = facts.where("hour is not null").select("location", F.to_date("hour").alias("date"), F.col(counted).alias("n"))
+    if expected is not None:
+        days = days.unionByName(expected.select("location", "date", F.lit(0).cast("long").alias("n")))
+    per_day = days.groupBy("location", "date").agg(F.sum("n").alias("n"))
     key = F.concat_ws("/", "location", F.col("date").cast("string"))
     return _gate(per_day, "min_rows", key, F.col("n"), min_rows, F.col("n") >= min_rows)
 
 
+def expected_days(filed: DataFrame) -> DataFrame:
+    """(location, date) of every day from a location's first file to its last, from rows with
+    location and file_date: a day whose file is missing is expected, too."""
+    span = filed.where("file_date is not null").groupBy("location").agg(
+        F.min("file_date").alias("first"), F.max("file_date").alias("last")
+    )
+    return span.select("location", F.explode(F.sequence("first", "last")).alias("date"))
+
+
 def gate_max_age(facts: DataFrame, as_of: dt.datetime, max_hours: float) -> DataFrame:
     """Hours from a location's latest reading to ``as_of``, at most ``max_hours``."""
-    latest = facts.groupBy("location").agg(F.max("latest").alias("latest"))
+    latest = facts.where("hour is not null").groupBy("location").agg(F.max("latest").alias("latest"))
     age = hours_between(F.col("latest"), F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
     return _gate(latest, "max_age", F.col("location"), age, max_hours, F.coalesce(age <= max_hours, F.lit(False)))
 
 
-def require_passed(gates: DataFrame, shown: int = 20) -> None:
-    """Raises when a gate failed. The message lists the first few, the gate table
-    has them all."""
+def require_passed(gates: DataFrame, path: str = "", shown: int = 20) -> None:
+    """Raises when a gate failed. The message lists the first few and says how many there
+    are; the gate table at ``path`` has them all."""
     failed = gates.where(~F.col("passed"))
     first = failed.limit(shown).collect()
     if first:
         lines = [f"{r.gate} {r.key}: {r.value} against {r.threshold}" for r in first]
-        raise QualityGateError("quality gates failed, among them:\n  " + "\n  ".join(lines))
+        raise QualityGateError(f"{failed.count()} quality gates failed, all in {path or 'the gates'}:\n  " + "\n  ".join(lines))

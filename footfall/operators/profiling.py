@@ -65,11 +65,13 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     return with_copies(df).agg(*_copy_counts())
 
 
-def profile_report(df: DataFrame) -> DataFrame:
+def profile_report(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One row with everything: total_rows, distinct_rows, duplicates, null_<column>
-    for each column, min_ and max_ of both counts, earliest and latest."""
+    for each of ``columns`` (all if not given), min_ and max_ of both counts, earliest and
+    latest. Rows are duplicates if all columns of ``df`` are equal: pass on the texts that
+    could not be read as well, or all unreadable rows look alike."""
     counted = with_copies(df)
-    return counted.agg(*_report_columns([c for c in counted.columns if c != "copies"]))
+    return counted.agg(*_report_columns(list(columns or [c for c in counted.columns if c != "copies"])))
 
 
 def profile_by(df: DataFrame, key: str) -> DataFrame:

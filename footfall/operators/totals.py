@@ -21,17 +21,28 @@ def hourly_totals(readings: DataFrame) -> DataFrame:
     return with_net_flow(per_hour)
 
 
-def hourly_facts(readings: DataFrame) -> DataFrame:
-    """Per location and hour all that totals and quality gates need, from readings whose
-    missing counts are not filled yet: one pass over them serves both."""
-    return readings.groupBy("location", hour_bucket(F.col("timestamp")).alias("hour")).agg(
-        *[F.sum(F.coalesce(c, F.lit(0))).alias(f"total_{c}") for c in COUNT_COLUMNS],
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in COUNT_COLUMNS],
-        F.count("*").alias("readings"),
-        F.max("timestamp").alias("latest"),
+def hourly_facts(readings: DataFrame, *extra_keys: str) -> DataFrame:
+    """Per location and hour (and further columns) all that totals and quality gates need,
+    from readings whose missing counts are not filled yet: one pass over them serves both.
+
+    Rows that are marked as rejected (``status``) count as readings, and their missing counts
+    as missing, but not towards the totals or as valid. Those without a time have no hour."""
+    good = F.col("status") == "valid" if "status" in readings.columns else F.lit(True)
+    weight = F.col("copies") if "copies" in readings.columns else F.lit(1).cast("bigint")
+    return readings.groupBy("location", hour_bucket(F.col("timestamp")).alias("hour"), *extra_keys).agg(
+        *[F.sum(F.when(good, F.coalesce(c, F.lit(0))).otherwise(0)).alias(f"total_{c}") for c in COUNT_COLUMNS],
+        *[F.sum(F.when(F.col(c).isNull(), weight).otherwise(0)).alias(f"missing_{c}") for c in COUNT_COLUMNS],
+        F.sum(weight).alias("readings"),
+        F.sum(F.when(good, weight).otherwise(0)).alias("valid"),
+        F.max(F.when(good, F.col("timestamp"))).alias("latest"),
     )
 
 
+def valid_hours(facts: DataFrame) -> DataFrame:
+    """The facts that totals are made of: hours with a valid reading."""
+    return facts.where("hour is not null and valid > 0")
+
+
 def with_net_flow(per_hour: DataFrame) -> DataFrame:
     """The columns of hourly totals from sums per location and hour."""
     return per_hour.select(
