@@ -1,20 +1,26 @@
-"""Parquet tables partitioned by date. Executors write them; Spark's commit publishes
-the files of a job all together or not at all."""
+"""Parquet tables: hourly partitioned by date, daily by month. Executors write them. A job
+that fails before its commit publishes nothing, but a commit is not one step: a full refresh
+first removes the old files, and replacing partitions renames them one after another. Write a
+full refresh to a folder of its own and switch readers over."""
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions.rows import literal_rows
 from footfall.model import DAILY, HOURLY
 from footfall.operators.contract import require_not_null, require_schema
+from footfall.operators.totals import daily_totals
+from footfall.session import scratch_dir
+from footfall.sources.folders import delete_folders, subfolders
 
 logger = logging.getLogger(__name__)
 
@@ -43,28 +49,106 @@ def load_report(spark: SparkSession, loads: Sequence[Load]) -> DataFrame:
     return literal_rows(spark, [(x.table, x.rows, x.status) for x in loads], LOAD_REPORT)
 
 
+MONTH = "month"
+_DAY = re.compile(r"([+-]?\d+)-(\d\d)-(\d\d)")
+
+
 def write_hourly(hourly: DataFrame, path: str, *, replace_dates: bool = False) -> Load:
-    return _write_contract("hourly", hourly, path, HOURLY, ("location", "hour"), replace_dates)
+    return _write_contract("hourly", hourly, path, HOURLY, ("date",), ("location", "hour"), replace_dates)
 
 
-def write_daily(daily: DataFrame, path: str, *, replace_dates: bool = False) -> Load:
-    return _write_contract("daily", daily, path, DAILY, ("location",), replace_dates)
+def write_daily(daily: DataFrame, path: str, *, replace_months: bool = False) -> Load:
+    """One folder a month: a day has but one row per location."""
+    return _write_contract("daily", daily, path, DAILY, (MONTH,), ("location", "date"), replace_months)
 
 
 def _write_contract(
-    table: str, df: DataFrame, path: str, contract: T.StructType, sort_by: Sequence[str], replace_dates: bool
+    table: str,
+    df: DataFrame,
+    path: str,
+    contract: T.StructType,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str],
+    replace: bool,
 ) -> Load:
-    """Full refresh, or with ``replace_dates`` only the days present in ``df``."""
+    """Full refresh, or with ``replace`` only the partitions present in ``df``."""
     require_schema({table: df.schema}, {table: contract})
     checked = require_not_null(df, contract)
-    load = Load(table, write_partitions(checked, path, ("date",), sort_by, replace=replace_dates))
+    if MONTH in partition_by:
+        checked = checked.withColumn(MONTH, month_of(F.col("date")))
+    load = Load(table, write_partitions(checked, path, partition_by, sort_by, replace=replace))
     if load.rows:
-        logger.info("loaded %d rows into %s", load.rows, table)
+        logger.info("%s: %d rows written to %s", table, load.rows, path)
     else:
-        logger.warning("no rows for %s", table)
+        logger.warning("%s: nothing to write to %s", table, path)
     return load
 
 
+def month_of(date: Column) -> Column:
+    """Year and month as text, also for years that a faulty clock gives."""
+    return F.regexp_extract(date.cast("string"), r"^([+-]?\d+-\d\d)-", 1)
+
+
+def loaded_dates(spark: SparkSession, path: str) -> list[str]:
+    """The days of a table partitioned by date, oldest first: its folders' names, no file is
+    opened. As text, because a faulty clock may give a year that Python's dates cannot hold."""
+    days = [name.removeprefix("date=") for name in subfolders(spark, path) if name.startswith("date=")]
+    return sorted([day for day in days if _DAY.fullmatch(day)], key=_day_order)
+
+
+def _day_order(day: str) -> tuple[int, ...]:
+    return tuple(map(int, _DAY.fullmatch(day).groups()))
+
+
+def dates_table(spark: SparkSession, path: str) -> DataFrame:
+    """``loaded_dates`` as a table (date)."""
+    schema = T.StructType([T.StructField("date", T.StringType())])
+    return literal_rows(spark, [(day,) for day in loaded_dates(spark, path)], schema).select(F.col("date").cast("date"))
+
+
+def drop_dates(spark: SparkSession, path: str, days: Iterable[str]) -> None:
+    """Remove the folders of some days."""
+    delete_folders(spark, [f"{path}/date={day}" for day in days])
+
+
+def drop_before(spark: SparkSession, path: str, cutoff: dt.date) -> list[str]:
+    """Retention: remove the folders of all days before ``cutoff``, and say which."""
+    days = loaded_dates(spark, path)
+    old = [day for day in days if _day_order(day) < _day_order(cutoff.isoformat())]
+    drop_dates(spark, path, old)
+    return old
+
+
+def replace_days(spark: SparkSession, hourly: DataFrame, out: str, days: Sequence[str]) -> list[Load]:
+    """Put ``hourly`` in the place of the given days of the hourly table, also where a day has
+    no rows any more, and make the daily table of their months anew from it."""
+    # Written first, as both the table and the days that have rows come from it.
+    path = f"{scratch_dir(spark)}/days"
+    hourly.write.parquet(path)
+    fresh = spark.read.schema(hourly.schema).parquet(path)
+    load = write_hourly(fresh, f"{out}/hourly", replace_dates=True)
+    filled = {r.date for r in fresh.select(F.col("date").cast("string")).distinct().collect()}
+    emptied = set(loaded_dates(spark, f"{out}/hourly")) & set(days) - filled
+    drop_dates(spark, f"{out}/hourly", emptied)
+    return [load, refresh_months(spark, out, {day[:-3] for day in days})]
+
+
+def refresh_months(spark: SparkSession, out: str, months: set[str]) -> Load:
+    """The daily table's months from the hourly table, whose other days are not listed."""
+    days = [day for day in loaded_dates(spark, f"{out}/hourly") if day[:-3] in months]
+    delete_folders(spark, [f"{out}/daily/{MONTH}={m}" for m in months - {day[:-3] for day in days}])
+    if not days:
+        return Load("daily", 0)
+    hourly = read_days(spark, f"{out}/hourly", HOURLY, days)
+    return write_daily(daily_totals(hourly.select(*HOURLY.names)), f"{out}/daily", replace_months=True)
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str]) -> DataFrame:
+    """A date-partitioned table's rows of some days; only their folders are listed."""
+    folders = [f"{path}/date={day}" for day in days]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -113,5 +197,5 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 
 def retained(table: DataFrame, cutoff: dt.date) -> DataFrame:
     """Rows of the dates to keep. On a table partitioned by date this is a choice of
-    directories; write it to a new path to drop the old ones for good."""
+    directories; ``drop_before`` removes the old ones for good."""
     return table.where(F.col("date") >= F.lit(cutoff))
