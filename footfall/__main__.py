@@ -1,10 +1,11 @@
-"""Command line: ``python -m footfall batch|ingest|show ...``; see --help."""
+"""Command line: ``python -m footfall batch|ingest|show|prune ...``; see --help."""
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
 import logging
+import os
 import sys
 
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from footfall.operators.rejects import ROW_RULES
 from footfall.plans.batch import DEFAULT_RULES, Gates, run_batch
 from footfall.session import build_session
 from footfall.sinks import jdbc
-from footfall.sinks.tables import read_daily, read_hourly
+from footfall.sinks.tables import drop_before, loaded_dates, read_daily, read_hourly
 from footfall.sources.readings import NoReadingsError, list_files, read_readings
-from footfall.streaming.ingest import start_ingest
+from footfall.streaming.ingest import run_ingest
 
 logger = logging.getLogger("footfall")
 
@@ -33,19 +34,28 @@ def parser() -> argparse.ArgumentParser:
     commands = top.add_subparsers(dest="command", required=True)
 
     batch = commands.add_parser("batch", help="full run over all readings into a new folder")
-    ingest = commands.add_parser("ingest", help="load the files that earlier ingests have not seen")
+    ingest = commands.add_parser("ingest", help="load the files that are new or changed since the last ingest")
     for command in (batch, ingest):
         command.add_argument("input", help="folder with one folder of CSV files per location")
         command.add_argument("output", help="folder for the tables")
         command.add_argument("--partitioned", action="store_true", help="input has location=/file_date= folders")
         command.add_argument("--strict", action="store_true", help="also reject malformed and negative readings")
+        command.add_argument("--max-rejection-rate", type=float, help="warn of locations with a higher share of rejects")
+        command.add_argument("--max-null-rate", type=float, help="gate: share of missing counts")
+        command.add_argument("--min-rows", type=int, help="gate: readings per location and day")
+        command.add_argument("--max-age-hours", type=float, help="gate: age of a location's latest reading")
+        command.add_argument("--as-of", type=dt.datetime.fromisoformat, help="time the age is measured at")
     batch.add_argument("--drop-duplicates", action="store_true", help="count a repeated reading once")
-    batch.add_argument("--max-rejection-rate", type=float, help="warn of locations with a higher share of rejects")
-    batch.add_argument("--max-null-rate", type=float, help="gate: share of missing counts")
-    batch.add_argument("--min-rows", type=int, help="gate: readings per location and day")
-    batch.add_argument("--max-age-hours", type=float, help="gate: age of a location's latest reading")
-    batch.add_argument("--as-of", type=dt.datetime.fromisoformat, help="time the age is measured at")
-    batch.add_argument("--jdbc-url", help="also refresh the tables hourly_aggregations and daily_aggregations there")
+    batch.add_argument(
+        "--jdbc-url",
+        default=os.environ.get("FOOTFALL_JDBC_URL"),
+        help="also refresh the tables hourly_aggregations and daily_aggregations there; user and password are"
+        " taken from FOOTFALL_JDBC_USER and FOOTFALL_JDBC_PASSWORD",
+    )
+
+    prune = commands.add_parser("prune", help="remove the hourly rows of days before a date")
+    prune.add_argument("output", help="folder that batch or ingest wrote")
+    prune.add_argument("--before", type=dt.date.fromisoformat, required=True)
 
     show = commands.add_parser("show", help="print one day of some locations")
     show.add_argument("output", help="folder that batch or ingest wrote")
@@ -54,20 +64,24 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def gates_of(args) -> Gates:
+    return Gates(args.max_null_rate, args.min_rows, args.max_age_hours, args.as_of)
+
+
 def batch(spark, args) -> None:
     tables = {"hourly_aggregations": HOURLY, "daily_aggregations": DAILY}
+    login = jdbc.login_from(os.environ)
     if args.jdbc_url:
         # Before any data is read: a wrong address or table ends the run here.
-        jdbc.check_targets(spark, args.jdbc_url, tables)
-    expected = 0
-    if args.drop_duplicates and not args.partitioned:
-        expected = (list_files(spark, args.input).agg(F.sum("bytes")).first()[0] or 0) // BYTES_PER_LINE
+        jdbc.create_tables(spark, args.jdbc_url, tables, **login)
+        jdbc.check_targets(spark, args.jdbc_url, tables, **login)
+    expected = expected_rows(spark, args.input, args.partitioned) if args.drop_duplicates else 0
     run = run_batch(
         read_readings(spark, args.input, partitioned=args.partitioned),
         args.output,
         rules=ROW_RULES if args.strict else DEFAULT_RULES,
         drop_duplicates=args.drop_duplicates,
-        gates=Gates(args.max_null_rate, args.min_rows, args.max_age_hours, args.as_of),
+        gates=gates_of(args),
         max_rejection_rate=args.max_rejection_rate,
         expected_rows=expected,
     )
@@ -77,31 +91,52 @@ def batch(spark, args) -> None:
             "daily_aggregations": read_daily(spark, f"{args.output}/daily"),
         }
         for table, rows in written.items():
-            jdbc.write_jdbc(rows, tables[table], args.jdbc_url, table)
+            jdbc.write_jdbc(rows, tables[table], args.jdbc_url, table, **login)
     for stage, rows, seconds in run.stages:
-        logger.info("%-9s %12d rows %8.1f s", stage, rows, seconds)
+        logger.info("%-9s %12d rows %s", stage, rows, "" if seconds is None else f"{seconds:8.1f} s")
+
+
+def expected_rows(spark, root: str, partitioned: bool) -> int:
+    """As many readings as the files can hold, from their sizes."""
+    size = list_files(spark, root, partitioned=partitioned).agg(F.sum("bytes")).first()[0] or 0
+    return size // BYTES_PER_LINE
 
 
 def ingest(spark, args) -> None:
-    rules = ROW_RULES if args.strict else DEFAULT_RULES
-    start_ingest(spark, args.input, args.output, partitioned=args.partitioned, rules=rules).awaitTermination()
+    run = run_ingest(
+        spark,
+        args.input,
+        args.output,
+        partitioned=args.partitioned,
+        rules=ROW_RULES if args.strict else DEFAULT_RULES,
+        gates=gates_of(args),
+        max_rejection_rate=args.max_rejection_rate,
+    )
+    logger.info("%d files in %d batches", run.files, len(run.batches))
 
 
 def show(spark, args) -> None:
-    page = dashboard(read_hourly(spark, f"{args.output}/hourly"), args.locations, args.date)
+    # The earliest day's name comes from the table's folders, without opening a file.
+    date = args.date or next(iter(loaded_dates(spark, f"{args.output}/hourly")), None)
+    page = dashboard(read_hourly(spark, f"{args.output}/hourly"), args.locations, date)
     page.selected_date.show()
     # One day has at most 24 hours per location asked for.
     page.hours.show(24 * len(args.locations), truncate=False)
     page.summary.show(len(args.locations), truncate=False)
 
 
+def prune(spark, args) -> None:
+    for day in drop_before(spark, f"{args.output}/hourly", args.before):
+        logger.info("removed %s", day)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(master=args.master)
     try:
-        {"batch": batch, "ingest": ingest, "show": show}[args.command](spark, args)
+        {"batch": batch, "ingest": ingest, "show": show, "prune": prune}[args.command](spark, args)
     except (NoReadingsError, ContractError, QualityGateError) as error:
         logger.error("%s", error)
         return 1

@@ -16,18 +16,28 @@ from pyspark.sql import types as T
 from footfall.functions.rows import literal_rows
 from footfall.model import COUNT_COLUMNS, READING
 from footfall.operators.cleansing import fill_missing
-from footfall.operators.dates import listed_dates, readings_of_dates, rows_of_dates
-from footfall.operators.gates import gate_max_age, gate_min_rows, gate_null_rate, require_passed
+from footfall.operators.dates import listed_dates, readings_of_dates, slices
+from footfall.operators.gates import expected_days, gate_max_age, gate_min_rows, gate_null_rate, require_passed
+from footfall.operators.monitoring import misfiled_readings
 from footfall.operators.profiling import profile_report
 from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, flag_with_duplicates, is_rejected, rejection_rate
-from footfall.operators.totals import daily_totals, hourly_facts, hourly_occupancy, with_net_flow, with_occupancy
+from footfall.operators.totals import (
+    daily_totals,
+    hourly_facts,
+    hourly_occupancy,
+    valid_hours,
+    with_net_flow,
+    with_occupancy,
+)
 from footfall.session import sized_shuffles
-from footfall.sinks.tables import Load, read_hourly, write_daily, write_hourly, write_partitions
+from footfall.sinks.tables import Load, read_hourly, replace_days, write_daily, write_hourly, write_partitions
 
 logger = logging.getLogger(__name__)
 
 # A reading without a time belongs to no hour, so this rule is always needed.
 DEFAULT_RULES = (BAD_TIMESTAMP,)
+# What makes two readings the same: also the texts that could not be read.
+PROFILED = (*READING.names, "timestamp_text", "malformed_line")
 STAGES = T.StructType(
     [
         T.StructField("stage", T.StringType()),
@@ -46,12 +56,12 @@ class Gates:
     max_age_hours: float | None = None
     as_of: dt.datetime | None = None
 
-    def check(self, facts: DataFrame) -> list[DataFrame]:
+    def check(self, facts: DataFrame, expected: DataFrame | None = None) -> list[DataFrame]:
         checks = []
         if self.max_null_rate is not None:
             checks.append(gate_null_rate(facts, self.max_null_rate))
         if self.min_rows is not None:
-            checks.append(gate_min_rows(facts, self.min_rows))
+            checks.append(gate_min_rows(facts, self.min_rows, expected))
         if self.max_age_hours is not None:
             if self.as_of is None:
                 raise ValueError("the age gate needs as_of")
@@ -65,7 +75,7 @@ class BatchRun:
 
     out: str
     loads: list[Load] = field(default_factory=list)
-    stages: list[tuple[str, int, float]] = field(default_factory=list)
+    stages: list[tuple[str, int, float | None]] = field(default_factory=list)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         return literal_rows(spark, self.stages, STAGES)
@@ -81,12 +91,12 @@ def run_batch(
     max_rejection_rate: float | None = None,
     expected_rows: int = 0,
 ) -> BatchRun:
-    """Writes below ``out``: readings (valid and rejected), profile, rejection_rate,
-    hourly_facts, gates, hourly and daily. ``out`` is the folder of this run; a failed run leaves others
-    untouched.
+    """Writes below ``out``: readings (valid and rejected), profile, misfiled, rejection_rate,
+    hourly_facts, gates, hourly, daily and stages. ``out`` is the folder of this run; a failed
+    run leaves others untouched.
 
-    The source is parsed once and the staged Parquet read twice, for the profile and for
-    the hourly facts. Gates and hourly totals come from the facts, daily totals from the
+    The source is parsed once and the staged Parquet read for the profile, the misfiled rows
+    and the hourly facts. Gates and hourly totals come from the facts, daily totals from the
     hourly table. Shuffles are sized by the number of rows staged, and later of hours;
     ``expected_rows`` sizes the one that dropping duplicates needs before."""
     spark = readings.sparkSession
@@ -102,32 +112,40 @@ def run_batch(
     with sized_shuffles(spark, expected_rows):
         staged, total, bad = stage_readings(readings, f"{out}/readings", rules, drop_duplicates)
     done("raw", total)
-    done("rejected", bad)
+    # Told apart in the same job, so without a time of its own.
+    run.stages.append(("rejected", bad, None))
 
     with sized_shuffles(spark, total):
-        weight = ["copies"] if drop_duplicates else []
-        profile_report(staged.select(*READING.names, *weight)).write.parquet(f"{out}/profile")
+        profiled = staged.select([c for c in (*PROFILED, "copies") if c in staged.columns])
+        profile_report(profiled, READING.names).write.parquet(f"{out}/profile")
         log_profile(spark.read.parquet(f"{out}/profile"))
+        if "file_date" in staged.columns:
+            misfiled_readings(staged).write.parquet(f"{out}/misfiled")
+            log_misfiled(spark.read.parquet(f"{out}/misfiled"), f"{out}/misfiled")
         if max_rejection_rate is not None:
             rejection_rate(staged, max_rejection_rate).write.parquet(f"{out}/rejection_rate")
-            log_alerts(spark.read.parquet(f"{out}/rejection_rate"))
+            log_alerts(spark.read.parquet(f"{out}/rejection_rate"), f"{out}/rejection_rate")
         done("profiled", total)
 
-        facts = hourly_facts(staged.where(F.col("status") == "valid"))
-        hours = write_partitions(facts, f"{out}/hourly_facts", (), replace=False, rebalance=False)
+        facts = hourly_facts(staged)
+        write_partitions(facts, f"{out}/hourly_facts", (), replace=False, rebalance=False)
+        facts = spark.read.schema(facts.schema).parquet(f"{out}/hourly_facts")
+        hours = valid_hours(facts).count()
         done("cleaned", total - bad)
 
     with sized_shuffles(spark, hours):
-        facts = spark.read.schema(facts.schema).parquet(f"{out}/hourly_facts")
-        checks = gates.check(facts) if gates else []
+        expected = expected_days(staged) if "file_date" in staged.columns else None
+        checks = gates.check(facts, expected) if gates else []
         if checks:
             reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
-            require_passed(spark.read.parquet(f"{out}/gates"))
+            require_passed(spark.read.parquet(f"{out}/gates"), f"{out}/gates")
 
-        run.loads.append(write_hourly(with_occupancy(with_net_flow(facts)), f"{out}/hourly"))
+        totals = with_net_flow(valid_hours(facts))
+        run.loads.append(write_hourly(with_occupancy(totals), f"{out}/hourly"))
         done("hourly", run.loads[-1].rows)
         run.loads.append(write_daily(daily_totals(read_hourly(spark, f"{out}/hourly")), f"{out}/daily"))
         done("daily", run.loads[-1].rows)
+    run.metrics(spark).write.parquet(f"{out}/stages")
     return run
 
 
@@ -147,10 +165,19 @@ def log_profile(profile: DataFrame) -> None:
         logger.warning("%d duplicate readings", report.duplicates)
 
 
-def log_alerts(rates: DataFrame, shown: int = 20) -> None:
+def log_misfiled(misfiled: DataFrame, path: str) -> None:
+    """Warn of readings in the file of another day, which the totals count on their own day."""
+    if rows := misfiled.agg(F.sum("rows")).first()[0]:
+        logger.warning("%d readings in the file of another day, all in %s", rows, path)
+
+
+def log_alerts(rates: DataFrame, path: str, shown: int = 20) -> None:
     """Warn of the locations with the highest rejection rates above the threshold."""
-    for row in rates.where("alert").orderBy(F.desc("rejection_rate"), "location").limit(shown).collect():
+    alerts = rates.where("alert")
+    for row in alerts.orderBy(F.desc("rejection_rate"), "location").limit(shown).collect():
         logger.warning("%s: %d of %d readings rejected", row.location, row.rejected_rows, row.total_rows)
+    if (found := alerts.count()) > shown:
+        logger.warning("%d locations with many rejects, all in %s", found, path)
 
 
 def stage_readings(
@@ -179,10 +206,11 @@ def stage_readings(
 
 
 def rebuild_dates(readings: DataFrame, dates: DataFrame, out: str) -> Sequence[Load]:
-    """Compute days anew from all their readings and replace them in the tables of
-    ``out``; other days stay as they are. Running it again changes nothing."""
-    listed = listed_dates(dates)
-    fresh = hourly_occupancy(fill_missing(readings_of_dates(readings, dates, listed)))
-    hourly = write_hourly(fresh, f"{out}/hourly", replace_dates=True)
-    of_dates = rows_of_dates(read_hourly(readings.sparkSession, f"{out}/hourly"), dates, listed)
-    return [hourly, write_daily(daily_totals(of_dates), f"{out}/daily", replace_dates=True)]
+    """Compute days anew from all their readings and replace them in the tables of ``out``,
+    also days that have no readings any more; other days stay as they are. Running it again
+    changes nothing."""
+    loads = []
+    for days in slices(listed_dates(dates)):
+        fresh = hourly_occupancy(fill_missing(readings_of_dates(readings, days)))
+        loads += replace_days(readings.sparkSession, fresh, out, days)
+    return loads

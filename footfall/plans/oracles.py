@@ -338,12 +338,59 @@ ORACLES: dict[str, str] = {
                          date_diff('microsecond', max("timestamp"), TIMESTAMP '{AS_OF}') / CAST(3.6e9 AS DOUBLE) AS age
                   FROM readings GROUP BY location)""",
     ),
+    "gate_null_rate_faulty": _with(
+        "numbered",
+        " UNION ALL ".join(
+            f"""SELECT 'null_rate' AS gate, '{c}' AS key, avg(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) AS value,
+                       CAST({MAX_NULL_RATE} AS DOUBLE) AS threshold,
+                       count(*) FILTER ("{c}" IS NULL) / count(*) <= {MAX_NULL_RATE} AS passed FROM numbered"""
+            for c in ("in", "out")
+        ),
+    ),
+    "gate_min_rows_faulty": _with(
+        "judged",
+        f"""SELECT 'min_rows' AS gate, location || '/' || CAST(day AS VARCHAR) AS key, CAST(n AS DOUBLE) AS value,
+                   CAST({MIN_ROWS} AS DOUBLE) AS threshold, n >= {MIN_ROWS} AS passed
+            FROM (SELECT days.location, days.day, count(r.location) AS n
+                  FROM (SELECT location, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS day
+                        FROM (SELECT location, min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last
+                              FROM (SELECT 'device_' || chr(CAST(65 + user_id % 8 AS INTEGER)) AS location, ts
+                                    FROM events) WHERE CAST(ts AS DATE) <> DATE '{DAY}' GROUP BY location)) AS days
+                  LEFT JOIN (SELECT location, CAST("timestamp" AS DATE) AS day FROM judged
+                             WHERE row_reasons = '' AND CAST("timestamp" AS DATE) <> DATE '{DAY}') AS r
+                  ON r.location = days.location AND r.day = days.day GROUP BY days.location, days.day)""",
+    ),
+    "batch_profile": _with(
+        "numbered",
+        """SELECT count(*) AS total_rows, count(*) FILTER (copy = 1) AS distinct_rows,
+                  count(*) FILTER (copy > 1) AS duplicates, count(*) FILTER ("timestamp" IS NULL) AS null_timestamp,
+                  count(*) FILTER ("in" IS NULL) AS null_in, count(*) FILTER ("out" IS NULL) AS null_out FROM numbered""",
+    ),
+    "batch_misfiled": _with(
+        "filed",
+        """SELECT location, file_date, CAST("timestamp" AS DATE) AS event_date, count(*) AS rows,
+                  CAST(coalesce(sum("in"), 0) AS BIGINT) AS total_in,
+                  CAST(coalesce(sum("out"), 0) AS BIGINT) AS total_out
+           FROM filed WHERE CAST("timestamp" AS DATE) <> file_date GROUP BY 1, 2, 3""",
+    ),
     # incremental
     "incremental_equals_batch": _HOURLY,
+    "incremental_grown_files": _HOURLY,
+    "incremental_progress": _with(
+        "filed",
+        """SELECT location, max("timestamp") AS last_timestamp, count(DISTINCT file_date) AS files, count(*) AS rows
+           FROM filed GROUP BY location""",
+    ),
+    "upsert_withdrawn_day": _DAILY + f" WHERE date <> DATE '{LAST_DAY}'",
     "upsert_dates": _HOURLY,
     # partitions and trends
     "partition_pruned_lookup": _LOOKUP,
     "retention_filter": _HOURLY + f" WHERE date >= DATE '{CUTOFF}'",
+    "retention_drop": _HOURLY + f" WHERE date >= DATE '{CUTOFF}'",
+    "loaded_dates": _with("hourly", "SELECT DISTINCT date FROM hourly"),
+    "default_loaded_date": _with("earliest", "SELECT date FROM earliest"),
+    "empty_load": """SELECT * FROM (VALUES ('hourly', CAST(0 AS BIGINT), 'skipped'), ('daily', CAST(0 AS BIGINT), 'skipped'))
+                     AS loads("table", rows, status)""",
     "monthly_trend": _with(
         "daily",
         """SELECT location, CAST(date_trunc('month', date) AS DATE) AS month,

@@ -20,8 +20,8 @@ from footfall.session import scratch_dir
 from footfall.sinks import tables
 from footfall.sources.events import event_readings, filed_readings, raw_text_readings
 from footfall.sources.feeds import union_feeds
-from footfall.sources.readings import list_locations, parse_lines, read_readings, write_csv_tree
-from footfall.streaming.ingest import start_ingest
+from footfall.sources.readings import list_locations, parse_lines, read_readings, write_csv_tree, write_named_csv
+from footfall.streaming.ingest import read_progress, run_ingest
 
 # Fixed parameters of the registered queries.
 DAY = "2024-01-15"
@@ -357,6 +357,45 @@ def device_progress(spark, sf_dir):
     return monitoring.device_progress(filed_readings(spark, sf_dir))
 
 
+def _faulty_run(spark, sf_dir, **options):
+    """The batch run over faulty readings, all filed under the day they are from."""
+    return run_batch(_faulty_readings(spark, sf_dir), scratch_dir(spark), **options)
+
+
+@_query
+def batch_profile(spark, sf_dir):
+    """The profile that a batch run writes, with the texts that could not be read told apart."""
+    run = _faulty_run(spark, sf_dir)
+    return spark.read.parquet(f"{run.out}/profile").select("total_rows", "distinct_rows", "duplicates", "null_timestamp", "null_in", "null_out")
+
+
+@_query
+def batch_misfiled(spark, sf_dir):
+    run = run_batch(filed_readings(spark, sf_dir), scratch_dir(spark))
+    return spark.read.parquet(f"{run.out}/misfiled")
+
+
+def _faulty_facts(spark, sf_dir):
+    status = F.when(rejects.is_rejected(), "rejected").otherwise("valid")
+    return totals.hourly_facts(rejects.flag_readings(_faulty_readings(spark, sf_dir)).withColumn("status", status))
+
+
+@_query
+def gate_null_rate_faulty(spark, sf_dir):
+    return gates.gate_null_rate(_faulty_facts(spark, sf_dir), MAX_NULL_RATE)
+
+
+@_query
+def gate_min_rows_faulty(spark, sf_dir):
+    """Valid readings of every day from a location's first file to its last, where the files
+    of one day never came."""
+    there = F.col("file_date") != F.lit(DAY).cast("date")
+    faulty = _faulty_readings(spark, sf_dir).where(there)
+    status = F.when(rejects.is_rejected(), "rejected").otherwise("valid")
+    facts = totals.hourly_facts(rejects.flag_readings(faulty).withColumn("status", status))
+    return gates.gate_min_rows(facts, MIN_ROWS, gates.expected_days(faulty))
+
+
 @_query
 def stage_row_counts(spark, sf_dir):
     readings = read_readings(spark, _csv_tree(raw_text_readings(spark, sf_dir)), partitioned=True)
@@ -395,10 +434,49 @@ def incremental_equals_batch(spark, sf_dir):
     on_time = F.col("file_date") == F.to_date("timestamp")
     for arrived in (readings.where(on_time), readings.where(~on_time)):
         write_csv_tree(arrived, f"{out}/in")
-        start_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True).awaitTermination()
+        run_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True)
     return tables.read_hourly(spark, f"{out}/tables/hourly")
 
 
+def _ingested_in_halves(spark, sf_dir):
+    """Every file arrives with the readings before noon, and grows by the others. Both times
+    the files are written anew under the same names."""
+    out = scratch_dir(spark)
+    readings = filed_readings(spark, sf_dir)
+    early = F.hour("timestamp") < 12
+    for arrived in (readings.where(early), readings):
+        write_named_csv(arrived, f"{out}/in")
+        run_ingest(spark, f"{out}/in", f"{out}/tables")
+    return f"{out}/tables"
+
+
+@_query
+def incremental_grown_files(spark, sf_dir):
+    return tables.read_hourly(spark, f"{_ingested_in_halves(spark, sf_dir)}/hourly")
+
+
+@_query
+def incremental_progress(spark, sf_dir):
+    return read_progress(spark, _ingested_in_halves(spark, sf_dir)).select("location", "last_timestamp", "files", "rows")
+
+
+@_query
+def upsert_withdrawn_day(spark, sf_dir):
+    """Two days are rebuilt from readings that no longer have the second."""
+    out = scratch_dir(spark)
+    readings = event_readings(spark, sf_dir)
+    first = totals.hourly_occupancy(fill_missing(readings))
+    tables.write_hourly(first, f"{out}/hourly")
+    tables.write_daily(totals.daily_totals(first), f"{out}/daily")
+    days = readings.select(F.to_date("timestamp").alias("date")).where(F.col("date").isin(_dates(DAY, LAST_DAY)))
+    rebuild_dates(readings.where(F.to_date("timestamp") != F.lit(LAST_DAY).cast("date")), days, out)
+    return tables.read_daily(spark, f"{out}/daily")
+
+
+def _dates(*days: str):
+    return [F.lit(day).cast("date") for day in days]
+
+
 @_query
 def upsert_dates(spark, sf_dir):
     """Tables without the misfiled readings; then their days are computed again."""
@@ -423,6 +501,39 @@ def retention_filter(spark, sf_dir):
     return tables.retained(_written_hourly(spark, sf_dir), dt.date.fromisoformat(CUTOFF))
 
 
+@_query
+def retention_drop(spark, sf_dir):
+    """The table itself, after the folders of old days were removed."""
+    path = f"{scratch_dir(spark)}/hourly"
+    tables.write_hourly(_hourly(spark, sf_dir), path)
+    tables.drop_before(spark, path, dt.date.fromisoformat(CUTOFF))
+    return tables.read_hourly(spark, path)
+
+
+@_query
+def loaded_dates(spark, sf_dir):
+    """The days that a written table has, from its folders alone."""
+    path = f"{scratch_dir(spark)}/hourly"
+    tables.write_hourly(_hourly(spark, sf_dir), path)
+    return tables.dates_table(spark, path)
+
+
+@_query
+def default_loaded_date(spark, sf_dir):
+    path = f"{scratch_dir(spark)}/hourly"
+    tables.write_hourly(_hourly(spark, sf_dir), path)
+    return tables.dates_table(spark, path).agg(F.min("date").alias("date"))
+
+
+@_query
+def empty_load(spark, sf_dir):
+    """Loads of readings that all lie before the day asked for: nothing is left to write."""
+    out = scratch_dir(spark)
+    hourly = _hourly(spark, sf_dir).where(F.col("date") > F.lit("2030-01-01").cast("date"))
+    loads = [tables.write_hourly(hourly, f"{out}/hourly"), tables.write_daily(totals.daily_totals(hourly), f"{out}/daily")]
+    return tables.load_report(spark, loads)
+
+
 @_query
 def monthly_trend(spark, sf_dir):
     return trends.monthly_trend(_daily(spark, sf_dir))

@@ -1,156 +1,341 @@
-"""Incremental ingest: each run loads the files that earlier runs have not seen.
+"""Incremental ingest: each run loads the files that are new, or changed since they were loaded.
 
-Which files were seen is kept by the file source in the stream's checkpoint. A time
-mark ("everything up to 09:50 is done") would lose readings, because a late file may
+The ledger, a table of its own, has every file by its path, length and time of change. What
+is not in it like that is read; a changed file's rows take the place of those it had before.
+A time mark ("everything up to 09:50 is done") would lose readings, because a late file may
 hold older ones.
 
-A micro-batch is written in three steps, each replacing its own partitions, so that a
-batch run again after a failure changes nothing:
+A run cuts its files into batches. A batch is written in steps, each into folders of its own
+that a repetition replaces, so a run that failed can simply be started again:
 
-1. ``readings``: the batch's rows by batch, status and event date.
-2. ``hourly_parts``: the batch's share of each hourly total, by date and batch.
-3. ``hourly`` and ``daily``: the days the batch touched, summed over all their parts.
+1. ``readings``: the lines of its files by batch and status, map-only.
+2. ``hourly_parts``: totals by file and hour, from one pass over these rows.
+3. ``ledger`` and ``superseded``: its files, and the batches that had them before. From now
+   on the batch counts.
+4. ``hourly`` and ``daily``: the days that the batch or the rows it replaces touch, summed
+   over the parts of all batches. ``merged`` notes that this is done.
 
-Totals are sums, so a late reading costs a merge of small parts, not another pass over
-the day's readings."""
+Totals are sums, so a late reading costs a merge of small parts, not another pass over the
+day's readings. A file without the right header is noted in the ledger and not loaded."""
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Iterable
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
+from footfall.functions.rows import literal_rows
 from footfall.model import HOURLY, READING
-from footfall.operators.cleansing import fill_missing
-from footfall.operators.dates import MAX_LISTED_DATES, listed_dates
-from footfall.operators.monitoring import device_progress
-from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, is_rejected
-from footfall.operators.totals import daily_totals, hourly_totals, with_net_flow, with_occupancy
-from footfall.session import sized_shuffles
-from footfall.sinks.tables import write_daily, write_hourly, write_partitions
-from footfall.sources.readings import KEEP_FILES, stream_readings
-
-# Input of one micro-batch. Large enough to keep a cluster busy, small enough that a
-# failed batch is cheap to repeat.
+from footfall.operators.dates import listed_dates, slices
+from footfall.operators.gates import require_passed
+from footfall.operators.profiling import profile_report
+from footfall.operators.rejects import BAD_TIMESTAMP, flag_readings, is_rejected, rejection_rate
+from footfall.operators.totals import hourly_facts, valid_hours, with_net_flow, with_occupancy
+from footfall.plans.batch import PROFILED, STAGES, Gates, log_alerts, log_profile
+from footfall.session import scratch_dir, sized_shuffles
+from footfall.sinks.tables import read_days, replace_days, write_partitions
+from footfall.sources.folders import exists, subfolders
+from footfall.sources.readings import list_files, read_files
+
+logger = logging.getLogger(__name__)
+
+# Input of one batch. Large enough to keep a cluster busy, small enough that a failed batch is
+# cheap to repeat. The names of a batch's files pass through the driver.
 BATCH_BYTES = 1024**4
+BATCH_FILES = 50_000
+
+LOADED, BAD_HEADER = "loaded", "bad_header"
 
-PART = T.StructType(
+FACTS = T.StructType(
     [
-        *[HOURLY[name] for name in ("location", "hour", "total_in", "total_out", "date")],
+        *[HOURLY[name] for name in ("location", "hour", "total_in", "total_out")],
+        T.StructField("source", T.StringType()),
+        T.StructField("date", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
+LEDGER = (
+    "source string, location string, path string, bytes bigint, modified timestamp, state string,"
+    " days array<string>, rows bigint, last_timestamp timestamp_ntz, batch_id bigint"
+)
+SUPERSEDED = "source string, old_batch bigint, batch_id bigint"
 STAGED = T.StructType(
     [
         *READING.fields,
+        T.StructField("timestamp_text", T.StringType()),
+        T.StructField("malformed_line", T.StringType()),
         T.StructField("file_date", T.DateType()),
         T.StructField("file", T.StringType()),
+        T.StructField("reject_reasons", T.ArrayType(T.StringType())),
+        T.StructField("source", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("status", T.StringType()),
-        T.StructField("date", T.DateType()),
     ]
 )
-PROGRESS = "location string, last_timestamp timestamp_ntz, files bigint, rows bigint, batch_id bigint"
 
 
-def start_ingest(
+@dataclass
+class IngestRun:
+    """What a run has loaded; ``stages`` are in the table of this name, too."""
+
+    out: str
+    batches: list[int] = field(default_factory=list)
+    files: int = 0
+
+
+def source_of() -> Column:
+    """A file's name within the input, whatever the layout."""
+    return F.concat_ws("/", "location", F.coalesce(F.col("file_date").cast("string"), F.lit("")), "file")
+
+
+def run_ingest(
     spark: SparkSession,
     root: str,
     out: str,
     *,
     partitioned: bool = False,
     rules: Iterable[str] = (BAD_TIMESTAMP,),
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: int | None = BATCH_BYTES,
-    max_file_age: str = KEEP_FILES,
-) -> StreamingQuery:
-    """Load all new files below ``root`` into the tables below ``out``, then stop. The
-    limits only cut a large backlog into batches; every file is loaded in some batch."""
-    stream = stream_readings(
-        spark,
-        root,
-        partitioned=partitioned,
-        max_files_per_trigger=max_files_per_trigger,
-        max_bytes_per_trigger=max_bytes_per_trigger,
-        max_file_age=max_file_age,
-    )
+    gates: Gates | None = None,
+    max_rejection_rate: float | None = None,
+    batch_bytes: int = BATCH_BYTES,
+    batch_files: int = BATCH_FILES,
+) -> IngestRun:
+    """Load all new and changed files below ``root`` into the tables below ``out``. The
+    limits only cut a large backlog into batches; every file is loaded in some batch. A batch
+    that fails a gate ends the run before it counts; its files are new to the next run."""
+    run = IngestRun(out)
+    finish_merges(spark, out)
+    path = f"{scratch_dir(spark)}/pending"
+    pending_files(spark, root, out, partitioned).write.parquet(path)
+    pending = spark.read.parquet(path)
+    run.files, size = pending.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    parts = max(1, -(-size // batch_bytes), -(-run.files // batch_files))
+    for part in range(parts if run.files else 0):
+        files = pending.where(F.pmod(F.xxhash64("source"), F.lit(parts)) == part)
+        paths = [row.path for row in files.select("path").collect()]
+        if paths:
+            batch = read_files(spark, root, paths, partitioned=partitioned)
+            number = next_batch(spark, out)
+            load_batch(batch, number, out, rules, files=files, gates=gates, max_rejection_rate=max_rejection_rate)
+            run.batches.append(number)
+    return run
+
+
+def pending_files(spark: SparkSession, root: str, out: str, partitioned: bool = False) -> DataFrame:
+    """Files that the ledger does not have with this length and time of change."""
+    listed = list_files(spark, root, partitioned=partitioned).withColumn("source", source_of())
+    known = read_ledger(spark, out).select("source", "bytes", "modified")
+    return listed.join(known, ["source", "bytes", "modified"], "left_anti")
+
+
+def next_batch(spark: SparkSession, out: str) -> int:
+    """A number that no batch has, not even one that failed and counts for nothing."""
+    return 1 + max(_numbers(spark, f"{out}/ledger") | _numbers(spark, f"{out}/readings"), default=-1)
+
+
+def load_batch(
+    batch: DataFrame,
+    batch_id: int,
+    out: str,
+    rules: Iterable[str] = (BAD_TIMESTAMP,),
+    *,
+    files: DataFrame | None = None,
+    gates: Gates | None = None,
+    max_rejection_rate: float | None = None,
+) -> None:
+    """Load readings as one batch. ``files`` has what the ledger says of their files; without
+    it, each file that has rows is noted with no length and time."""
+    spark = batch.sparkSession
     rules = tuple(rules)
-    return (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, out, rules))
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
+    if BAD_TIMESTAMP not in rules:
+        rules = (BAD_TIMESTAMP, *rules)  # a reading without a time belongs to no hour
+    clock, stages = time.monotonic(), []
+
+    def done(stage: str, rows: int) -> None:
+        nonlocal clock
+        now = time.monotonic()
+        stages.append((stage, rows, now - clock))
+        clock = now
+
+    header = F.col("header") if "header" in batch.columns else F.lit(False)
+    status = F.when(header, "header").when(is_rejected(), "rejected").otherwise("valid")
+    number = F.lit(batch_id).cast("bigint")
+    flagged = flag_readings(batch, rules).select(
+        *[F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STAGED.fields[:-4]],
+        F.col("reject_reasons"), source_of().alias("source"), number.alias("batch_id"), status.alias("status"),
+    )
+    rows = write_partitions(flagged, f"{out}/readings", ("batch_id", "status"), replace=True, rebalance=False)
+    staged = _staged(spark, out, batch_id, rows)
+    headers = staged.where("status = 'header'").select("source").distinct()
+    staged = staged.where("status <> 'header'")
+    bad = _bad_headers(files, headers) if files is not None and "header" in batch.columns else None
+    if bad is not None and bad.isEmpty():
+        bad = None
+    if bad is not None:
+        staged = staged.join(bad, "source", "left_anti")
+    done("raw", rows)
+
+    with sized_shuffles(spark, rows):
+        by_file = hourly_facts(staged, "source", "file_date")
+        facts_path = f"{scratch_dir(spark)}/facts"
+        by_file.write.parquet(facts_path)
+        by_file = spark.read.schema(by_file.schema).parquet(facts_path)
+        profile = profile_report(staged.select(*PROFILED), READING.names).withColumn("batch_id", number)
+        write_partitions(profile, f"{out}/profile", ("batch_id",), replace=True)
+        if rows:
+            log_profile(_partitions(spark, profile.schema, f"{out}/profile", batch_id))
+        if max_rejection_rate is not None:
+            rates = rejection_rate(staged, max_rejection_rate).withColumn("batch_id", number)
+            write_partitions(rates, f"{out}/rejection_rate", ("batch_id",), replace=True)
+            log_alerts(_partitions(spark, rates.schema, f"{out}/rejection_rate", batch_id), f"{out}/rejection_rate")
+        filed = (by_file if files is None else files).where("file_date is not null")
+        expected = filed.select("location", F.col("file_date").alias("date")).distinct()
+        checks = gates.check(by_file, expected) if gates else []
+        if checks:
+            found = reduce(DataFrame.unionByName, checks).withColumn("batch_id", number)
+            write_partitions(found, f"{out}/gates", ("batch_id",), replace=True)
+            require_passed(_partitions(spark, found.schema, f"{out}/gates", batch_id), f"{out}/gates")
+        done("profiled", rows)
+
+        parts = with_net_flow_parts(by_file).withColumn("batch_id", number).select(*FACTS.names)
+        hours = write_partitions(parts, f"{out}/hourly_parts", ("date", "batch_id"), ("location", "hour"), replace=True)
+        done("parts", hours)
+
+    _note_files(spark, out, batch_id, by_file, files, bad)
+    merged = merge_batch(spark, out, batch_id)
+    done("hourly", merged)
+    write_partitions(literal_rows(spark, stages, STAGES).withColumn("batch_id", number), f"{out}/stages", ("batch_id",), replace=True)
+
+
+def with_net_flow_parts(by_file: DataFrame) -> DataFrame:
+    """A file's share of its hours' totals."""
+    return valid_hours(by_file).select(
+        "location", "hour", "total_in", "total_out", "source", F.to_date("hour").alias("date")
     )
 
 
-def load_batch(batch: DataFrame, batch_id: int, out: str, rules: Iterable[str] = (BAD_TIMESTAMP,)) -> None:
-    spark = batch.sparkSession
-    staged = flag_readings(batch, rules).select(
-        "*",
-        F.when(is_rejected(), "rejected").otherwise("valid").alias("status"),
-        F.to_date("timestamp").alias("date"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
+def _bad_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
+    return files.where("bytes > 0").select("source").join(headers, "source", "left_anti")
+
+
+def _note_files(
+    spark: SparkSession, out: str, batch_id: int, by_file: DataFrame, files: DataFrame | None, bad: DataFrame | None
+) -> None:
+    """Write the batch's part of the ledger, after what it supersedes."""
+    number = F.lit(batch_id).cast("bigint")
+    seen = by_file.groupBy("source", "location").agg(
+        F.sort_array(F.collect_set(F.when(F.col("valid") > 0, F.to_date("hour").cast("string")))).alias("days"),
+        F.sum("readings").alias("rows"),
+        F.max("latest").alias("last_timestamp"),
     )
-    keys = ("batch_id", "status", "date")
-    rows = write_partitions(staged, f"{out}/readings", keys, ("location", "timestamp"), replace=True)
-    if rows:
-        with sized_shuffles(spark, rows):
-            load_staged(spark, batch_id, out)
+    if files is None:
+        noted = seen.select("*", F.lit(None).cast("string").alias("path"), F.lit(None).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("modified"))
+    else:
+        noted = files.select("source", "location", "path", "bytes", "modified").join(seen.drop("location"), "source", "left")
+    state = F.lit(LOADED)
+    if bad is not None:
+        noted = noted.join(bad.withColumn("bad", F.lit(True)), "source", "left")
+        state = F.when(F.col("bad"), BAD_HEADER).otherwise(LOADED)
+    noted = noted.select(
+        "source", "location", "path", "bytes", "modified", state.alias("state"),
+        F.coalesce("days", F.array().cast("array<string>")).alias("days"),
+        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "last_timestamp", number.alias("batch_id"),
+    )
+    earlier = current_files(spark, out).where(F.col("batch_id") < batch_id).select("source", F.col("batch_id").alias("old_batch"))
+    superseded = noted.select("source").join(earlier, "source").withColumn("batch_id", number)
+    write_partitions(superseded, f"{out}/superseded", ("batch_id",), replace=True)
+    write_partitions(noted, f"{out}/ledger", ("batch_id",), replace=True)
+    if bad is not None:
+        logger.warning("%d files without the right header, see %s/ledger", bad.count(), out)
+
 
+def merge_batch(spark: SparkSession, out: str, batch_id: int) -> int:
+    """Bring the batch's days, and those of the rows it supersedes, into both tables."""
+    old = _table(spark, SUPERSEDED, f"{out}/superseded").where(F.col("batch_id") == batch_id)
+    ledger = read_ledger(spark, out).select("source", "batch_id", F.explode("days").alias("date"))
+    replaced = ledger.join(old.select("source", F.col("old_batch").alias("batch_id")), ["source", "batch_id"])
+    touched = ledger.where(F.col("batch_id") == batch_id).select("date").unionByName(replaced.select("date"))
+    rows = merge_dates(spark, listed_dates(touched), out)
+    write_partitions(spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(rows).alias("rows")), f"{out}/merged", ("batch_id",), replace=True)
+    return rows
 
-def load_staged(spark: SparkSession, batch_id: int, out: str) -> None:
-    """Read a batch back, so that its files are parsed once, and load it. Only the batch's
-    own folder is listed, and below only the folders of its days."""
-    number = F.lit(batch_id).cast("bigint").alias("batch_id")
-    rows = _partitions(spark, STAGED, f"{out}/readings", f"batch_id={batch_id}")
-    progress = device_progress(rows).select("*", number)
-    write_partitions(progress, f"{out}/progress", ("batch_id",), replace=True)
 
-    valid = rows.where(F.col("status") == "valid")
-    parts = hourly_totals(fill_missing(valid)).select("*", number).select(*PART.names)
-    if write_partitions(parts, f"{out}/hourly_parts", ("date", "batch_id"), ("location", "hour"), replace=True):
-        merge_dates(spark, valid.select("date").distinct(), out)
+def finish_merges(spark: SparkSession, out: str) -> None:
+    """Merge batches that count already, but whose run ended before their days were merged."""
+    for batch_id in sorted(_numbers(spark, f"{out}/ledger") - _numbers(spark, f"{out}/merged")):
+        merge_batch(spark, out, batch_id)
 
 
-def merge_dates(spark: SparkSession, dates: DataFrame, out: str, limit: int = MAX_LISTED_DATES) -> None:
+def merge_dates(spark: SparkSession, days: list[str], out: str) -> int:
     """Sum the parts of the given days and replace these days in both tables."""
-    listed = listed_dates(dates, limit)
-    parts = _of_dates(spark, PART, f"{out}/hourly_parts", dates, listed)
-    summed = parts.groupBy("location", "hour").agg(
-        F.sum("total_in").alias("total_in"), F.sum("total_out").alias("total_out")
-    )
-    write_hourly(with_occupancy(with_net_flow(summed)), f"{out}/hourly", replace_dates=True)
-    hourly = _of_dates(spark, HOURLY, f"{out}/hourly", dates, listed).select(*HOURLY.names)
-    write_daily(daily_totals(hourly), f"{out}/daily", replace_dates=True)
+    rows = 0
+    for some in slices(days):
+        # A superseded file's days may have lost their folder, or never had one.
+        there = [day for day in some if exists(spark, f"{out}/hourly_parts/date={day}")]
+        parts = read_days(spark, f"{out}/hourly_parts", FACTS, there) if there else literal_rows(spark, [], FACTS)
+        current = parts.join(current_files(spark, out).select("source", "batch_id"), ["source", "batch_id"], "left_semi")
+        summed = current.groupBy("location", "hour").agg(
+            F.sum("total_in").alias("total_in"), F.sum("total_out").alias("total_out")
+        )
+        rows += replace_days(spark, with_occupancy(with_net_flow(summed)), out, some)[0].rows
+    return rows
+
+
+def read_ledger(spark: SparkSession, out: str) -> DataFrame:
+    """Every file that counts or counted, with the batch that read it."""
+    return _table(spark, LEDGER, f"{out}/ledger")
+
+
+def current_files(spark: SparkSession, out: str) -> DataFrame:
+    """The ledger without the files' earlier versions."""
+    ledger = read_ledger(spark, out)
+    # What a batch supersedes counts once the batch itself does.
+    noted = ledger.select("batch_id").distinct()
+    gone = _table(spark, SUPERSEDED, f"{out}/superseded").join(noted, "batch_id", "left_semi")
+    return ledger.join(gone.select("source", F.col("old_batch").alias("batch_id")), ["source", "batch_id"], "left_anti")
+
+
+def read_ingested(spark: SparkSession, out: str) -> DataFrame:
+    """The readings that count, valid and rejected, from the files as they were last loaded."""
+    loaded = current_files(spark, out).where(F.col("state") == LOADED).select("source", "batch_id")
+    rows = _table(spark, STAGED, f"{out}/readings").where("status <> 'header'")
+    return rows.join(loaded, ["source", "batch_id"], "left_semi")
 
 
 def read_progress(spark: SparkSession, out: str) -> DataFrame:
-    """Per location over all batches: latest timestamp, files and rows."""
-    return (
-        spark.read.schema(PROGRESS)
-        .parquet(f"{out}/progress")
-        .groupBy("location")
-        .agg(
-            F.max("last_timestamp").alias("last_timestamp"),
-            F.sum("files").alias("files"),
-            F.sum("rows").alias("rows"),
-        )
+    """Per location: latest timestamp, files and rows."""
+    loaded = current_files(spark, out).where(F.col("state") == LOADED)
+    return loaded.groupBy("location").agg(
+        F.max("last_timestamp").alias("last_timestamp"), F.count("*").alias("files"), F.sum("rows").alias("rows")
     )
 
 
-def _partitions(spark: SparkSession, schema: T.StructType, table: str, *folders: str) -> DataFrame:
-    paths = [f"{table}/{folder}" for folder in folders]
-    return spark.read.schema(schema).option("basePath", table).parquet(*paths)
+def _numbers(spark: SparkSession, table: str) -> set[int]:
+    """The batches that a table has folders of."""
+    return {int(name.removeprefix("batch_id=")) for name in subfolders(spark, table) if name.startswith("batch_id=")}
+
+
+def _table(spark: SparkSession, schema: T.StructType | str, table: str) -> DataFrame:
+    if not exists(spark, table):
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _struct(schema).fields])
+    return spark.read.schema(schema).parquet(table)
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _partitions(spark: SparkSession, schema: T.StructType, table: str, batch_id: int) -> DataFrame:
+    return spark.read.schema(schema).option("basePath", table).parquet(f"{table}/batch_id={batch_id}")
 
 
-def _of_dates(
-    spark: SparkSession, schema: T.StructType, table: str, dates: DataFrame, listed: list[str] | None
-) -> DataFrame:
-    """The table's rows of some days; listed days name their directories, so that the
-    listing does not grow with the table."""
-    if listed is not None:
-        return _partitions(spark, schema, table, *[f"date={day}" for day in listed])
-    return spark.read.schema(schema).parquet(table).join(dates, "date", "left_semi")
+def _staged(spark: SparkSession, out: str, batch_id: int, rows: int) -> DataFrame:
+    if not rows:
+        return literal_rows(spark, [], STAGED)
+    return _partitions(spark, STAGED, f"{out}/readings", batch_id)
