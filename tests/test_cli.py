@@ -33,3 +33,19 @@ def test_ingest(run, spark, tree, tmp_path):
 def test_failed_gate_and_missing_input(run, tree, tmp_path):
     assert run(["batch", tree(fx.FILES), str(tmp_path / "out"), "--min-rows", "3"]) == 1
     assert run(["batch", str(tmp_path / "nothing"), str(tmp_path / "out2")]) == 1
+
+
+def test_prune(run, spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    assert run(["ingest", tree(fx.FILES), out, "--min-rows", "1"]) == 0
+    assert run(["prune", out, "--before", "2024-03-02"]) == 0
+    assert {r[1].day for r in fx.hourly_tuples(read_hourly(spark, f"{out}/hourly"))} == {2}
+    assert run(["ingest", str(tmp_path / "nothing"), out]) == 1
+
+
+def test_duplicates_are_sized_from_bytes_in_both_layouts(spark, tree):
+    root = tree(fx.FILES)
+    plain = cli.expected_rows(spark, root, False)
+    assert plain == sum(map(len, fx.FILES.values())) // cli.BYTES_PER_LINE
+    parts = tree({f"location={k.split('/')[0]}/file_date={k.split('/')[1][:-4]}/part.csv": v for k, v in fx.FILES.items()}, "parts")
+    assert cli.expected_rows(spark, parts, True) == plain

@@ -82,9 +82,9 @@ def test_duplicates(spark, rows):
 def test_any_split_into_batches(spark, rows, data):
     batch_of = data.draw(st.lists(st.integers(0, 2), min_size=len(rows), max_size=len(rows)))
     out = tempfile.mkdtemp(prefix="footfall-test-")
-    for number in range(3):
+    for number in range(3):  # each in a file of its own
         part = [row for row, b in zip(rows, batch_of) if b == number]
-        batch = spark.createDataFrame(part, READING).withColumn("file", F.lit("f"))
+        batch = spark.createDataFrame(part, READING).withColumn("file", F.lit(f"f{number}"))
         load_batch(batch, number, out)
     if rows:
         assert found_hourly(read_hourly(spark, f"{out}/hourly")) == expected_hourly(rows)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.time import hour_bucket, parse_timestamp
 from footfall.sources.feeds import union_feeds
-from footfall.sources.readings import NoReadingsError, list_files, list_locations, parse_lines, read_readings
+from footfall.sources.readings import NoReadingsError, list_files, list_locations, parse_lines, read_files, read_readings, write_csv_tree
 
 HEADER = "timestamp,in,out\n"
 
@@ -17,7 +17,7 @@ def rows(df, *columns):
 
 
 def test_location_and_file_date_come_from_the_path(spark, tree):
-    names = ["gate 1", "gate+2", "gate%203", "tür", "x.csv.d", "csv", "v"]
+    names = ["gate 1", "gate+2", "gate%203", "tür", "x.csv.d", "csv", "v", "x.csv", "a{b},[c]*?"]
     root = tree({f"{name}/2024-03-05.csv": HEADER + "2024-03-05T01:00:00,1,0\n" for name in names}, "in put")
     found = read_readings(spark, root).select("location", "file_date").collect()
     assert {r.location for r in found} == set(names)
@@ -39,6 +39,24 @@ def test_only_csv_files_of_location_directories_are_read(spark, tree):
     )
     assert rows(read_readings(spark, root), "location", "file_date") == [("a", dt.date(2024, 3, 5))]
     assert [(r.location, r.bytes) for r in list_files(spark, root).collect()] == [("a", len(HEADER + row))]
+    # A location without files is a location.
+    assert {r.location for r in list_locations(spark, root).collect()} == {"a", "empty"}
+
+
+def test_files_of_the_partitioned_layout_are_listed_and_read(spark, tmp_path):
+    root = str(tmp_path / "in")
+    day = dt.date(2024, 3, 5)
+    names = ["gate+2", "50%", "a:b", "7", "x.csv"]
+    readings = [(n, day if n != "7" else None, dt.datetime(2024, 3, 5, 1), 1, 0) for n in names]
+    schema = "location string, file_date date, timestamp timestamp_ntz, `in` int, out int"
+    write_csv_tree(spark.createDataFrame(readings, schema), root)
+    found = list_files(spark, root, partitioned=True)
+    assert rows(found, "location", "file_date") == sorted([(n, d) for n, d, *_ in readings], key=str)
+    paths = [r.path for r in found.collect()]
+    lines = read_files(spark, root, paths, partitioned=True).where("not header")
+    assert rows(lines, "location", "file_date", "in") == sorted([(n, d, 1) for n, d, *_ in readings], key=str)
+    assert rows(read_readings(spark, root, partitioned=True), "location", "file_date") == rows(lines, "location", "file_date")
+    assert rows(lines, "file") == rows(found, "file")
 
 
 def test_file_name_without_a_date(spark, tree):
@@ -95,6 +113,10 @@ def test_malformed_lines_are_kept_and_told_from_empty_counts(spark, tree, line,
         ("2024-03-05 01:02:03.5", dt.datetime(2024, 3, 5, 1, 2, 3, 500000)),
         ("2024-03-05T01:02:03+02:00", dt.datetime(2024, 3, 4, 23, 2, 3)),
         ("2024-03-05", dt.datetime(2024, 3, 5)),
+        ("2024-03-05T01:02:03Z", dt.datetime(2024, 3, 5, 1, 2, 3)),
+        ("2024-03-05 01:02:03 Europe/Paris", dt.datetime(2024, 3, 5, 0, 2, 3)),
+        ("08:30", None),
+        ("T08:30", None),
         ("05/03/2024 01:02", None),
         ("2024-13-05T01:02:03", None),
         ("xx", None),
@@ -107,6 +129,19 @@ def test_parse_timestamp(spark, text, expected):
     assert df.select(parse_timestamp(F.col("t")).alias("t")).first().t == expected
 
 
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York"])
+def test_parse_timestamp_does_not_depend_on_the_session_zone(spark, zone):
+    """02:30 does not exist in Berlin on the day the clocks change."""
+    texts = ["2024-03-31T02:30:00", "2024-03-31T02:30:00+00:00", "2024-10-27T02:30:00+01:00", "08:30"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        found = [r.t for r in df.select(parse_timestamp(F.col("t")).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 10, 27, 1, 30), None]
+
+
 def test_hour_bucket_does_not_depend_on_the_session_zone(spark):
     """02:30 does not exist in Paris on the day the clocks change."""
     times = [

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import os
 
@@ -63,6 +64,29 @@ def test_a_table_has_one_directory_per_date(hourly, tmp_path):
     assert directories == ["date=2024-03-01", "date=2024-03-02"]
 
 
+def test_daily_has_one_directory_per_month(spark, hourly, tmp_path):
+    tables.write_daily(daily_totals(hourly), str(tmp_path / "t"))
+    assert [d for d in os.listdir(tmp_path / "t") if "=" in d] == ["month=2024-03"]
+    assert fx.daily_tuples(tables.read_daily(spark, str(tmp_path / "t"))) == fx.DAILY
+
+
+def test_dropping_old_days(spark, hourly, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_hourly(hourly, path)
+    assert tables.loaded_dates(spark, path) == ["2024-03-01", "2024-03-02"]
+    assert tables.drop_before(spark, path, dt.date(2024, 3, 2)) == ["2024-03-01"]
+    assert tables.loaded_dates(spark, path) == ["2024-03-02"]
+    assert fx.hourly_tuples(tables.read_hourly(spark, path)) == [r for r in fx.HOURLY if r[1].day == 2]
+    assert [str(r.date) for r in tables.dates_table(spark, path).collect()] == ["2024-03-02"]
+    assert tables.loaded_dates(spark, path + "/none") == []
+
+
+def test_days_are_ordered_by_year_first(spark, tmp_path):
+    for day in ("+12024-01-01", "2024-02-01", "-0001-05-05", "0001-01-01", "__HIVE_DEFAULT_PARTITION__"):
+        (tmp_path / f"date={day}").mkdir()
+    assert tables.loaded_dates(spark, str(tmp_path)) == ["-0001-05-05", "0001-01-01", "2024-02-01", "+12024-01-01"]
+
+
 def test_retention(spark, hourly, tmp_path):
     tables.write_hourly(hourly, str(tmp_path / "t"))
     kept = tables.retained(tables.read_hourly(spark, str(tmp_path / "t")), dt.date(2024, 3, 2))
@@ -149,14 +173,17 @@ def test_a_run_warns_of_faults(spark, tree, tmp_path, caplog):
 def test_a_faulty_clock_does_not_stop_a_run(spark, tree, tmp_path):
     lines = "".join(f"{day}T23:00:00,1,0\n" for day in ("0001-01-01", "9999-12-31", "+12024-01-01"))
     readings = read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n" + lines}))
-    limits = Gates(max_null_rate=0.1, min_rows=1, max_age_hours=24, as_of=dt.datetime(2024, 3, 3))
+    limits = Gates(max_null_rate=0.1, max_age_hours=24, as_of=dt.datetime(2024, 3, 3))
     assert [load.rows for load in run_batch(readings, str(tmp_path / "out"), gates=limits).loads] == [3, 3]
+    # The day that the file is named after has no reading.
+    with pytest.raises(gates.QualityGateError, match="1 quality gates failed.*\\n  min_rows a/2024-03-05: 0.0"):
+        run_batch(readings, str(tmp_path / "out2"), gates=Gates(min_rows=1))
 
 
 def test_a_run_without_readings(spark, tree, tmp_path, caplog):
     run = run_batch(read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n"})), str(tmp_path / "out"))
     assert [load.status for load in run.loads] == ["skipped", "skipped"]
-    assert "no rows for hourly" in caplog.text
+    assert f"hourly: nothing to write to {run.out}/hourly" in caplog.text
 
 
 def test_rebuilding_dates(spark, readings, tmp_path):
@@ -172,6 +199,90 @@ def test_rebuilding_dates(spark, readings, tmp_path):
         assert fx.daily_tuples(tables.read_daily(spark, out + "/daily")) == fx.DAILY
 
 
+def test_rebuilding_a_day_that_lost_its_readings(spark, readings, tmp_path):
+    out = str(tmp_path / "out")
+    full = hourly_occupancy(fill_missing(readings))
+    tables.write_hourly(full, out + "/hourly")
+    tables.write_daily(daily_totals(full), out + "/daily")
+    dates = readings.select(F.to_date("timestamp").alias("date"))
+    rebuild_dates(readings.where("timestamp < '2024-03-02'"), dates, out)
+    assert fx.hourly_tuples(tables.read_hourly(spark, out + "/hourly")) == [r for r in fx.HOURLY if r[1].day == 1]
+    assert fx.daily_tuples(tables.read_daily(spark, out + "/daily")) == [r for r in fx.DAILY if r[1].day == 1]
+    rebuild_dates(readings.where("false"), dates, out)
+    assert tables.read_hourly(spark, out + "/hourly").count() == tables.read_daily(spark, out + "/daily").count() == 0
+
+
+def test_profile_tells_unreadable_rows_apart(spark, tree, tmp_path):
+    lines = "xx,1,0\nyy,1,0\n2024-03-05T01:00:00,a,0\n2024-03-05T01:00:00,b,0\nxx,1,0\n"
+    run = run_batch(read_readings(spark, tree({"a/2024-03-05.csv": "timestamp,in,out\n" + lines})), str(tmp_path / "out"))
+    assert spark.read.parquet(run.out + "/profile").first().duplicates == 1
+
+
+@pytest.mark.parametrize("rules", [("bad_timestamp",), ("bad_timestamp", "malformed", "negative")])
+def test_gates_see_rejected_rows_and_silent_days(spark, tree, tmp_path, rules):
+    files = {
+        "a/2024-03-05.csv": "timestamp,in,out\n2024-03-05T01:00:00,x,0\n2024-03-05T01:00:00,y,0\n2024-03-05T02:00:00,1,0\n",
+        "a/2024-03-07.csv": "timestamp,in,out\n2024-03-07T01:00:00,1,0\n",
+        "b/2024-03-05.csv": "timestamp,in,out\nxx,1,0\n",
+    }
+    readings = read_readings(spark, tree(files))
+    out = str(tmp_path / "out")
+    with pytest.raises(gates.QualityGateError, match="2 quality gates failed") as error:
+        run_batch(readings, out, rules=rules, gates=Gates(min_rows=1))
+    assert "a/2024-03-06: 0.0" in str(error.value) and "b/2024-03-05: 0.0" in str(error.value) and f"{out}/gates" in str(error.value)
+    with pytest.raises(gates.QualityGateError, match="null_rate in: 0.4"):
+        run_batch(readings, str(tmp_path / "out2"), rules=rules, gates=Gates(max_null_rate=0.3))
+
+
+def test_stages_are_stored(spark, readings, tmp_path):
+    run = run_batch(readings, str(tmp_path / "out"))
+    stages = {r.stage: r for r in spark.read.parquet(run.out + "/stages").collect()}
+    assert stages["rejected"].seconds is None and stages["raw"].seconds > 0 and stages["daily"].rows == 4
+    assert spark.read.parquet(run.out + "/misfiled").first().rows == 1
+
+
+def test_jdbc_statements():
+    assert jdbc.create_statements("daily", DAILY)[1] == (
+        "CREATE TABLE IF NOT EXISTS daily_staging (location VARCHAR(255) NOT NULL, date DATE NOT NULL,"
+        " total_in INTEGER NOT NULL, total_out INTEGER NOT NULL, net_flow INTEGER NOT NULL, PRIMARY KEY (location, date))"
+    )
+    assert jdbc.swap_statements("daily", DAILY)[1].startswith("INSERT INTO daily (location, date, ")
+    assert jdbc.login_from({"FOOTFALL_JDBC_USER": "me", "HOME": "/"}) == {"user": "me"}
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_jdbc_statements_run_as_one_transaction(fails):
+    """Stands in for the driver's connection."""
+    done = []
+
+    class Connection:
+        def __getattr__(self, name):
+            return lambda *given: done.append((name, *given)) or self
+
+        def executeUpdate(self, statement):
+            done.append(statement)
+            if fails and statement == "two":
+                raise RuntimeError("no")
+
+    class Spark:
+        class sparkContext:
+            class _jvm:
+                class java:
+                    class util:
+                        Properties = Connection
+
+                    class sql:
+                        class DriverManager:
+                            getConnection = staticmethod(lambda url, properties: Connection())
+
+    with pytest.raises(RuntimeError) if fails else contextlib.nullcontext():
+        jdbc.execute(Spark, "jdbc:x", ["one", "two", "three"], user="me")
+    names = [d if isinstance(d, str) else d[0] for d in done]
+    assert ("setProperty", "user", "me") in done and ("setAutoCommit", False) in done
+    assert names[-2:] == (["rollback", "close"] if fails else ["commit", "close"])
+    assert ("three" in names) != fails
+
+
 def test_jdbc_options_and_types(hourly):
     options = jdbc.jdbc_options("jdbc:postgresql://host/db", "hourly", 4, {"user": "me"})
     assert options["batchsize"] == "1000" and options["truncate"] == "true" and options["numPartitions"] == "4"
@@ -188,9 +299,11 @@ def test_jdbc_write_uses_batches_and_keeps_the_table(spark, hourly, monkeypatch)
     monkeypatch.setattr(DataFrameWriter, "options", lambda self, **given: seen.update(given) or self)
     monkeypatch.setattr(DataFrameWriter, "mode", lambda self, mode: seen.update(mode=mode) or self)
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
+    monkeypatch.setattr(jdbc, "execute", lambda spark, url, statements, **login: seen.update(swap=list(statements)))
     jdbc.write_jdbc(hourly, HOURLY, "jdbc:postgresql://host/db", "hourly_aggregations", user="me")
     assert seen["saved"] and seen["mode"] == "overwrite" and seen["truncate"] == "true"
-    assert seen["batchsize"] == "1000" and seen["user"] == "me" and seen["dbtable"] == "hourly_aggregations"
+    assert seen["batchsize"] == "1000" and seen["user"] == "me" and seen["dbtable"] == "hourly_aggregations_staging"
+    assert seen["swap"] == jdbc.swap_statements("hourly_aggregations", HOURLY)
 
 
 @pytest.mark.parametrize("fault", [None, "drop", "type"])
