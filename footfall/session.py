@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from footfall.sources.folders import delete_at_end
+from footfall.sources.folders import temporary_folder
 
 DEFAULT_CONF = {
     # Readings carry no zone. Pinning the session zone keeps text timestamps
@@ -69,5 +69,5 @@ def scratch_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``, else in its warehouse. It is deleted when the driver ends."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/footfall-{uuid.uuid4().hex}"
-    delete_at_end(spark, path)
+    temporary_folder(spark, path)
     return path

@@ -119,16 +119,21 @@ def drop_before(spark: SparkSession, path: str, cutoff: dt.date) -> list[str]:
     return old
 
 
-def replace_days(spark: SparkSession, hourly: DataFrame, out: str, days: Sequence[str]) -> list[Load]:
+def replace_days(
+    spark: SparkSession, hourly: DataFrame, out: str, days: Sequence[str], may_empty: bool = True
+) -> list[Load]:
     """Put ``hourly`` in the place of the given days of the hourly table, also where a day has
-    no rows any more, and make the daily table of their months anew from it."""
-    # Written first, as both the table and the days that have rows come from it.
-    path = f"{scratch_dir(spark)}/days"
-    hourly.write.parquet(path)
-    fresh = spark.read.schema(hourly.schema).parquet(path)
-    load = write_hourly(fresh, f"{out}/hourly", replace_dates=True)
-    filled = {r.date for r in fresh.select(F.col("date").cast("string")).distinct().collect()}
-    emptied = set(loaded_dates(spark, f"{out}/hourly")) & set(days) - filled
+    no rows any more, and make the daily table of their months anew from it. Rows that were
+    only added empty no day; without ``may_empty`` that is not looked for."""
+    emptied: set[str] = set()
+    if may_empty:
+        # Written first, as both the table and the days that have rows come from it.
+        path = f"{scratch_dir(spark)}/days"
+        hourly.write.parquet(path)
+        hourly = spark.read.schema(hourly.schema).parquet(path)
+        filled = {r.date for r in hourly.select(F.col("date").cast("string")).distinct().collect()}
+        emptied = set(loaded_dates(spark, f"{out}/hourly")) & set(days) - filled
+    load = write_hourly(hourly, f"{out}/hourly", replace_dates=True)
     drop_dates(spark, f"{out}/hourly", emptied)
     return [load, refresh_months(spark, out, {day[:-3] for day in days})]
 

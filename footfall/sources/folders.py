@@ -43,9 +43,10 @@ def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
     fs.rename(only, to)
 
 
-def delete_at_end(spark: SparkSession, folder: str) -> None:
-    """When the driver ends, the folder goes, whether it exists already or not."""
+def temporary_folder(spark: SparkSession, folder: str) -> None:
+    """Make a folder that goes when the driver ends."""
     fs, path = _hadoop(spark, folder)
+    fs.mkdirs(path)
     fs.deleteOnExit(path)
 
 

@@ -13,7 +13,7 @@ that a repetition replaces, so a run that failed can simply be started again:
 3. ``ledger`` and ``superseded``: its files, and the batches that had them before. From now
    on the batch counts.
 4. ``hourly`` and ``daily``: the days that the batch or the rows it replaces touch, summed
-   over the parts of all batches. ``merged`` notes that this is done.
+   over the parts of all batches. The batch's row in ``stages`` notes that this is done.
 
 Totals are sums, so a late reading costs a merge of small parts, not another pass over the
 day's readings. A file without the right header is noted in the ledger and not loaded."""
@@ -187,19 +187,19 @@ def load_batch(
         by_file.write.parquet(facts_path)
         by_file = spark.read.schema(by_file.schema).parquet(facts_path)
         profile = profile_report(staged.select(*PROFILED), READING.names).withColumn("batch_id", number)
-        write_partitions(profile, f"{out}/profile", ("batch_id",), replace=True)
+        _write_batch(profile, f"{out}/profile")
         if rows:
             log_profile(_partitions(spark, profile.schema, f"{out}/profile", batch_id))
         if max_rejection_rate is not None:
             rates = rejection_rate(staged, max_rejection_rate).withColumn("batch_id", number)
-            write_partitions(rates, f"{out}/rejection_rate", ("batch_id",), replace=True)
+            _write_batch(rates, f"{out}/rejection_rate")
             log_alerts(_partitions(spark, rates.schema, f"{out}/rejection_rate", batch_id), f"{out}/rejection_rate")
         filed = (by_file if files is None else files).where("file_date is not null")
         expected = filed.select("location", F.col("file_date").alias("date")).distinct()
         checks = gates.check(by_file, expected) if gates else []
         if checks:
             found = reduce(DataFrame.unionByName, checks).withColumn("batch_id", number)
-            write_partitions(found, f"{out}/gates", ("batch_id",), replace=True)
+            _write_batch(found, f"{out}/gates")
             require_passed(_partitions(spark, found.schema, f"{out}/gates", batch_id), f"{out}/gates")
         done("profiled", rows)
 
@@ -210,7 +210,17 @@ def load_batch(
     _note_files(spark, out, batch_id, by_file, files, bad)
     merged = merge_batch(spark, out, batch_id)
     done("hourly", merged)
-    write_partitions(literal_rows(spark, stages, STAGES).withColumn("batch_id", number), f"{out}/stages", ("batch_id",), replace=True)
+    _note_merged(spark, out, batch_id, stages)
+
+
+def _write_batch(rows: DataFrame, path: str) -> int:
+    """A table with a few rows for each batch, in the place of what the batch wrote before."""
+    return write_partitions(rows, path, ("batch_id",), replace=True, rebalance=False)
+
+
+def _note_merged(spark: SparkSession, out: str, batch_id: int, stages: list[tuple]) -> None:
+    """A batch's stages are written last; a batch without them may not be merged."""
+    _write_batch(literal_rows(spark, stages, STAGES).withColumn("batch_id", F.lit(batch_id).cast("bigint")), f"{out}/stages")
 
 
 def with_net_flow_parts(by_file: DataFrame) -> DataFrame:
@@ -247,43 +257,53 @@ def _note_files(
         F.coalesce("days", F.array().cast("array<string>")).alias("days"),
         F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "last_timestamp", number.alias("batch_id"),
     )
-    earlier = current_files(spark, out).where(F.col("batch_id") < batch_id).select("source", F.col("batch_id").alias("old_batch"))
-    superseded = noted.select("source").join(earlier, "source").withColumn("batch_id", number)
-    write_partitions(superseded, f"{out}/superseded", ("batch_id",), replace=True)
-    write_partitions(noted, f"{out}/ledger", ("batch_id",), replace=True)
+    if _numbers(spark, f"{out}/ledger") - {batch_id}:
+        earlier = current_files(spark, out).where(F.col("batch_id") < batch_id)
+        earlier = earlier.select("source", F.col("batch_id").alias("old_batch"))
+        sources = (noted if files is None else files).select("source")
+        superseded = sources.join(earlier, "source").withColumn("batch_id", number)
+        _write_batch(superseded, f"{out}/superseded")
+    _write_batch(noted, f"{out}/ledger")
     if bad is not None:
         logger.warning("%d files without the right header, see %s/ledger", bad.count(), out)
 
 
 def merge_batch(spark: SparkSession, out: str, batch_id: int) -> int:
     """Bring the batch's days, and those of the rows it supersedes, into both tables."""
-    old = _table(spark, SUPERSEDED, f"{out}/superseded").where(F.col("batch_id") == batch_id)
     ledger = read_ledger(spark, out).select("source", "batch_id", F.explode("days").alias("date"))
-    replaced = ledger.join(old.select("source", F.col("old_batch").alias("batch_id")), ["source", "batch_id"])
-    touched = ledger.where(F.col("batch_id") == batch_id).select("date").unionByName(replaced.select("date"))
-    rows = merge_dates(spark, listed_dates(touched), out)
-    write_partitions(spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(rows).alias("rows")), f"{out}/merged", ("batch_id",), replace=True)
-    return rows
+    touched = ledger.where(F.col("batch_id") == batch_id).select("date")
+    replaces = batch_id in _numbers(spark, f"{out}/superseded")
+    if replaces:
+        old = _table(spark, SUPERSEDED, f"{out}/superseded").where(F.col("batch_id") == batch_id)
+        old = old.select("source", F.col("old_batch").alias("batch_id"))
+        touched = touched.unionByName(ledger.join(old, ["source", "batch_id"]).select("date"))
+    return merge_dates(spark, listed_dates(touched), out, may_empty=replaces)
 
 
 def finish_merges(spark: SparkSession, out: str) -> None:
     """Merge batches that count already, but whose run ended before their days were merged."""
-    for batch_id in sorted(_numbers(spark, f"{out}/ledger") - _numbers(spark, f"{out}/merged")):
-        merge_batch(spark, out, batch_id)
+    for batch_id in sorted(_numbers(spark, f"{out}/ledger") - _numbers(spark, f"{out}/stages")):
+        _note_merged(spark, out, batch_id, [("hourly", merge_batch(spark, out, batch_id), None)])
 
 
-def merge_dates(spark: SparkSession, days: list[str], out: str) -> int:
+def merge_dates(spark: SparkSession, days: list[str], out: str, may_empty: bool = True) -> int:
     """Sum the parts of the given days and replace these days in both tables."""
     rows = 0
+    # Rows of files that have changed since, and of batches that failed before they counted.
+    staged = _numbers(spark, f"{out}/readings")
+    some_do_not_count = exists(spark, f"{out}/superseded") or staged - _numbers(spark, f"{out}/ledger")
     for some in slices(days):
         # A superseded file's days may have lost their folder, or never had one.
         there = [day for day in some if exists(spark, f"{out}/hourly_parts/date={day}")]
         parts = read_days(spark, f"{out}/hourly_parts", FACTS, there) if there else literal_rows(spark, [], FACTS)
-        current = parts.join(current_files(spark, out).select("source", "batch_id"), ["source", "batch_id"], "left_semi")
-        summed = current.groupBy("location", "hour").agg(
+        if some_do_not_count:
+            counting = current_files(spark, out).select("source", "batch_id")
+            parts = parts.join(counting, ["source", "batch_id"], "left_semi")
+        summed = parts.groupBy("location", "hour").agg(
             F.sum("total_in").alias("total_in"), F.sum("total_out").alias("total_out")
         )
-        rows += replace_days(spark, with_occupancy(with_net_flow(summed)), out, some)[0].rows
+        hourly = with_occupancy(with_net_flow(summed))
+        rows += replace_days(spark, hourly, out, some, may_empty)[0].rows
     return rows
 
 
@@ -295,6 +315,8 @@ def read_ledger(spark: SparkSession, out: str) -> DataFrame:
 def current_files(spark: SparkSession, out: str) -> DataFrame:
     """The ledger without the files' earlier versions."""
     ledger = read_ledger(spark, out)
+    if not exists(spark, f"{out}/superseded"):
+        return ledger
     # What a batch supersedes counts once the batch itself does.
     noted = ledger.select("batch_id").distinct()
     gone = _table(spark, SUPERSEDED, f"{out}/superseded").join(noted, "batch_id", "left_semi")

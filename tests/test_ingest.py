@@ -36,9 +36,9 @@ def check(spark, out):
     assert fx.daily_tuples(read_daily(spark, f"{out}/daily")) == fx.DAILY
 
 
-def test_one_file_per_batch(spark, tree, tmp_path):
+def test_several_batches(spark, tree, tmp_path):
     out = str(tmp_path / "out")
-    run(spark, tree(fx.FILES), out, batch_files=1)
+    run(spark, tree(fx.FILES), out, batch_files=2)
     check(spark, out)
     progress = {r.location: (r.last_timestamp, r.files, r.rows) for r in ingest.read_progress(spark, out).collect()}
     assert progress["south"] == (dt.datetime(2024, 3, 2, 12), 2, 3)
@@ -168,7 +168,7 @@ def test_a_run_that_ended_before_its_merge_is_finished_by_the_next(spark, tree,
     run(spark, root, out)
     tree({"a/2024-03-05.csv": HEADER + "2024-03-06T01:00:00,2,0\n"})
     with monkeypatch.context() as patched, pytest.raises(ZeroDivisionError):
-        patched.setattr(ingest, "merge_dates", lambda *_: 1 / 0)
+        patched.setattr(ingest, "merge_dates", lambda *_, **__: 1 / 0)
         run(spark, root, out)
     assert run(spark, root, out).files == 0
     assert days(spark, out) == {("a", "2024-03-06"): 2}
