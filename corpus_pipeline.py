@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.llm.bloom import split_by
 from footfall.llm.common import staged, table
 from footfall.llm.decontamination import contamination
 from footfall.llm.jaccard_join import link_documents
@@ -24,16 +25,19 @@ from footfall.llm.toxicity import score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among ``rejected`` (doc_id); a null id matches a null id."""
-    rejected = rejected.select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti").select(*COLUMNS)
+def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """Rows whose doc_id is not among ``rejected`` (doc_id); a null id matches a null id. A
+    filter keeps most rows, whose texts are long, out of the join."""
+    rejected = staged(rejected.select(F.col("doc_id").alias("rejected_id")).distinct(), name)
+    maybe, others = split_by(docs.select(*COLUMNS), F.col("doc_id"), rejected, "rejected_id")
+    checked = maybe.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
+    return others.unionByName(checked)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar predicts to be toxic go."""
     scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, staged(scored.where("predicted = 1"), "toxic"))
+    return _without(docs, scored.where("predicted = 1"), "toxic")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,15 +47,15 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays."""
-    linked = staged(link_documents(docs), "linked")
-    return _without(docs, linked.where("component_id <> doc_id"))
+    """Of linked documents the one with the smallest doc_id stays; rows that repeat its id are
+    the same document and stay with it."""
+    return _without(docs, link_documents(docs).where("component_id <> doc_id"), "copies")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, staged(found.where("contaminated"), "contaminated"))
+    return _without(docs, found.where("contaminated"), "contaminated")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.bloom import split_by
 from footfall.llm.common import staged
 from footfall.llm.components import components
 from footfall.llm.shingles import shingle_set, word_hashes
-from footfall.llm.url_filter import BITS_PER_RULE, MAX_BLOCKS, MIN_BLOCKS, bloom_filter, may_contain
 
 SHINGLE = 4
 #: Similarity as a fraction, so that the comparison is exact: 85 of 100.
@@ -366,13 +366,11 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
     near = copies.join(matches, "tag").where(F.col("matches") >= asked)
     near = staged(near.select("key", F.col("one_row.doc_id").alias("near_id"), F.col("one_row.text_hash").alias("near_hash")), "near")
 
-    # The whole sets of the texts left, each from one of the rows that have it. A filter of
-    # bounded size keeps most other texts out of the join's shuffle.
-    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, near.count() * BITS_PER_RULE // 64))
-    words = bloom_filter(near.select("near_hash"), "near_hash", blocks).scalar()
+    # The whole sets of the texts left, each from one of the rows that have it.
     same_row = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash"))
-    again = _hashed(docs).where(may_contain(words, blocks, F.col("text_hash"))).join(near, same_row, "left_semi")
-    whole = _shingled(again, size, num, den, whole=True).select("key", "tag", "n_shingles", "hashes")
+    maybe, _ = split_by(_hashed(docs), F.col("text_hash"), near, "near_hash")
+    whole = _shingled(maybe.join(near, same_row, "left_semi"), size, num, den, whole=True)
+    whole = whole.select("key", "tag", "n_shingles", "hashes")
     whole = staged(whole.dropDuplicates(["key"]), "whole")
 
     left = whole.agg(F.sum("n_shingles")).first()[0] or 0

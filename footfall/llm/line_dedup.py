@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.bloom import split_by
 from footfall.llm.common import BLANKS, ascii_lower, packed, staged, unpacked
 
 MIN_CHARS = 40
@@ -62,13 +63,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int
         .groupBy(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_text"))
         .agg(F.collect_set("pos").alias("lost"))
     )
+    lost = staged(lost, "lost_lines")
     columns = docs.columns
     rows = docs.select(packed(docs), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"))
-    joined = rows.join(
-        staged(lost, "lost_lines"),
-        F.col("row.doc_id").eqNullSafe(F.col("lost_id")) & (F.col("text_hash") == F.col("lost_text")),
-        "left",
-    )
+    # Only texts that lose lines have to meet their positions; the others stay where they are.
+    maybe, whole_rows = split_by(rows, F.col("text_hash"), lost, "lost_text")
+    same_row = F.col("row.doc_id").eqNullSafe(F.col("lost_id")) & (F.col("text_hash") == F.col("lost_text"))
+    joined = maybe.join(lost, same_row, "left").select("row", "lost")
+    joined = joined.unionByName(whole_rows.select("row", F.lit(None).cast("array<int>").alias("lost")))
     numbered = joined.select("row", "lost", _lines("row.text").alias("lines"))
     whole = F.coalesce(F.col("row.text"), F.lit(""))
     return unpacked(

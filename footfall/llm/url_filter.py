@@ -9,14 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.llm.bloom import blocks_for, bloom_filter, may_contain
 from footfall.llm.common import LOWER, UPPER, packed, staged, unpacked
 
-#: Filter size: 16 bits a rule keep false positives below one in a thousand. Blocks are
-#: 64-bit words; beyond the largest filter (1 MB) more candidates reach the exact join.
-BITS_PER_RULE = 16
-MIN_BLOCKS, MAX_BLOCKS = 16, 131_072
-BITS_PER_KEY = 4
-
 #: After the first ``://``: the host up to / ? # or the end, then the path up to ? # or the end.
 URL_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -48,37 +43,6 @@ def _canonical(rules: DataFrame) -> DataFrame:
     )
 
 
-def _block(key: Column, blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(key), blocks).cast("int")
-
-
-def _mask(key: Column) -> Column:
-    """A few bits of one block, from hash bits that do not choose the block."""
-    h = F.xxhash64(F.lit(1), key)
-    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(h, 6 * i), F.lit(64)).cast("int")) for i in range(BITS_PER_KEY)]
-    mask = bits[0]
-    for bit in bits[1:]:
-        mask = mask.bitwiseOR(bit)
-    return mask
-
-
-def bloom_filter(keys: DataFrame, column: str, blocks: int) -> DataFrame:
-    """One row with the filter's words, an array of ``blocks`` longs."""
-    words = (
-        keys.select(_block(F.col(column), F.lit(blocks)).alias("block"), _mask(F.col(column)).alias("mask"))
-        .groupBy("block")
-        .agg(F.bit_or("mask").alias("word"))
-    )
-    all_blocks = keys.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"))
-    filled = all_blocks.join(words, "block", "left").select("block", F.coalesce("word", F.lit(0).cast("bigint")).alias("word"))
-    return filled.agg(F.array_sort(F.collect_list(F.struct("block", "word"))).alias("s")).select(F.col("s.word").alias("words"))
-
-
-def may_contain(words: Column, blocks: int, key: Column) -> Column:
-    mask = _mask(key)
-    return F.get(words, _block(key, F.lit(blocks))).bitwiseAND(mask) == mask
-
-
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """Adds host, path, rule and verdict to each row of ``pages``.
 
@@ -91,9 +55,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         F.count("*").alias("rules"),
         F.max(F.size(F.split("rule_host", r"\."))).alias("labels"),
     ).first()
-    blocks = MIN_BLOCKS
-    while blocks < MAX_BLOCKS and blocks * 64 < sizes["rules"] * BITS_PER_RULE:
-        blocks *= 2
+    blocks = blocks_for(sizes["rules"])
     lengths = listed.agg(F.collect_set(F.char_length("rule_path")).alias("lengths")).scalar()
     words = bloom_filter(listed, "rule", blocks).scalar()
 

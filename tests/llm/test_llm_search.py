@@ -14,9 +14,10 @@ from awkward import documents, empty, odd_documents, rows, sentence
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from footfall.llm import url_filter, warc
+from footfall.llm import bloom, warc
+from footfall.llm.bloom import blocks_for, bloom_filter, may_contain, split_by
 from footfall.llm.decontamination import Search, contamination, words
-from footfall.llm.url_filter import bloom_filter, judge_urls, may_contain, rule_table
+from footfall.llm.url_filter import judge_urls, rule_table
 from footfall.llm.warc import archive_pages, page_of, page_records, read_archives, write_archives
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -127,12 +128,23 @@ def test_many_rules_and_ties(spark):
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(2000).selectExpr("concat('k', id) AS k")
     probes = spark.range(20_000).selectExpr("concat('k', id) AS k")
-    blocks = 2000 * url_filter.BITS_PER_RULE // 64
+    blocks = blocks_for(2000)
     words_ = bloom_filter(keys, "k", blocks).scalar()
     passed = {r["k"] for r in probes.where(may_contain(words_, blocks, probes.k)).collect()}
     assert {f"k{i}" for i in range(2000)} <= passed and len(passed) < 2000 + 18_000 * 0.05
 
 
+def test_splitting_by_a_filter_loses_nothing(spark, monkeypatch):
+    rows_ = spark.createDataFrame([(None,), (1,), (2,), (2,), (500,)], "id long")
+    for most in (bloom.MAX_BLOCKS, 16):
+        monkeypatch.setattr(bloom, "MAX_BLOCKS", most)
+        for listed in ([], [None], [2], list(range(400))):
+            keys = spark.createDataFrame([(k,) for k in listed], "k long")
+            maybe, others = ([r["id"] for r in part.collect()] for part in split_by(rows_, rows_.id, keys, "k"))
+            assert sorted(map(str, maybe + others)) == ["1", "2", "2", "500", "None"]
+            assert not set(others) & set(listed)
+
+
 def pages(spark):
     html = ["<p>a</p>", "<p>a</p>", "", None, "x" * 300_000, "é東\r\n\r\nWARC/1.1\r\n", "<p>a</p>", "only"]
     listed = [(i, f"http://h/{i}\r\nX: y", h) for i, h in enumerate(html)] + [(None, None, "only"), (None, "u", "nobody"), (None, "u", "nobody"), (6, "u", "<p>a</p>")]
