@@ -58,6 +58,7 @@ NEGATIONS = "not no never nor nicht kein* nie ne pas jamais nunca jamás".split(
 REPORTS = "said says say wrote claims claimed called sagte sagt schrieb dit écrit dijo dice escribió".split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "I", "T", "Y", "N", "R", "O"
+_NO_MATCH = (OTHER, 0.0)
 _ALPHABET = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
 #: The weight of words that no label has taught.
 KNOWN_WEIGHT = 1.0
@@ -117,8 +118,8 @@ class Lexicon:
                 if found:
                     break
                 found = self.entries.get(word[:n])
-            found = found or (OTHER, 0.0)
-            if len(self.known) > 300_000:
+            found = found or _NO_MATCH
+            if len(self.known) > 200_000:
                 self.known.clear()
             self.known[word] = found
         return found

@@ -13,7 +13,9 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Words kept by a worker, about 200 bytes each.
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 700_000
+#: Bits that note which words were met.
+MET_BYTES = 1 << 22
 #: Words joined into one call of the tokenizer.
 WORDS_PER_CALL = 4_096
 
@@ -49,6 +51,7 @@ class WordIds:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.met = bytearray(MET_BYTES)
         self.marks: dict[bytes, bytes] = {}
 
     def _one(self, word: str) -> bytes:
@@ -69,7 +72,17 @@ class WordIds:
                 yield word, data[start:end]
                 start = end
 
+    def _came_before(self, word: bytes) -> bool:
+        """Whether the word was asked for already. It may say so of a few new words."""
+        place, bit = divmod(hash(word) % (8 * len(self.met)), 8)
+        if self.met[place] >> bit & 1:
+            return True
+        self.met[place] |= 1 << bit
+        return False
+
     def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not known. Most words of a corpus never come again, so only
+        those are kept that have come before."""
         found: dict[bytes, bytes] = {}
         stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
         for word in words:
@@ -90,8 +103,8 @@ class WordIds:
             found[stem] = ids
             for word, marks in stems[stem]:
                 found[word] = ids + self._marks(marks)
-        if len(known) + len(found) <= CACHED_WORDS:
-            known.update(found)
+        if len(known) < CACHED_WORDS:
+            known.update((word, ids) for word, ids in found.items() if self._came_before(word))
         return found
 
     def _marks(self, marks: bytes) -> bytes:
