@@ -13,7 +13,9 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Words kept by a worker, about 200 bytes each.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 900_000
+#: Until so many are kept, all are; later only those that come again.
+KEPT_AT_ONCE = 400_000
 #: Bits that note which words were met.
 MET_BYTES = 1 << 22
 #: Words joined into one call of the tokenizer.
@@ -81,8 +83,8 @@ class WordIds:
         return False
 
     def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not known. Most words of a corpus never come again, so only
-        those are kept that have come before."""
+        """Ids of words that are not known. Most words of a corpus never come again, so after a
+        while only those are kept that have come before."""
         found: dict[bytes, bytes] = {}
         stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
         for word in words:
@@ -103,7 +105,9 @@ class WordIds:
             found[stem] = ids
             for word, marks in stems[stem]:
                 found[word] = ids + self._marks(marks)
-        if len(known) < CACHED_WORDS:
+        if len(known) < KEPT_AT_ONCE:
+            known.update(found)
+        elif len(known) < CACHED_WORDS:
             known.update((word, ids) for word, ids in found.items() if self._came_before(word))
         return found
 
