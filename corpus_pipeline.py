@@ -23,6 +23,9 @@ from footfall.llm.toxicity import score_toxicity
 
 #: The columns of documents.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: What the stage takes for near copies, whatever op5 asks for: words of a shingle, and the
+#: similarity as a fraction.
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, (80, 100)
 
 
 def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
@@ -47,9 +50,10 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays; rows that repeat its id are
-    the same document and stay with it."""
-    return _without(docs, link_documents(docs).where("component_id <> doc_id"), "copies")
+    """Of documents linked by shingles of five words and a similarity of 0.8 the one with the
+    smallest doc_id stays; rows that repeat its id are the same document and stay with it."""
+    linked = link_documents(docs, size=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
+    return _without(docs, linked.where("component_id <> doc_id"), "copies")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import random
 import corpus_pipeline
 import pytest
 from awkward import sentence
-from test_llm_dedup import slow_lines, slow_links
+from test_llm_dedup import slow_lines, slow_links, slow_shingles
 from test_llm_packing import check_pieces
 from test_llm_search import slow_contamination
 
@@ -88,3 +88,39 @@ def test_empty_tables_go_through(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
     assert docs.collect() == []
+
+
+def test_near_copies_share_four_fifths_of_five_words(spark):
+    """Pairs of 0.8 or more by shingles of five words that four words and 0.85 would let stay."""
+    longer = [f"a{i}" for i in range(200)]
+    changed = [f"b{i}" for i in range(1000)]
+    other = [f"c{i}" for i in range(200)]
+    texts = [
+        longer,
+        longer + [f"new{i}" for i in range(44)],  # 196 of 240
+        changed,
+        [f"new{i}" if i % 47 == 23 else w for i, w in enumerate(changed)],  # 21 words
+        other,
+        other + [f"new{i}" for i in range(50)],  # 196 of 246, less than 0.8
+    ]
+    sets = [slow_shingles(" ".join(t), 5) for t in texts]
+    near = [5 * len(a & b) >= 4 * len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert near == [True, True, False]
+    docs = [(i, " ".join(t), "en", None, len(" ".join(t))) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, table.repartition(2), "")
+    assert sorted(i for i, _ in pairs(kept)) == [0, 2, 4, 5]
+
+
+def test_near_copies_against_brute_force(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
+    sets = {r["doc_id"]: slow_shingles(r["text"], 5) for r in docs.where("doc_id is not null").collect()}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    kept = {i for i, _ in pairs(corpus_pipeline.drop_near_copies(spark, docs, ""))}
+    assert kept == {i for i, r in root.items() if r == i} | {None}
+    assert len(kept) < docs.count()
