@@ -11,16 +11,21 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def training_labels(labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> DataFrame:
-    """(doc_id, y, weight) of at most ``per_class`` rows of each class, chosen by a hash of the
-    id, whatever the size of ``labels``; the weight makes up for the rows left out. Rows
-    without id or label teach nothing; of several labels of an id the larger counts."""
-    known = (
+def known_labels(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, y) of all rows to learn from. Rows without id or label teach nothing; of
+    several labels of an id the larger counts."""
+    return (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
         .where(fold("doc_id", folds) != held_out)
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
+
+
+def training_labels(labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> DataFrame:
+    """(doc_id, y, weight) of at most ``per_class`` rows of each class, chosen by a hash of the
+    id, whatever the size of ``labels``; the weight makes up for the rows left out."""
+    known = known_labels(labels, label, folds, held_out)
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     parts = [
         known.where(F.col("y") == y)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,17 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.bloom import split_by
 from footfall.llm.common import staged
-from footfall.llm.labelled import fold, training_labels
+from footfall.llm.labelled import fold, known_labels, training_labels
 from footfall.llm.transducers import ANY, Transducer, compose
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-#: Labelled rows to learn from, at most, of each class.
+#: Labelled rows to fit the weights of outcomes on, at most, of each class.
 SAMPLE_PER_CLASS = 15_000
 #: Word beginnings looked at, at most: those that most toxic texts have.
 CANDIDATES = 50_000
 MIN_PREFIX, MAX_PREFIX = 3, 12
+#: Beginnings that a task counts before it passes the counts on.
+COUNTED = 400_000
 #: A beginning must occur in this many toxic texts, and this share of the texts with it be toxic.
 MIN_TEXTS, MIN_PRECISION = 4, 0.5
 #: A beginning is taken beside a shorter one if its share is higher by this much.
@@ -168,35 +171,31 @@ def _text_words(text: pa.Scalar) -> set[str]:
     return set(_WORD.findall((text.as_py() or "").lower()))
 
 
-def candidate_prefixes(sample: DataFrame, limit: int = CANDIDATES) -> dict[str, int]:
-    """The beginnings that most toxic texts of the sample have, with the number of texts."""
+def prefix_counts(taught: DataFrame) -> DataFrame:
+    """(prefix, toxic, clean): texts of each class of ``taught`` (text, y) that have a beginning."""
 
     def run(batches):
         for batch in batches:
-            counts: Counter = Counter()
-            for text in batch["text"]:
-                counts.update(_prefixes(_text_words(text)))
-            yield pa.RecordBatch.from_pydict({"prefix": list(counts.keys()), "n": pa.array(counts.values(), pa.int64())})
+            counts: tuple[Counter, Counter] = Counter(), Counter()
+            last = batch.num_rows - 1
+            for row, (text, y) in enumerate(zip(batch["text"], batch["y"].to_pylist())):
+                counts[y].update(_prefixes(_text_words(text)))
+                if row == last or len(counts[0]) + len(counts[1]) > COUNTED:
+                    for y, held in enumerate(counts):
+                        n, none = pa.array(held.values(), pa.int64()), pa.array(np.zeros(len(held), np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(list(held), pa.string()), *((n, none) if y else (none, n))], ["prefix", "toxic", "clean"]
+                        )
+                        held.clear()
 
-    counts = sample.where("y = 1").select("text").mapInArrow(run, "prefix string, n long")
-    held = counts.groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
-    return {r["prefix"]: r["n"] for r in held.orderBy(F.desc("n"), "prefix").limit(limit).collect()}
+    counts = taught.select("text", "y").mapInArrow(run, "prefix string, toxic long, clean long")
+    return counts.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def clean_counts(sample: DataFrame, candidates: dict[str, int]) -> dict[str, int]:
-    """Texts without the label that have each candidate."""
-    shared = sample.sparkSession.sparkContext.broadcast(set(candidates))
-
-    def run(batches):
-        wanted = shared.value
-        for batch in batches:
-            counts: Counter = Counter()
-            for text in batch["text"]:
-                counts.update(_prefixes(_text_words(text)) & wanted)
-            yield pa.RecordBatch.from_pydict({"prefix": list(counts.keys()), "n": pa.array(counts.values(), pa.int64())})
-
-    counts = sample.where("y = 0").select("text").mapInArrow(run, "prefix string, n long")
-    return {r["prefix"]: r["n"] for r in counts.groupBy("prefix").agg(F.sum("n").alias("n")).collect()}
+def candidate_counts(counts: DataFrame, limit: int = CANDIDATES) -> tuple[dict[str, int], dict[str, int]]:
+    """Of the beginnings that most toxic texts have, the toxic and the clean texts."""
+    held = counts.where(F.col("toxic") >= MIN_TEXTS).orderBy(F.desc("toxic"), "prefix").limit(limit).collect()
+    return {r["prefix"]: r["toxic"] for r in held}, {r["prefix"]: r["clean"] for r in held}
 
 
 def _beyond_chance(toxic: int, clean: int, rate: float, candidates: int) -> bool:
@@ -219,6 +218,9 @@ def teach(toxic: dict[str, int], clean: dict[str, int], texts: tuple[int, int])
         if n / (n + clean.get(p, 0)) >= MIN_PRECISION and _beyond_chance(n, clean.get(p, 0), rate, len(toxic))
     }
     share = {p: n / (n + clean.get(p, 0)) for p, n in good.items()}
+    nested = defaultdict(list)
+    for p in good:
+        nested[p[:-1]].append(p)
     chosen: dict[str, float] = {}
     for p in sorted(good, key=lambda p: (-good[p], len(p), p)):
         bare = p.rstrip("$")
@@ -226,7 +228,7 @@ def teach(toxic: dict[str, int], clean: dict[str, int], texts: tuple[int, int])
             continue
         # As long as nearly all of its texts stay, a longer beginning is meant.
         while True:
-            longer = [q for q in good if len(q) == len(p) + 1 and q.startswith(p) and good[q] >= 0.9 * good[p]]
+            longer = [q for q in nested[p] if good[q] >= 0.9 * good[p]]
             if p.endswith("$") or not longer:
                 break
             p = max(longer, key=lambda q: (good[q], q))
@@ -274,15 +276,16 @@ def _clause_features(docs: DataFrame, lexicon: dict[str, tuple[str, float]], kee
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """From the labelled rows of ``docs`` that are not held out; copies of a text teach once."""
-    wanted = F.broadcast(training_labels(labels, "toxic", FOLDS, HELD_OUT, per_class))  # 2 * per_class rows
-    rows = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id")
-    sample = staged(rows.dropDuplicates(["text"]), "sample")
-    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    """From the labelled rows of ``docs`` that are not held out; copies of a text teach once.
+    The words come from all of them, the coefficients from a weighted sample."""
+    known = staged(known_labels(labels, "toxic", FOLDS, HELD_OUT).withColumnRenamed("doc_id", "known_id"), "known")
+    maybe, _ = split_by(docs.select("doc_id", "text").where("text is not null"), F.col("doc_id"), known, "known_id")
+    rows = maybe.join(known, F.col("doc_id") == F.col("known_id")).select("doc_id", "text", "y")
+    taught = staged(rows.dropDuplicates(["text"]), "taught")
+    sizes = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     lexicon = known_words()
     if sizes.get(1):
-        toxic = candidate_prefixes(sample)
-        clean = clean_counts(sample, toxic)
+        toxic, clean = candidate_counts(staged(prefix_counts(taught), "prefixes"))
         texts = sizes.get(0, 0), sizes[1]
         # What labels show to be harmless, or do not show to be harmful though common, is not used.
         for p in [p for p, (s, _) in lexicon.items() if s in (INSULT, THREAT)]:
@@ -290,6 +293,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
                 del lexicon[p]
         for p, weight in teach(toxic, clean, texts).items():
             lexicon[p] = (INSULT, weight)
+    wanted = F.broadcast(training_labels(labels, "toxic", FOLDS, HELD_OUT, per_class).drop("y"))  # 2 * per_class rows
+    sample = taught.join(wanted, "doc_id")
     fitted = _clause_features(sample, lexicon, ["y", "weight"]).toPandas()  # as many rows as the sample
     if len(set(fitted["y"])) < 2:
         rate = (fitted["y"].sum() + 0.5) / (len(fitted) + 1)
@@ -299,13 +304,13 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     return ToxicityModel(lexicon, _fit(x, y, weight).tolist())
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs`` (doc_id, text).
 
     Null and empty texts match nothing and get the score of clean texts. Repeated rows give
     repeated rows. Without labels the written word lists are all that is known, and the score
     is that of a model with equal weights."""
-    model = learn_toxicity(docs, labels)
+    model = learn_toxicity(docs, labels, per_class)
     intercept, *weights = model.coefficients
     total = F.aggregate(
         F.zip_with("features", F.array(*map(F.lit, weights)), lambda f, w: f * w), F.lit(intercept), lambda a, b: a + b

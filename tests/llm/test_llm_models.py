@@ -98,6 +98,23 @@ def test_held_out_labels_are_not_used(spark, tables):
     assert rows(score_toxicity(docs, known), "doc_id", "score") == rows(score_toxicity(docs, flipped), "doc_id", "score")
 
 
+def test_a_capped_sample_teaches_the_same_words(spark, tables):
+    docs, known = tables
+    whole, capped = (toxicity.learn_toxicity(docs, known, per_class=n) for n in (15_000, 20))
+    assert set(whole.lexicon) - set(known_words()) and whole.lexicon == capped.lexicon
+    found = [{r["doc_id"]: r["predicted"] for r in score_toxicity(docs, known, n).where("held_out").collect()} for n in (15_000, 20)]
+    assert sum(found[0][i] == found[1][i] for i in found[0]) > 0.98 * len(found[0])
+
+
+def test_prefix_counts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "COUNTED", 5)
+    texts = [("abcd ab", 1), ("Abcd. abcd", 1), ("abc", 0), ("", 0), ("abce", 0)]
+    counts = toxicity.prefix_counts(spark.createDataFrame(texts, "text string, y int"))
+    assert {r["prefix"]: (r["toxic"], r["clean"]) for r in counts.collect()} == {
+        "abc": (2, 2), "abcd": (2, 0), "abce": (0, 1), "ab$": (1, 0), "abcd$": (2, 0), "abc$": (0, 1), "abce$": (0, 1)
+    }
+
+
 def test_toxicity_odd(spark, tables):
     for docs in (odd_documents(spark), documents(spark, 1, clash=True), empty(spark)):
         for known in (labels(spark, [(None, 1, 1), (7, None, None), (8, 0, 1), (8, 1, 0), (999, 1, 1)]), spark.createDataFrame([], NO_LABELS)):
