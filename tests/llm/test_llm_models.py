@@ -247,6 +247,42 @@ def test_all_words_add_up_to_one():
     assert np.allclose(within, 1)
 
 
+def test_frequent_words_and_endings_have_vectors_of_their_own():
+    words = [f"w{i}x{i % 7}".encode() for i in range(1000)]
+    vocab = lm.Vocabulary(words, np.ones(1000), [f"e{i:02d}".encode() for i in range(lm.ENDING_CLASSES)], 1000, 1000)
+    assert vocab.class_of[:320].tolist() == list(range(320)) and vocab.classes == 320 + 192 + 1
+    assert lm.LogBilinear.initial(np.ones(vocab.classes)).q.shape == (513, 24) and lm.NOISE == 32
+
+
+def test_a_step_follows_the_gradient_of_each_event():
+    """One minibatch against sums event by event."""
+    rng = np.random.default_rng(8)
+    k, n = 5, 40
+    counts = rng.integers(1, 50, k).astype(float)
+    contexts, targets, weights = rng.integers(0, (k + 1) ** 2, n), rng.integers(0, k, n), rng.random(n)
+    noise = counts / counts.sum()
+    model = lm.LogBilinear(k, rng.normal(0, 1, (2 * k + 3) * lm.DIMENSIONS + k))
+    before = lm.LogBilinear(k, model.flat.copy())
+    model.train(contexts, targets, weights, np.zeros(len(model.flat)), noise, np.random.default_rng(9))
+    draws = np.random.default_rng(9)
+    draws.permutation(np.arange(1))
+    drawn = np.minimum(np.searchsorted(np.cumsum(noise), draws.random(lm.NOISE) * np.cumsum(noise)[-1]), k - 1)
+    g = lm.LogBilinear(k, np.zeros(len(model.flat)))
+    for c, t, w in zip(contexts, targets, weights / weights.sum()):
+        c1, c2 = divmod(c, k + 1)
+        h = before.d[0] * before.r[c1] + before.d[1] * before.r[c2]
+        for place, sign in ((t, 1), *((x, -1) for x in drawn)):
+            excess = h @ before.q[place] + before.b[place] - np.log(lm.NOISE * noise[place])
+            up = sign * w / (1 + np.exp(sign * excess))
+            g.q[place] += up * h
+            g.b[place] += up
+            g.r[c1] += up * before.d[0] * before.q[place]
+            g.r[c2] += up * before.d[1] * before.q[place]
+            g.d[0] += up * before.r[c1] * before.q[place]
+            g.d[1] += up * before.r[c2] * before.q[place]
+    assert np.allclose(model.flat - before.flat, lm.RATE * g.flat / np.sqrt(g.flat**2 + 1e-10))
+
+
 def test_noise_contrast_finds_the_probabilities():
     """Words that only depend on the word before: the model comes close to their frequencies."""
     rng = np.random.default_rng(6)
