@@ -35,7 +35,7 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: Labelled rows to fit the weights of outcomes on, at most, of each class.
 SAMPLE_PER_CLASS = 15_000
-#: Word beginnings looked at, at most: those that most toxic texts have.
+#: Word beginnings that pass the tests, at most: those that most toxic texts have.
 CANDIDATES = 50_000
 MIN_PREFIX, MAX_PREFIX = 3, 12
 #: Beginnings that a task counts before it passes the counts on.
@@ -192,10 +192,26 @@ def prefix_counts(taught: DataFrame) -> DataFrame:
     return counts.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def candidate_counts(counts: DataFrame, limit: int = CANDIDATES) -> tuple[dict[str, int], dict[str, int]]:
-    """Of the beginnings that most toxic texts have, the toxic and the clean texts."""
-    held = counts.where(F.col("toxic") >= MIN_TEXTS).orderBy(F.desc("toxic"), "prefix").limit(limit).collect()
-    return {r["prefix"]: r["toxic"] for r in held}, {r["prefix"]: r["clean"] for r in held}
+def candidate_counts(
+    counts: DataFrame, texts: tuple[int, int], written: list[str], limit: int = CANDIDATES
+) -> tuple[dict[str, int], dict[str, int], int]:
+    """Toxic and clean texts of the beginnings that pass the tests of ``teach``, and of the
+    written words however few texts have them; and how many beginnings were tested. Beyond
+    ``limit`` the ones of fewer toxic texts go, so that the lexicon can be broadcast."""
+    held = counts.where(F.col("toxic") >= MIN_TEXTS)
+    tested = held.count()
+    rate = _rate(texts)
+    n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    beyond = (share > rate) & (n * (share * F.log(share / rate) + rest) > math.log(max(tested, 1) / CHANCE))
+    good = held.where((share >= MIN_PRECISION) & beyond).orderBy(F.desc("toxic"), "prefix").limit(limit)
+    rows = [*good.collect(), *counts.where(F.col("prefix").isin(written)).collect()]
+    return {r["prefix"]: r["toxic"] for r in rows}, {r["prefix"]: r["clean"] for r in rows}, tested
+
+
+def _rate(texts: tuple[int, int]) -> float:
+    """Share of toxic texts, of (clean, toxic) ones."""
+    return (texts[1] + 0.5) / (sum(texts) + 1)
 
 
 def _beyond_chance(toxic: int, clean: int, rate: float, candidates: int) -> bool:
@@ -208,14 +224,15 @@ def _beyond_chance(toxic: int, clean: int, rate: float, candidates: int) -> bool
     return n * gain > math.log(max(candidates, 1) / CHANCE)
 
 
-def teach(toxic: dict[str, int], clean: dict[str, int], texts: tuple[int, int]) -> dict[str, float]:
-    """Beginnings to hold against a text, with weights. Of nested ones that the same texts
+def teach(toxic: dict[str, int], clean: dict[str, int], texts: tuple[int, int], tested: int | None = None) -> dict[str, float]:
+    """Beginnings to hold against a text, with weights; they are the best of ``tested`` ones, or
+    all there are. Of nested ones that the same texts
     have, the longest says best what is meant; of others, the one that most texts have."""
-    rate = (texts[1] + 0.5) / (sum(texts) + 1)
+    rate, tested = _rate(texts), len(toxic) if tested is None else tested
     good = {
         p: n
         for p, n in toxic.items()
-        if n / (n + clean.get(p, 0)) >= MIN_PRECISION and _beyond_chance(n, clean.get(p, 0), rate, len(toxic))
+        if n >= MIN_TEXTS and n / (n + clean.get(p, 0)) >= MIN_PRECISION and _beyond_chance(n, clean.get(p, 0), rate, tested)
     }
     share = {p: n / (n + clean.get(p, 0)) for p, n in good.items()}
     nested = defaultdict(list)
@@ -285,13 +302,14 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     sizes = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     lexicon = known_words()
     if sizes.get(1):
-        toxic, clean = candidate_counts(staged(prefix_counts(taught), "prefixes"))
         texts = sizes.get(0, 0), sizes[1]
+        written = [p for p, (s, _) in lexicon.items() if s in (INSULT, THREAT)]
+        toxic, clean, tested = candidate_counts(staged(prefix_counts(taught), "prefixes"), texts, written)
         # What labels show to be harmless, or do not show to be harmful though common, is not used.
-        for p in [p for p, (s, _) in lexicon.items() if s in (INSULT, THREAT)]:
+        for p in written:
             if clean.get(p, 0) >= 5 and toxic.get(p, 0) < MIN_PRECISION * (toxic.get(p, 0) + clean.get(p, 0)):
                 del lexicon[p]
-        for p, weight in teach(toxic, clean, texts).items():
+        for p, weight in teach(toxic, clean, texts, tested).items():
             lexicon[p] = (INSULT, weight)
     wanted = F.broadcast(training_labels(labels, "toxic", FOLDS, HELD_OUT, per_class).drop("y"))  # 2 * per_class rows
     sample = taught.join(wanted, "doc_id")

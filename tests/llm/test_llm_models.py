@@ -115,6 +115,21 @@ def test_prefix_counts(spark, monkeypatch):
     }
 
 
+def test_rare_insults_stand_beside_frequent_neutral_beginnings(spark):
+    neutral = [(f"the{i}", 900, 9000) for i in range(50)]
+    counts = spark.createDataFrame([*neutral, ("zork", 40, 1), ("idiot", 2, 500), ("zor", 3, 0)], "prefix string, toxic long, clean long")
+    toxic, clean, tested = toxicity.candidate_counts(counts, (10_000, 1000), ["idiot", "moron"], limit=10)
+    assert toxic == {"zork": 40, "idiot": 2} and clean == {"zork": 1, "idiot": 500} and tested == 51
+    assert set(teach(toxic, clean, (10_000, 1000), tested)) == {"zork"}
+
+
+def test_written_words_that_clean_texts_use_are_taken_out(spark):
+    texts = [(i, f"word{i} trash can") for i in range(60)] + [(i, f"word{i} zorkig") for i in range(60, 120)]
+    known = labels(spark, [(i, 1, int(i >= 60)) for i, _ in texts])
+    lexicon = toxicity.learn_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), known).lexicon
+    assert "trash$" not in lexicon and "idiot" in lexicon and any(p.startswith("zork") for p in lexicon)
+
+
 def test_toxicity_odd(spark, tables):
     for docs in (odd_documents(spark), documents(spark, 1, clash=True), empty(spark)):
         for known in (labels(spark, [(None, 1, 1), (7, None, None), (8, 0, 1), (8, 1, 0), (999, 1, 1)]), spark.createDataFrame([], NO_LABELS)):
