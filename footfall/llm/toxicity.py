@@ -137,6 +137,11 @@ def known_words() -> dict[str, tuple[str, float]]:
     }
 
 
+def _heavier(weight: float, outcome: str) -> tuple[float, int, bool, str]:
+    """Sorts matches: of equal weights a direct one is the heaviest, then one with a target."""
+    return weight, -sum(mark in outcome for mark in "nr"), outcome.endswith("y"), outcome
+
+
 def matched_clauses(text: str, lexicon: Lexicon, grammar: Transducer) -> Counter:
     """Weight of the matched clauses by outcome."""
     text = text.lower()
@@ -150,9 +155,12 @@ def matched_clauses(text: str, lexicon: Lexicon, grammar: Transducer) -> Counter
         read = [symbol(w) for w in words]
         if any(s in (INSULT, THREAT) for s, _ in read):
             outcomes = grammar.read(s for s, _ in read)
-            # A word repeated in a clause counts once.
-            matches = {w: (weight + more, out) for w, (s, weight), (out, more) in zip(words, read, outcomes) if s in (INSULT, THREAT)}
-            found[max(matches.values())[1]] += sum(weight for weight, _ in matches.values())
+            # A word repeated in a clause counts once, by its heaviest match.
+            matches: dict[str, tuple] = {}
+            for w, (s, weight), (out, more) in zip(words, read, outcomes):
+                if s in (INSULT, THREAT):
+                    matches[w] = max(matches.get(w, ()), _heavier(weight + more, out))
+            found[max(matches.values())[-1]] += sum(match[0] for match in matches.values())
     return found
 
 

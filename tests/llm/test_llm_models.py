@@ -70,6 +70,20 @@ def test_clauses(text, outcomes):
     assert set(matched_clauses(text, Lexicon(known_words()), clause_grammar())) == outcomes
 
 
+@pytest.mark.parametrize(
+    ("text", "outcome"),
+    [
+        ("you idiot they said you idiot", "Iy"),
+        ("idiot, he is not an idiot", "I"),
+        ("they said idiot and you idiot", "Iry"),
+        ("idiot and you idiot", "Iy"),
+        ("an idiot, they said, and scum", "I"),
+    ],
+)
+def test_the_heaviest_match_of_a_clause_counts(text, outcome):
+    assert set(matched_clauses(text, Lexicon(known_words()), clause_grammar())) == {outcome}
+
+
 def test_longest_entry_wins_and_whole_words_first():
     lexicon = Lexicon({"ab": ("I", 0.1), "abcd": ("T", 0.2), "abc$": ("N", 0.0)})
     assert [lexicon.symbol(w)[0] for w in ("a", "ab", "abc", "abcx", "abcd", "abcde")] == ["O", "I", "N", "I", "T", "T"]
