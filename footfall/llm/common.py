@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +45,16 @@ def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame
     """The columns packed before, with ``replaced`` ones put in place or added at the end."""
     kept = [replaced[c].alias(c) if c in replaced else F.col(f"row.`{c}`").alias(c) for c in columns]
     return df.select(*kept, *[v.alias(k) for k, v in replaced.items() if k not in columns])
+
+
+def text_groups(texts: pa.Array, size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Inside a task: row numbers and texts, about ``size`` bytes at a time; null texts are empty."""
+    first, group, total = 0, [], 0
+    for row, text in enumerate(texts):
+        group.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+        total += len(group[-1])
+        if total >= size:
+            yield first, group
+            first, group, total = row + 1, [], 0
+    if group:
+        yield first, group

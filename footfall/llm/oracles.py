@@ -125,3 +125,32 @@ SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
     CASE WHEN page_id <> last_id THEN last_id END AS refers_to
 FROM marked
 """
+
+_TERMS = "regexp_extract_all(translate(text, {u}, {l}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(u=_UPPER, l=_LOWER)
+
+ORACLES["op13_lexical_search"] = f"""
+WITH doc AS (
+    SELECT doc_id, {_TERMS} AS t FROM documents
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM doc WHERE len(t) > 0
+), wanted AS (
+    SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), found AS (
+    SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+    FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM doc)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weighted AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM found GROUP BY term), totals
+), impact AS (
+    SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)) AS x
+    FROM found, totals
+), scored AS (
+    SELECT item_id, doc_id, sum(w * x)::BIGINT AS score
+    FROM wanted JOIN weighted USING (term) JOIN impact USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

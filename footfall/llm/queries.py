@@ -13,6 +13,7 @@ from footfall.llm.decontamination import contamination
 from footfall.llm.exact_dedup import dedup_exact
 from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
+from footfall.llm.lexical_search import search
 from footfall.llm.lm import score_documents
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.quality_rules import score_quality
@@ -108,6 +109,12 @@ def op10_packing(spark, sf_dir):
     return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op13_lexical_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     pieces = tokenize_pieces(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     packed = pack(stage_pieces(pieces))
