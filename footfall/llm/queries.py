@@ -20,6 +20,7 @@ from footfall.llm.quality_rules import score_quality
 from footfall.llm.toxicity import score_toxicity
 from footfall.llm.url_filter import judge_urls, rule_table
 from footfall.llm.warc import archive_pages, page_of
+from footfall.llm.whitening import whiten
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -109,6 +110,12 @@ def op10_packing(spark, sf_dir):
     return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op12_embedding_whitening(spark, sf_dir):
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 @_query
 def op13_lexical_search(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
