@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from footfall.llm.license_rules import ANCHORS, rules
+
 ORACLES: dict[str, str] = {}
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -154,3 +156,45 @@ WITH doc AS (
 )
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+_RULES = ", ".join(
+    f"({k}, '{r.label}', '{r.expression}', {r.priority}, {r.confidence}, {str(r.base).lower()})" for k, r in enumerate(rules())
+)
+
+ORACLES["op11_license_scan"] = f"""
+WITH rules(rule, label, expression, priority, confidence, base) AS (
+    VALUES {_RULES}
+), doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), spaced AS (
+    SELECT doc_id, ' ' || array_to_string(w, '  ') || ' ' AS t FROM doc
+), gated AS (
+    SELECT * FROM spaced WHERE {" OR ".join(f"contains(t, '{a}')" for a in ANCHORS)}
+), cut AS (
+    SELECT doc_id, rule, label, priority, confidence, base,
+        regexp_split_to_array(t, expression) AS pieces, regexp_extract_all(t, expression) AS hits
+    FROM gated CROSS JOIN rules WHERE regexp_matches(t, expression)
+), place AS (
+    SELECT doc_id, rule, label, priority, confidence, base, len(string_split(hits[i], ' ')) // 2 AS n,
+        (length(array_to_string(pieces[:i], '') || array_to_string(hits[:i - 1], ''))
+        - length(replace(array_to_string(pieces[:i], '') || array_to_string(hits[:i - 1], ''), ' ', ''))) // 2 AS first
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut)
+), judged AS (
+    SELECT *, NOT EXISTS (
+        SELECT 1 FROM place o WHERE o.doc_id = p.doc_id AND o.first <= p.first AND o.first + o.n >= p.first + p.n
+            AND (o.priority > p.priority OR (o.priority = p.priority AND (o.n > p.n OR (o.n = p.n AND o.rule < p.rule))))
+    ) AS stays
+    FROM place p
+), summed AS (
+    SELECT doc_id, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+        list_sort(coalesce(list(DISTINCT label) FILTER (base), [])) AS base_labels,
+        list_sort(coalesce(list(DISTINCT label) FILTER (base OR stays), [])) AS labels,
+        max(confidence) FILTER (stays) AS score
+    FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+    last_word::BIGINT AS last_word, coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+    coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM doc d LEFT JOIN summed USING (doc_id)
+"""

@@ -14,6 +14,7 @@ from footfall.llm.exact_dedup import dedup_exact
 from footfall.llm.jaccard_join import link_documents
 from footfall.llm.line_dedup import dedup_lines
 from footfall.llm.lexical_search import search
+from footfall.llm.license_scan import scan_licenses
 from footfall.llm.lm import score_documents
 from footfall.llm.packing import pack, stage_pieces, tokenize_pieces
 from footfall.llm.quality_rules import score_quality
@@ -110,6 +111,13 @@ def op10_packing(spark, sf_dir):
     return packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op11_license_scan(spark, sf_dir):
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *listed, "score")
+
+
 @_query
 def op12_embedding_whitening(spark, sf_dir):
     found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
