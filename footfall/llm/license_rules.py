@@ -104,14 +104,14 @@ SENTENCES = [
     ("apache-2.0", "warrant", "distributed on an as is basis without warranties or conditions of any kind"),
     ("apache-2.0", "licen", "licensed to the apache software foundation asf under one or more contributor licen[sc]e agreements"),
     ("gpl", "redistribute  it", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
-    ("gpl", "redistribut", "everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed"),
+    ("gpl", "verbatim", "everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed"),
     ("lgpl", "redistribute  it", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e"),
     ("agpl", "licen", "published by the free software foundation either version 3 of the licen[sc]e or (?:at your option )?any later version of the agpl"),
     ("gpl", "licen", "either version [0-9] of the licen[sc]e or at your option any later version"),
     ("gpl", "warrant", "without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gfdl", "permission", "permission is granted to copy distribute and or modify this document"),
     ("mpl-2.0", "licen", "this source code form is subject to the terms of the mozilla public licen[sc]e"),
-    ("epl", "licen", "this program and the accompanying materials are made available under the terms of the eclipse"),
+    ("epl", "licen", "this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e"),
     ("cddl", "licen", "the contents of this file are subject to the terms of the common development and distribution licen[sc]e"),
     ("bsl-1.0", "licen", "distributed under the boost software licen[sc]e version 1 0 see accompanying file"),
     ("psf", "licen", "python software foundation licen[sc]e version 2"),
@@ -120,7 +120,6 @@ SENTENCES = [
     ("public-domain", "public  domain", "(?:released|dedicated|placed|put) (?:in|into|to) the public domain"),
     ("public-domain", "public  domain", "(?:is|are|work of the) (?:in the )?public domain"),
     ("cc0", "public  domain", "cc0 1 0 universal public domain dedication"),
-    ("wtfpl", "licen", "you just do what the [^ ]+ you want to"),
     ("proprietary", "redistribut", "no part of this (?:publication|work|document) may be reproduced (?:or )?redistributed"),
     ("proprietary", "permission", "without (?:the )?(?:express |prior )*(?:written )?permission of the (?:publisher|author|owner|copyright holder)"),
     ("proprietary", "licen", "(?:proprietary|commercial|end user) licen[sc]e agreement"),

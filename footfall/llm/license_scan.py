@@ -13,6 +13,7 @@ Columns other than doc_id and text are left out."""
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import or_
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import ascii_lower, staged
-from footfall.llm.license_rules import ANCHORS, TAG, Rule, rules
+from footfall.llm.license_rules import ANCHORS, CONFIDENCE, TAG, Rule, rules
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -30,14 +31,16 @@ def spaced_words(text: Column) -> Column:
     return F.when(words == "", "").otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
 
 
+_RULE = "array<struct<number: int, label: string, priority: int, base: boolean, need: string, literal: string, expression: string>>"
+
+
 def _rule_list(signatures: list[Rule]) -> Column:
-    return F.array(*[
-        F.struct(
-            F.lit(number).alias("number"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.base).alias("base"),
-            F.lit(r.needs[0]).alias("need"), F.lit(r.needs[1]).alias("literal"), F.lit(r.expression).alias("expression"),
-        )
-        for number, r in enumerate(signatures)
-    ])
+    """The rules as one constant, which the plan holds as text and folds once."""
+    listed = [
+        {"number": n, "label": r.label, "priority": r.priority, "base": r.base, "need": r.needs[0], "literal": r.needs[1], "expression": r.expression}
+        for n, r in enumerate(signatures)
+    ]
+    return F.from_json(F.lit(json.dumps(listed)), _RULE)
 
 
 def _in_words(pieces: Column) -> Column:
@@ -91,7 +94,7 @@ def scan_licenses(docs: DataFrame, signatures: list[Rule] | None = None) -> Data
     matches = staged(matches, "license_matches")
     some = F.coalesce(F.size("found") > 0, F.lit(False))
     span = F.struct("start", "end", "rule", "label")
-    confidence = F.element_at(F.array(*[F.lit(c) for c in _confidences(signatures)]), F.col("rule") + 1)
+    confidence = F.element_at(F.array(*[F.lit(c) for c in CONFIDENCE]), F.col("priority") + 1)
     own = F.when(~F.col("covered"), F.col("label"))
     base_labels = F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label"))))
     shown = detections(matches.where(some)).groupBy("row_no", "doc_id", "n_words").agg(
@@ -109,7 +112,3 @@ def scan_licenses(docs: DataFrame, signatures: list[Rule] | None = None) -> Data
         F.col(c) if c in ("doc_id", "n_words") else nothing.get(c, F.lit(None)).cast(t).alias(c) for c, t in fields.items()
     ])
     return shown.unionByName(others)
-
-
-def _confidences(signatures: list[Rule]) -> list[float]:
-    return [r.confidence for r in signatures]
