@@ -17,9 +17,10 @@ from footfall.operators.lookups import dashboard
 from footfall.operators.rejects import ROW_RULES
 from footfall.plans.batch import DEFAULT_RULES, Gates, run_batch
 from footfall.session import build_session
-from footfall.sinks import jdbc
-from footfall.sinks.tables import drop_before, loaded_dates, read_daily, read_hourly
-from footfall.sources.readings import NoReadingsError, list_files, read_readings
+from footfall.sinks import jdbc, runs
+from footfall.sinks.tables import loaded_dates, read_daily, read_hourly
+from footfall.sources.readings import NoReadingsError, list_files, list_locations, read_readings
+from footfall.streaming import retention
 from footfall.streaming.ingest import run_ingest
 
 logger = logging.getLogger("footfall")
@@ -39,13 +40,18 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("input", help="folder with one folder of CSV files per location")
         command.add_argument("output", help="folder for the tables")
         command.add_argument("--partitioned", action="store_true", help="input has location=/file_date= folders")
+        command.add_argument("--drop-duplicates", action="store_true", help="count a repeated reading once")
         command.add_argument("--strict", action="store_true", help="also reject malformed and negative readings")
         command.add_argument("--max-rejection-rate", type=float, help="warn of locations with a higher share of rejects")
         command.add_argument("--max-null-rate", type=float, help="gate: share of missing counts")
         command.add_argument("--min-rows", type=int, help="gate: readings per location and day")
         command.add_argument("--max-age-hours", type=float, help="gate: age of a location's latest reading")
         command.add_argument("--as-of", type=dt.datetime.fromisoformat, help="time the age is measured at")
-    batch.add_argument("--drop-duplicates", action="store_true", help="count a repeated reading once")
+    batch.add_argument(
+        "--publish",
+        action="store_true",
+        help="write a run below OUTPUT/runs, and make it the one that readers of OUTPUT see when it is whole",
+    )
     batch.add_argument(
         "--jdbc-url",
         default=os.environ.get("FOOTFALL_JDBC_URL"),
@@ -53,7 +59,7 @@ def parser() -> argparse.ArgumentParser:
         " taken from FOOTFALL_JDBC_USER and FOOTFALL_JDBC_PASSWORD",
     )
 
-    prune = commands.add_parser("prune", help="remove the hourly rows of days before a date")
+    prune = commands.add_parser("prune", help="remove the days before a date, for good")
     prune.add_argument("output", help="folder that batch or ingest wrote")
     prune.add_argument("--before", type=dt.date.fromisoformat, required=True)
 
@@ -75,20 +81,24 @@ def batch(spark, args) -> None:
         # Before any data is read: a wrong address or table ends the run here.
         jdbc.create_tables(spark, args.jdbc_url, tables, **login)
         jdbc.check_targets(spark, args.jdbc_url, tables, **login)
+    output = runs.new_run(args.output) if args.publish else args.output
     expected = expected_rows(spark, args.input, args.partitioned) if args.drop_duplicates else 0
     run = run_batch(
         read_readings(spark, args.input, partitioned=args.partitioned),
-        args.output,
+        output,
         rules=ROW_RULES if args.strict else DEFAULT_RULES,
         drop_duplicates=args.drop_duplicates,
         gates=gates_of(args),
         max_rejection_rate=args.max_rejection_rate,
         expected_rows=expected,
+        locations=list_locations(spark, args.input),
     )
+    if args.publish:
+        runs.publish_run(spark, args.output, output)
     if args.jdbc_url:
         written = {
-            "hourly_aggregations": read_hourly(spark, f"{args.output}/hourly"),
-            "daily_aggregations": read_daily(spark, f"{args.output}/daily"),
+            "hourly_aggregations": read_hourly(spark, f"{output}/hourly"),
+            "daily_aggregations": read_daily(spark, f"{output}/daily"),
         }
         for table, rows in written.items():
             jdbc.write_jdbc(rows, tables[table], args.jdbc_url, table, **login)
@@ -111,14 +121,16 @@ def ingest(spark, args) -> None:
         rules=ROW_RULES if args.strict else DEFAULT_RULES,
         gates=gates_of(args),
         max_rejection_rate=args.max_rejection_rate,
+        drop_duplicates=args.drop_duplicates,
     )
     logger.info("%d files in %d batches", run.files, len(run.batches))
 
 
 def show(spark, args) -> None:
     # The earliest day's name comes from the table's folders, without opening a file.
-    date = args.date or next(iter(loaded_dates(spark, f"{args.output}/hourly")), None)
-    page = dashboard(read_hourly(spark, f"{args.output}/hourly"), args.locations, date)
+    hourly = f"{runs.current_tables(spark, args.output)}/hourly"
+    date = args.date or next(iter(loaded_dates(spark, hourly)), None)
+    page = dashboard(read_hourly(spark, hourly), args.locations, date)
     page.selected_date.show()
     # One day has at most 24 hours per location asked for.
     page.hours.show(24 * len(args.locations), truncate=False)
@@ -126,7 +138,7 @@ def show(spark, args) -> None:
 
 
 def prune(spark, args) -> None:
-    for day in drop_before(spark, f"{args.output}/hourly", args.before):
+    for day in retention.prune(spark, runs.current_tables(spark, args.output), args.before):
         logger.info("removed %s", day)
 
 

@@ -18,3 +18,20 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
         F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema.fields)]) for row in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """A schema from "name type, ...", also without a session."""
+    pairs = [column.split() for column in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])

@@ -58,9 +58,19 @@ def expected_days(filed: DataFrame) -> DataFrame:
     return span.select("location", F.explode(F.sequence("first", "last")).alias("date"))
 
 
-def gate_max_age(facts: DataFrame, as_of: dt.datetime, max_hours: float) -> DataFrame:
-    """Hours from a location's latest reading to ``as_of``, at most ``max_hours``."""
-    latest = facts.where("hour is not null").groupBy("location").agg(F.max("latest").alias("latest"))
+def gate_max_age(
+    facts: DataFrame, as_of: dt.datetime, max_hours: float, roster: DataFrame | None = None, awaited: DataFrame | None = None
+) -> DataFrame:
+    """Hours from a location's latest reading to ``as_of``, at most ``max_hours``. ``roster``
+    (location, latest) has locations that must be there, with the latest reading known of
+    before: one that fell silent, or never had a reading with a time, fails. Locations of
+    ``awaited`` are not judged yet."""
+    known = facts.select("location", F.when(F.col("hour").isNotNull(), F.col("latest")).alias("latest"))
+    if roster is not None:
+        known = known.unionByName(roster.select("location", "latest"))
+    if awaited is not None:
+        known = known.join(awaited, "location", "left_anti")
+    latest = known.groupBy("location").agg(F.max("latest").alias("latest"))
     age = hours_between(F.col("latest"), F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
     return _gate(latest, "max_age", F.col("location"), age, max_hours, F.coalesce(age <= max_hours, F.lit(False)))
 

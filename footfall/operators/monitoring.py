@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from footfall.model import PROVENANCE
 
 
-def misfiled_readings(readings: DataFrame) -> DataFrame:
-    """Rows and counts per location, file date and event date where the two dates
-    differ. Totals always follow the event date."""
+def misfiled_readings(readings: DataFrame, *extra_keys: str) -> DataFrame:
+    """Rows and counts per location, file date and event date (and further columns) where the
+    two dates differ. Totals always follow the event date."""
     event_date = F.to_date("timestamp")
     weight = F.col("copies") if "copies" in readings.columns else F.lit(1).cast("bigint")
     return (
         readings.where(event_date != F.col("file_date"))
-        .groupBy("location", "file_date", event_date.alias("event_date"))
+        .groupBy("location", "file_date", *extra_keys, event_date.alias("event_date"))
         .agg(
             F.sum(weight).alias("rows"),
             F.coalesce(F.sum(weight * F.col("in")), F.lit(0)).alias("total_in"),

@@ -81,6 +81,27 @@ def profile_by(df: DataFrame, key: str) -> DataFrame:
     return counted.groupBy(key).agg(*_report_columns(others))
 
 
+def daily_profile(df: DataFrame) -> DataFrame:
+    """The report per day and location; readings without a time have no day. Equal rows have
+    equal times, so the days' numbers of distinct rows add up."""
+    counted = with_copies(df).withColumn("date", F.to_date("timestamp"))
+    return counted.groupBy("date", "location").agg(*_report_columns(["timestamp", "in", "out"]))
+
+
+def combined_profile(by_day: DataFrame) -> DataFrame:
+    """``profile_report`` of all rows from their ``daily_profile``."""
+    summed = ["total_rows", "distinct_rows", "duplicates", "null_timestamp", "null_in", "null_out"]
+    nameless = F.coalesce(F.sum(F.when(F.col("location").isNull(), F.col("total_rows"))), F.lit(0))
+    return by_day.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed[:3]],
+        nameless.alias("null_location"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed[3:]],
+        *[f(f"{p}_{c}").alias(f"{p}_{c}") for c in COUNT_COLUMNS for p, f in (("min", F.min), ("max", F.max))],
+        F.min("earliest").alias("earliest"),
+        F.max("latest").alias("latest"),
+    )
+
+
 def _copy_counts() -> list[Column]:
     total = F.coalesce(F.sum("copies"), F.lit(0))
     return [

@@ -21,6 +21,7 @@ BAD_TIMESTAMP = "bad_timestamp"
 MALFORMED = "malformed"
 NEGATIVE = "negative"
 DUPLICATE = "duplicate"
+EXPIRED = "expired"  # of a day that is no longer kept
 
 ROW_RULES = (BAD_TIMESTAMP, MALFORMED, NEGATIVE)
 

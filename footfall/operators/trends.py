@@ -7,15 +7,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def monthly_trend(daily: DataFrame) -> DataFrame:
-    """Totals per location and month, per location, and overall.
-
-    ``level`` is 0, 1 and 3 for these. The days are summed to months first: the
-    rollup then triples one row per location and month, not one per day."""
-    by_month = daily.groupBy("location", F.trunc("date", "month").alias("month")).agg(
+def monthly_totals(daily: DataFrame) -> DataFrame:
+    """Totals per location and month, which its first day stands for."""
+    return daily.groupBy("location", F.trunc("date", "month").alias("first_day")).agg(
         F.sum("total_in").alias("total_in"), F.sum("total_out").alias("total_out")
     )
-    return by_month.rollup("location", "month").agg(
+
+
+def rollup_months(monthly: DataFrame) -> DataFrame:
+    return monthly.withColumnRenamed("first_day", "month").rollup("location", "month").agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("total_in").alias("total_in"),
         F.sum("total_out").alias("total_out"),
@@ -23,6 +23,14 @@ def monthly_trend(daily: DataFrame) -> DataFrame:
     )
 
 
+def monthly_trend(daily: DataFrame) -> DataFrame:
+    """Totals per location and month, per location, and overall.
+
+    ``level`` is 0, 1 and 3 for these. The days are summed to months first: the
+    rollup then triples one row per location and month, not one per day."""
+    return rollup_months(monthly_totals(daily))
+
+
 def day_over_day(daily: DataFrame) -> DataFrame:
     """Change of the entries against the location's previous day with data, as a
     difference and as a ratio; null for a first day, the ratio also after a zero."""

@@ -29,8 +29,17 @@ from footfall.operators.totals import (
     with_net_flow,
     with_occupancy,
 )
-from footfall.session import sized_shuffles
-from footfall.sinks.tables import Load, read_hourly, replace_days, write_daily, write_hourly, write_partitions
+from footfall.session import sized_shuffles, together
+from footfall.sinks.tables import (
+    MONTHLY,
+    Load,
+    read_hourly,
+    replace_days,
+    write_daily,
+    write_hourly,
+    write_monthly,
+    write_partitions,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -56,7 +65,13 @@ class Gates:
     max_age_hours: float | None = None
     as_of: dt.datetime | None = None
 
-    def check(self, facts: DataFrame, expected: DataFrame | None = None) -> list[DataFrame]:
+    def check(
+        self,
+        facts: DataFrame,
+        expected: DataFrame | None = None,
+        roster: DataFrame | None = None,
+        awaited: DataFrame | None = None,
+    ) -> list[DataFrame]:
         checks = []
         if self.max_null_rate is not None:
             checks.append(gate_null_rate(facts, self.max_null_rate))
@@ -65,7 +80,7 @@ class Gates:
         if self.max_age_hours is not None:
             if self.as_of is None:
                 raise ValueError("the age gate needs as_of")
-            checks.append(gate_max_age(facts, self.as_of, self.max_age_hours))
+            checks.append(gate_max_age(facts, self.as_of, self.max_age_hours, roster, awaited))
         return checks
 
 
@@ -90,10 +105,12 @@ def run_batch(
     gates: Gates | None = None,
     max_rejection_rate: float | None = None,
     expected_rows: int = 0,
+    locations: DataFrame | None = None,
 ) -> BatchRun:
     """Writes below ``out``: readings (valid and rejected), profile, misfiled, rejection_rate,
-    hourly_facts, gates, hourly, daily and stages. ``out`` is the folder of this run; a failed
-    run leaves others untouched.
+    hourly_facts, gates, hourly, daily, monthly and stages. ``out`` is the folder of this run; a failed
+    run leaves others untouched. ``locations`` (location) are all that should have readings:
+    the age gate fails for those without any.
 
     The source is parsed once and the staged Parquet read for the profile, the misfiled rows
     and the hourly facts. Gates and hourly totals come from the facts, daily totals from the
@@ -135,7 +152,8 @@ def run_batch(
 
     with sized_shuffles(spark, hours):
         expected = expected_days(staged) if "file_date" in staged.columns else None
-        checks = gates.check(facts, expected) if gates else []
+        roster = None if locations is None else locations.select("location", F.lit(None).cast("timestamp_ntz").alias("latest"))
+        checks = gates.check(facts, expected, roster) if gates else []
         if checks:
             reduce(DataFrame.unionByName, checks).write.parquet(f"{out}/gates")
             require_passed(spark.read.parquet(f"{out}/gates"), f"{out}/gates")
@@ -143,7 +161,11 @@ def run_batch(
         totals = with_net_flow(valid_hours(facts))
         run.loads.append(write_hourly(with_occupancy(totals), f"{out}/hourly"))
         done("hourly", run.loads[-1].rows)
-        run.loads.append(write_daily(daily_totals(read_hourly(spark, f"{out}/hourly")), f"{out}/daily"))
+        daily = daily_totals(read_hourly(spark, f"{out}/hourly"))
+        load, _ = together(
+            spark, lambda: write_daily(daily, f"{out}/daily"), lambda: write_monthly(daily, f"{out}/{MONTHLY}")
+        )
+        run.loads.append(load)
         done("daily", run.loads[-1].rows)
     run.metrics(spark).write.parquet(f"{out}/stages")
     return run

@@ -373,7 +373,50 @@ ORACLES: dict[str, str] = {
                   CAST(coalesce(sum("out"), 0) AS BIGINT) AS total_out
            FROM filed WHERE CAST("timestamp" AS DATE) <> file_date GROUP BY 1, 2, 3""",
     ),
+    "gate_max_age_silent": _with(
+        "readings",
+        f"""SELECT 'max_age' AS gate, location AS key, age AS value, CAST({MAX_AGE_HOURS} AS DOUBLE) AS threshold,
+                   coalesce(age <= {MAX_AGE_HOURS}, false) AS passed
+            FROM (SELECT location, date_diff('microsecond', latest, TIMESTAMP '{AS_OF}') / CAST(3.6e9 AS DOUBLE) AS age
+                  FROM (SELECT location, max("timestamp") FILTER (location <> '{LOCATIONS[1]}') AS latest
+                        FROM readings GROUP BY location
+                        UNION ALL SELECT 'device_none', NULL))""",
+    ),
     # incremental
+    "stream_equals_batch": _HOURLY,
+    "ingest_profile": _with(
+        "numbered",
+        """SELECT 2 * count(*) AS total_rows, count(*) FILTER (copy = 1) AS distinct_rows,
+                  count(*) + count(*) FILTER (copy > 1) AS duplicates,
+                  2 * count(*) FILTER ("timestamp" IS NULL) AS null_timestamp,
+                  2 * count(*) FILTER ("in" IS NULL) AS null_in, 2 * count(*) FILTER ("out" IS NULL) AS null_out FROM numbered""",
+    ),
+    "ingest_drop_duplicates": _with(
+        "readings",
+        """SELECT *, CAST(sum(net_flow) OVER (PARTITION BY location, date ORDER BY hour
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS occupancy
+           FROM (SELECT *, total_in - total_out AS net_flow, CAST(hour AS DATE) AS date
+                 FROM (SELECT location, CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS hour,
+                              CAST(coalesce(sum("in"), 0) AS BIGINT) AS total_in,
+                              CAST(coalesce(sum("out"), 0) AS BIGINT) AS total_out
+                       FROM (SELECT DISTINCT location, "timestamp", "in", "out" FROM readings) GROUP BY 1, 2))""",
+    ),
+    "ingest_misfiled": _with(
+        "filed",
+        """SELECT location, file_date, CAST("timestamp" AS DATE) AS event_date, count(*) AS rows,
+                  CAST(coalesce(sum("in"), 0) AS BIGINT) AS total_in,
+                  CAST(coalesce(sum("out"), 0) AS BIGINT) AS total_out
+           FROM filed WHERE CAST("timestamp" AS DATE) <> file_date GROUP BY 1, 2, 3""",
+    ),
+    "ingest_monthly_trend": _with(
+        "daily",
+        """SELECT location, CAST(date_trunc('month', date) AS DATE) AS month,
+                  CAST(grouping(location, CAST(date_trunc('month', date) AS DATE)) AS INTEGER) AS level,
+                  CAST(sum(total_in) AS BIGINT) AS total_in, CAST(sum(total_out) AS BIGINT) AS total_out,
+                  CAST(sum(net_flow) AS BIGINT) AS net_flow
+           FROM daily GROUP BY ROLLUP (location, CAST(date_trunc('month', date) AS DATE))""",
+    ),
+    "retention_then_late_rows": _DAILY + f" WHERE date >= DATE '{CUTOFF}'",
     "incremental_equals_batch": _HOURLY,
     "incremental_grown_files": _HOURLY,
     "incremental_progress": _with(

@@ -20,8 +20,10 @@ from footfall.session import scratch_dir
 from footfall.sinks import tables
 from footfall.sources.events import event_readings, filed_readings, raw_text_readings
 from footfall.sources.feeds import union_feeds
-from footfall.sources.readings import list_locations, parse_lines, read_readings, write_csv_tree, write_named_csv
-from footfall.streaming.ingest import read_progress, run_ingest
+from footfall.sources.readings import list_files, list_locations, parse_lines, read_readings, write_csv_tree, write_named_csv
+from footfall.streaming.ingest import read_misfiled, read_profile, read_progress, run_ingest
+from footfall.streaming.retention import prune
+from footfall.streaming.stream import stream_ingest
 
 # Fixed parameters of the registered queries.
 DAY = "2024-01-15"
@@ -422,6 +424,19 @@ def gate_max_age(spark, sf_dir):
     return gates.gate_max_age(_facts(spark, sf_dir), dt.datetime.fromisoformat(AS_OF), MAX_AGE_HOURS)
 
 
+@_query
+def gate_max_age_silent(spark, sf_dir):
+    """Two locations must be there besides those with facts: one sent its last reading in time,
+    but long ago, one never sent any. And one has only readings without a time."""
+    readings = event_readings(spark, sf_dir)
+    last = readings.where(F.col("location") == LOCATIONS[0]).agg(F.max("timestamp").alias("latest"))
+    roster = last.select(F.lit(LOCATIONS[0]).alias("location"), "latest")
+    never = last.select(F.lit("device_none").alias("location"), F.lit(None).cast("timestamp_ntz").alias("latest"))
+    time = F.when(F.col("location") != LOCATIONS[1], F.col("timestamp"))
+    facts = totals.hourly_facts(readings.where(F.col("location") != LOCATIONS[0]).withColumn("timestamp", time))
+    return gates.gate_max_age(facts, dt.datetime.fromisoformat(AS_OF), MAX_AGE_HOURS, roster.unionByName(never))
+
+
 # --- incremental
 
 
@@ -460,6 +475,70 @@ def incremental_progress(spark, sf_dir):
     return read_progress(spark, _ingested_in_halves(spark, sf_dir)).select("location", "last_timestamp", "files", "rows")
 
 
+@_query
+def stream_equals_batch(spark, sf_dir):
+    """The ingest as a stream: two looks at the input, the second finds late files, in several
+    micro-batches each."""
+    out = scratch_dir(spark)
+    readings = filed_readings(spark, sf_dir)
+    on_time = F.col("file_date") == F.to_date("timestamp")
+    for arrived in (readings.where(on_time), readings.where(~on_time)):
+        write_csv_tree(arrived, f"{out}/in")
+        stream_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True, files_at_once=2_000)
+    return tables.read_hourly(spark, f"{out}/tables/hourly")
+
+
+def _loaded_in_batches(spark, readings, **options):
+    """The readings' files come in two runs of two batches; which file a reading is in has nothing
+    to do with its copies."""
+    out = scratch_dir(spark)
+    for _ in range(2):  # every reading comes again, in other files
+        write_csv_tree(readings, f"{out}/in")
+        files = -(-list_files(spark, f"{out}/in", partitioned=True).count() // 2)
+        run_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True, batch_files=files, **options)
+    return f"{out}/tables"
+
+
+@_query
+def ingest_profile(spark, sf_dir):
+    """The profile of everything loaded, where copies came in different batches: every reading
+    twice, besides those that are repeated anyway."""
+    found = read_profile(spark, _loaded_in_batches(spark, raw_text_readings(spark, sf_dir)))
+    return found.select("total_rows", "distinct_rows", "duplicates", "null_timestamp", "null_in", "null_out")
+
+
+@_query
+def ingest_drop_duplicates(spark, sf_dir):
+    """Copies in different batches count once."""
+    out = _loaded_in_batches(spark, filed_readings(spark, sf_dir), drop_duplicates=True)
+    return tables.read_hourly(spark, f"{out}/hourly")
+
+
+@_query
+def ingest_misfiled(spark, sf_dir):
+    return read_misfiled(spark, _ingested_in_halves(spark, sf_dir))
+
+
+@_query
+def ingest_monthly_trend(spark, sf_dir):
+    """The trend from the monthly table that the ingest keeps up to date."""
+    return tables.read_monthly_trend(spark, _ingested_in_halves(spark, sf_dir))
+
+
+@_query
+def retention_then_late_rows(spark, sf_dir):
+    """Old days are removed; then files with rows of these days arrive, which bring none back."""
+    out = scratch_dir(spark)
+    readings = filed_readings(spark, sf_dir)
+    late = F.col("file_date") != F.to_date("timestamp")
+    write_csv_tree(readings.where(~late), f"{out}/in")
+    run_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True)
+    prune(spark, f"{out}/tables", dt.date.fromisoformat(CUTOFF))
+    write_csv_tree(readings.where(late), f"{out}/in")
+    run_ingest(spark, f"{out}/in", f"{out}/tables", partitioned=True)
+    return tables.read_daily(spark, f"{out}/tables/daily")
+
+
 @_query
 def upsert_withdrawn_day(spark, sf_dir):
     """Two days are rebuilt from readings that no longer have the second."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from footfall.sources.folders import temporary_folder
@@ -51,6 +53,14 @@ def sized_shuffles(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, configured)
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run steps whose jobs do not need each other at the same time, and return their results.
+    A small job leaves most of a cluster idle. All end before an error is raised."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        begun = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in begun]
+
+
 def build_session(
     app_name: str = "footfall",
     master: str | None = None,

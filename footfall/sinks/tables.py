@@ -1,7 +1,7 @@
-"""Parquet tables: hourly partitioned by date, daily by month. Executors write them. A job
-that fails before its commit publishes nothing, but a commit is not one step: a full refresh
-first removes the old files, and replacing partitions renames them one after another. Write a
-full refresh to a folder of its own and switch readers over."""
+"""Parquet tables: hourly partitioned by date, daily and monthly by month. Executors write them.
+Days are replaced in all tables by one publication, see ``sinks.publish``. A full refresh is no
+single step, as it first removes the old files: write it to a folder of its own and switch
+readers over, as ``sinks.runs`` does."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import logging
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from footfall.functions.rows import literal_rows
 from footfall.model import DAILY, HOURLY
 from footfall.operators.contract import require_not_null, require_schema
 from footfall.operators.totals import daily_totals
-from footfall.session import scratch_dir
+from footfall.operators.trends import monthly_totals, rollup_months
+from footfall.session import together
+from footfall.sinks.publish import Publication
 from footfall.sources.folders import delete_folders, subfolders
 
 logger = logging.getLogger(__name__)
@@ -50,6 +53,7 @@ def load_report(spark: SparkSession, loads: Sequence[Load]) -> DataFrame:
 
 
 MONTH = "month"
+MONTHLY, DAY_PROFILES = "monthly", "day_profiles"
 _DAY = re.compile(r"([+-]?\d+)-(\d\d)-(\d\d)")
 
 
@@ -106,46 +110,93 @@ def dates_table(spark: SparkSession, path: str) -> DataFrame:
     return literal_rows(spark, [(day,) for day in loaded_dates(spark, path)], schema).select(F.col("date").cast("date"))
 
 
-def drop_dates(spark: SparkSession, path: str, days: Iterable[str]) -> None:
-    """Remove the folders of some days."""
-    delete_folders(spark, [f"{path}/date={day}" for day in days])
+def before(days: Iterable[str], cutoff: dt.date) -> list[str]:
+    return [day for day in days if _day_order(day) < _day_order(cutoff.isoformat())]
+
+
+def folders_of_days(path: str, days: Iterable[str]) -> list[str]:
+    return [f"{path}/date={day}" for day in days]
 
 
 def drop_before(spark: SparkSession, path: str, cutoff: dt.date) -> list[str]:
-    """Retention: remove the folders of all days before ``cutoff``, and say which."""
-    days = loaded_dates(spark, path)
-    old = [day for day in days if _day_order(day) < _day_order(cutoff.isoformat())]
-    drop_dates(spark, path, old)
+    """Remove the folders of all days before ``cutoff`` from one table, and say which."""
+    old = before(loaded_dates(spark, path), cutoff)
+    delete_folders(spark, folders_of_days(path, old))
     return old
 
 
 def replace_days(
-    spark: SparkSession, hourly: DataFrame, out: str, days: Sequence[str], may_empty: bool = True
+    spark: SparkSession,
+    hourly: DataFrame,
+    out: str,
+    days: Sequence[str],
+    profiles: DataFrame | None = None,
+    profiled: Sequence[str] = (),
 ) -> list[Load]:
     """Put ``hourly`` in the place of the given days of the hourly table, also where a day has
-    no rows any more, and make the daily table of their months anew from it. Rows that were
-    only added empty no day; without ``may_empty`` that is not looked for."""
-    emptied: set[str] = set()
-    if may_empty:
-        # Written first, as both the table and the days that have rows come from it.
-        path = f"{scratch_dir(spark)}/days"
-        hourly.write.parquet(path)
-        hourly = spark.read.schema(hourly.schema).parquet(path)
-        filled = {r.date for r in hourly.select(F.col("date").cast("string")).distinct().collect()}
+    no rows any more, and make the daily and monthly tables of their months anew. ``profiles`` take the
+    place of those of the days ``profiled``. All of it becomes visible together."""
+    publication = Publication(spark, out)
+
+    def put_totals() -> list[Load]:
+        load = write_hourly(hourly, publication.path("hourly"))
+        filled = set(loaded_dates(spark, publication.path("hourly")))
         emptied = set(loaded_dates(spark, f"{out}/hourly")) & set(days) - filled
-    load = write_hourly(hourly, f"{out}/hourly", replace_dates=True)
-    drop_dates(spark, f"{out}/hourly", emptied)
-    return [load, refresh_months(spark, out, {day[:-3] for day in days})]
+        publication.drop("hourly", [f"date={day}" for day in emptied])
+        return [load, _put_months(spark, publication, set(days), filled)]
+
+    def put_profiles() -> None:
+        path = publication.path(DAY_PROFILES)
+        write_partitions(profiles, path, ("date",), ("location",), replace=False)
+        there = subfolders(spark, path)
+        publication.drop(DAY_PROFILES, [f"date={day}" for day in profiled if f"date={day}" not in there])
+
+    loads, *_ = together(spark, put_totals, *([] if profiles is None else [put_profiles]))
+    publication.commit()
+    return loads
+
+
+def remove_days(spark: SparkSession, out: str, days: Sequence[str]) -> None:
+    """The given days go from the tables of totals and from the profiles."""
+    publication = Publication(spark, out)
+    for table in ("hourly", DAY_PROFILES):
+        publication.drop(table, [f"date={day}" for day in days])
+    _put_months(spark, publication, set(days), set())
+    publication.commit()
+
+
+def _put_months(spark: SparkSession, publication: Publication, days: set[str], filled: set[str]) -> Load:
+    """The daily and monthly tables of the months of ``days``, from the days that the publication
+    has ``filled`` and the months' others, which stay as they are."""
+    out = publication.out
+    months = {day[:-3] for day in days}
+    others = [day for day in loaded_dates(spark, f"{out}/hourly") if day[:-3] in months and day not in days]
+    gone = months - {day[:-3] for day in [*others, *filled]}
+    for table in ("daily", MONTHLY):
+        publication.drop(table, [f"{MONTH}={m}" for m in gone])
+    places = ((publication.path("hourly"), sorted(filled)), (f"{out}/hourly", others))
+    sources = [read_days(spark, path, HOURLY, some).select(*HOURLY.names) for path, some in places if some]
+    if not sources:
+        return Load("daily", 0)
+    daily = daily_totals(reduce(DataFrame.unionByName, sources))
+    load, _ = together(
+        spark,
+        lambda: write_daily(daily, publication.path("daily")),
+        lambda: write_monthly(daily, publication.path(MONTHLY)),
+    )
+    return load
 
 
-def refresh_months(spark: SparkSession, out: str, months: set[str]) -> Load:
-    """The daily table's months from the hourly table, whose other days are not listed."""
-    days = [day for day in loaded_dates(spark, f"{out}/hourly") if day[:-3] in months]
-    delete_folders(spark, [f"{out}/daily/{MONTH}={m}" for m in months - {day[:-3] for day in days}])
-    if not days:
-        return Load("daily", 0)
-    hourly = read_days(spark, f"{out}/hourly", HOURLY, days)
-    return write_daily(daily_totals(hourly.select(*HOURLY.names)), f"{out}/daily", replace_months=True)
+def write_monthly(daily: DataFrame, path: str) -> int:
+    monthly = monthly_totals(daily).withColumn(MONTH, month_of(F.col("first_day")))
+    return write_partitions(monthly, path, (MONTH,), ("location",), replace=False)
+
+
+def read_monthly_trend(spark: SparkSession, out: str) -> DataFrame:
+    """``trends.monthly_trend`` of everything loaded, from the monthly table."""
+    if not subfolders(spark, f"{out}/{MONTHLY}"):
+        return rollup_months(monthly_totals(literal_rows(spark, [], DAILY)))
+    return rollup_months(spark.read.parquet(f"{out}/{MONTHLY}").drop(MONTH))
 
 
 def read_days(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
@@ -27,12 +28,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(found)
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _hadoop(spark, folder)
+    fs.mkdirs(path)
+
+
 def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
     for folder in folders:
         fs, path = _hadoop(spark, folder)
         fs.delete(path, True)
 
 
+def move_folder(spark: SparkSession, folder: str, target: str) -> None:
+    """Rename; ``target`` must not exist, folders above it may be missing."""
+    fs, path = _hadoop(spark, folder)
+    _, to = _hadoop(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(path, to):
+        raise OSError(f"cannot rename {folder} to {target}")
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Give a small file new content by one rename: readers see the old or the new."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _hadoop(spark, path)
+    fs.mkdirs(target.getParent())
+    _, fresh = _hadoop(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(fresh, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(target), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if there is none."""
+    fs, found = _hadoop(spark, path)
+    if not fs.exists(found):
+        return None
+    stream = fs.open(found)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
     """Give the one data file in ``folder`` another name, in the place of what had it."""
     fs, path = _hadoop(spark, folder)

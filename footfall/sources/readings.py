@@ -60,11 +60,19 @@ def read_files(spark: SparkSession, root: str, files: list[str], *, partitioned:
         reader = reader.option("basePath", root)
     name = F.col(FILE_NAME)
     lines = reader.text([literal(file) for file in files]).where("line <> ''")
-    header = F.lower(F.replace("line", F.lit(" "))) == F.lit(",".join(CSV_READING.names[:3]))
     location = F.col("location") if partitioned else directory_name(F.col(FILE_PATH))
     filed = F.col("file_date") if partitioned else file_date(name)
     origin = [location.alias("location"), filed.alias("file_date"), decoded(name).alias("file")]
-    return parse_lines(lines.select(*origin, header.alias("header"), "line"))
+    return parse_lines(lines.select(*origin, is_header(F.col("line")).alias("header"), "line"))
+
+
+def is_header(line: Column) -> Column:
+    """Whether a CSV line names the columns, quoted or not, as the batch scan compares them. A
+    fourth field would be another layout. Only lines that might are parsed for it."""
+    names = CSV_READING.names[:3]
+    fields = F.from_csv(line, "a string, b string, c string, d string", {"mode": "PERMISSIVE"})
+    equal = F.lower(F.concat_ws(",", fields["a"], fields["b"], fields["c"])) == F.lit(",".join(names))
+    return F.when(F.lower(line).contains(names[0]), equal & fields["d"].isNull() & fields["c"].isNotNull()).otherwise(False)
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:

