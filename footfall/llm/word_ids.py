@@ -7,22 +7,21 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 from collections.abc import Iterable
 
 import numpy as np
 
-#: Words kept by a worker, about 200 bytes each.
-CACHED_WORDS = 900_000
+#: Words kept by a worker, about 200 bytes each: 60 MB.
+CACHED_WORDS = 300_000
 #: Until so many are kept, all are; later only those that come again.
-KEPT_AT_ONCE = 400_000
+KEPT_AT_ONCE = 150_000
 #: Bits that note which words were met.
-MET_BYTES = 1 << 22
+MET_BITS = 1 << 25
 #: Words joined into one call of the tokenizer.
 WORDS_PER_CALL = 4_096
 
-#: Letters and other bytes, then ASCII marks but the apostrophe at the word's end.
-_STEM = re.compile(rb"(.*?)([!-&(-/:-@\[-`{-~]*)", re.DOTALL)
+#: ASCII marks but the apostrophe: after letters they are a run of their own.
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 
 _workers: dict[str, WordIds] = {}
 
@@ -53,67 +52,72 @@ class WordIds:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
-        self.met = bytearray(MET_BYTES)
+        self.met = np.zeros(MET_BITS // 8, np.uint8)
         self.marks: dict[bytes, bytes] = {}
 
     def _one(self, word: str) -> bytes:
         return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, words: list[bytes]) -> Iterable[tuple[bytes, bytes]]:
+    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words of letters only: each is one run for the tokenizer, whose last id
         alone carries the mark of a word's end, so many words go through one call."""
+        found = {}
         for at in range(0, len(words), WORDS_PER_CALL):
             part = words[at : at + WORDS_PER_CALL]
             (encoded,) = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
             ids = np.asarray(encoded.ids, "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
             if len(ends) != len(part):
                 raise RuntimeError("the tokenizer cut a word of letters")
-            data, start = ids.tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist()):
-                yield word, data[start:end]
-                start = end
-
-    def _came_before(self, word: bytes) -> bool:
-        """Whether the word was asked for already. It may say so of a few new words."""
-        place, bit = divmod(hash(word) % (8 * len(self.met)), 8)
-        if self.met[place] >> bit & 1:
-            return True
-        self.met[place] |= 1 << bit
-        return False
+            data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+            found.update(zip(part, [data[i:j] for i, j in zip(starts, ends.tolist())]))
+        return found
 
-    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not known. Most words of a corpus never come again, so after a
-        while only those are kept that have come before."""
-        found: dict[bytes, bytes] = {}
-        stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
+    def _came_before(self, words: list[bytes]) -> np.ndarray:
+        """Which of some different words were asked for already. It may say so of a few new ones."""
+        places = np.fromiter(map(hash, words), np.int64, len(words)) % MET_BITS
+        at, bit = places >> 3, np.left_shift(1, places & 7).astype(np.uint8)
+        before = self.met[at] & bit != 0
+        np.bitwise_or.at(self.met, at, bit)
+        return before
+
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not known, and of stems found in them."""
+        plain = [word for word in words if word.isalpha()]
+        marked: list[tuple[bytes, bytes, bytes]] = []
+        odd: list[bytes] = []
         for word in words:
-            stem, marks = _STEM.fullmatch(word).groups()
-            # Marks after letters are a run of their own, unless they hold an apostrophe.
-            if stem and (stem.isalpha() or _latin(stem)):
-                stems.setdefault(stem.lower() if stem.isascii() else stem.decode().lower().encode(), []).append((word, marks))
-            else:
-                found[word] = self._one(word.decode())
-        known, missing = self.known, []
-        for stem, wanted in stems.items():
-            if (ids := known.get(stem)) is None:
-                missing.append(stem)
-            else:
-                for word, marks in wanted:
-                    found[word] = ids + self._marks(marks)
-        for stem, ids in self._letters(missing):
-            found[stem] = ids
-            for word, marks in stems[stem]:
-                found[word] = ids + self._marks(marks)
-        if len(known) < KEPT_AT_ONCE:
-            known.update(found)
-        elif len(known) < CACHED_WORDS:
-            known.update((word, ids) for word, ids in found.items() if self._came_before(word))
+            if not word.isalpha():
+                stem = word.rstrip(_MARKS)
+                if stem.isalpha():
+                    marked.append((word, stem, word[len(stem) :]))
+                elif stem and _latin(stem):
+                    marked.append((word, stem.decode().lower().encode(), word[len(stem) :]))
+                else:
+                    odd.append(word)
+        known = self.known
+        found = self._letters([*{*plain, *(stem for _, stem, _ in marked if stem not in known)}])
+        for word, stem, marks in marked:
+            ids = found[stem] if stem in found else known[stem]
+            found[word] = ids + self._marks(marks) if marks else ids
+        for word in odd:
+            found[word] = self._one(word.decode())
         return found
 
+    def _forget(self, found: dict[bytes, bytes]) -> None:
+        """Most words of a corpus never come again, so after a while only those are kept that
+        have come before."""
+        known = self.known
+        if len(known) > KEPT_AT_ONCE:
+            words = list(found)
+            room = CACHED_WORDS - (len(known) - len(words))
+            keep = self._came_before(words)
+            if keep.sum() > room:
+                keep &= keep.cumsum() <= max(0, room)
+            for i in np.flatnonzero(~keep).tolist():
+                del known[words[i]]
+
     def _marks(self, marks: bytes) -> bytes:
-        if not marks:
-            return b""
         if marks not in self.marks:
             if len(self.marks) > 10_000:
                 self.marks.clear()
@@ -133,10 +137,9 @@ class WordIds:
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         # Lower-casing first makes fewer words; a special token's name must stay as it is.
         lists = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        ids = [list(map(self.known.get, words)) for words in lists]
-        open_at = [i for i, parts in enumerate(ids) if None in parts]
-        if open_at:
-            new = self._new({w for i in open_at for w, x in zip(lists[i], ids[i]) if x is None})
-            for i in open_at:
-                ids[i] = [new[w] if x is None else x for w, x in zip(lists[i], ids[i])]
-        return list(map(b"".join, ids))
+        known = self.known
+        found = self._new([word for word in set().union(*lists) if word not in known])
+        known.update(found)
+        ids = [b"".join(map(known.__getitem__, words)) for words in lists]
+        self._forget(found)
+        return ids
