@@ -3,8 +3,9 @@
 Texts become token ids with an end id; longer ones are cut into full pieces and a rest. The
 plan needs only how many pieces have each length, at most one number per length: patterns of
 two to four lengths that fill a sequence exactly get repeat counts by non-negative least
-squares against this histogram; the counts are rounded down, and what they leave is packed by
-best fit, longest first, many equal pieces at a time. Each length's pieces are numbered across
+squares against this histogram. The larger counts are rounded and taken, and the next fit is
+against what is left; after a few fits the rest is packed by best fit, longest first, many equal
+pieces at a time. Each length's pieces are numbered across
 all tasks, and a piece finds its place by its number, so no piece ever travels to a packer.
 
 Null texts are empty and give one piece with the end id. Repeated rows are packed each. An
@@ -28,9 +29,9 @@ END_ID = 0
 #: Bytes of text tokenized, and of ids handed on, at once.
 TEXT_BATCH = 1 << 20
 
-#: Triples and quadruples tried for each longest length, and steps of the least squares.
+#: Triples and quadruples tried for each longest length, fits, and sweeps over the patterns in each.
 MIXES = 24
-STEPS = 400
+FITS, SWEEPS = 8, 6
 
 Bins = list[tuple[tuple[int, ...], int]]
 
@@ -100,17 +101,45 @@ def exact_patterns(lengths: list[int], size: int = SEQUENCE, mixes: int = MIXES)
     return sorted(found, reverse=True)
 
 
-def fitted_repeats(patterns: list[tuple[int, ...]], counts: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Non-negative repeats x that bring the patterns' lengths closest to ``counts`` in least
-    squares, by multiplicative steps, which keep x non-negative."""
-    rows = np.concatenate([np.full(len(p), j) for j, p in enumerate(patterns)])
-    cols = np.concatenate([np.asarray(p) for p in patterns])
-    target = np.bincount(rows, counts[cols], len(patterns))
-    x = np.ones(len(patterns)) * counts.sum() / max(1, len(cols))
-    for _ in range(steps):
-        made = np.bincount(cols, x[rows], len(counts))
-        x *= target / np.maximum(np.bincount(rows, made[cols], len(patterns)), 1e-9)
-    return x
+def fitted_repeats(patterns: list[tuple[int, ...]], counts: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
+    """Non-negative repeats that bring the patterns' lengths closest to ``counts`` in least
+    squares: each pattern in turn takes the best number, all others held, never below 0. From
+    nothing the first patterns take much and leave little to the rest, so that many stay at 0."""
+    left = counts.astype(float).tolist()
+    parts = [(tuple(sorted(set(p))), p) for p in patterns]
+    terms = [([(v, p.count(v)) for v in values], sum(p.count(v) ** 2 for v in values)) for values, p in parts]
+    repeats = [0.0] * len(patterns)
+    for _ in range(sweeps):
+        for j, (lengths, norm) in enumerate(terms):
+            wanted = 0.0
+            for v, times in lengths:
+                wanted += times * left[v]
+            now = max(0.0, repeats[j] + wanted / norm)
+            if now != repeats[j]:
+                change, repeats[j] = now - repeats[j], now
+                for v, times in lengths:
+                    left[v] -= times * change
+    return np.array(repeats)
+
+
+def fitted_plan(left: np.ndarray, size: int) -> Bins:
+    """Patterns for the pieces in ``left``, which loses them. Of a fit's repeats those at least half
+    as large as the largest, and all that round to 1 or more, are taken."""
+    patterns = [p for p in exact_patterns(np.flatnonzero(left).tolist(), size) if all(p.count(v) <= left[v] for v in p)]
+    if not patterns:
+        return []
+    fitted, plan = fitted_repeats(patterns, left), []
+    least = min(0.5, fitted.max() / 2)
+    for j in np.argsort(-fitted, kind="stable").tolist():
+        if fitted[j] < least or not fitted[j]:
+            break
+        need = np.bincount(patterns[j], minlength=len(left))
+        at = np.flatnonzero(need)
+        repeats = min(max(1, round(fitted[j])), int((left[at] // need[at]).min()))
+        if repeats:
+            left[at] -= repeats * need[at]
+            plan.append((patterns[j], repeats))
+    return plan
 
 
 def best_fit(counts: np.ndarray, size: int = SEQUENCE) -> Bins:
@@ -145,26 +174,25 @@ def pack_plan(counts: np.ndarray, size: int = SEQUENCE) -> Bins:
     """Sequences as (lengths, how many), for ``counts[length]`` pieces of each length."""
     counts = np.asarray(counts, np.int64)
     full = [((size,), int(counts[size]))] if counts[size] else []
-    rest = counts.copy()
-    rest[size] = 0
-    patterns = exact_patterns(np.flatnonzero(rest).tolist(), size)
-    fitted = fitted_repeats(patterns, rest) if patterns else np.empty(0)
-    plans = []
-    # Small lengths used up by patterns may be missed later: the best share of the fit is kept.
-    for share in (1.0, 0.9, 0.5, 0.0):
-        left, plan = rest.copy(), []
-        for j in np.argsort(-fitted, kind="stable"):
-            wanted = int(share * fitted[j])
-            if wanted < 1:
-                break
-            need = np.bincount(patterns[j], minlength=len(left))
-            at = np.flatnonzero(need)
-            repeats = min(wanted, int((left[at] // need[at]).min()))
-            if repeats:
-                left[at] -= repeats * need[at]
-                plan.append((patterns[j], repeats))
-        plans.append(plan + best_fit(left, size))
-    return full + min(plans, key=lambda plan: sum(n for _, n in plan))
+    left, fitted = counts.copy(), []
+    left[size] = 0
+    best = best_fit(left, size)
+    # Small lengths used up by patterns may be missed later, so each fit is kept only if the whole
+    # needs no more sequences than without it.
+    for _ in range(FITS):
+        rest = left.copy()
+        more = fitted_plan(rest, size)
+        if not more:
+            break
+        plan = fitted + more + best_fit(rest, size)
+        if _sequences(plan) > _sequences(best):
+            break
+        best, fitted, left = plan, fitted + more, rest
+    return full + best
+
+
+def _sequences(plan: Bins) -> int:
+    return sum(n for _, n in plan)
 
 
 def place_table(plan: Bins, size: int = SEQUENCE) -> dict[int, np.ndarray]:
