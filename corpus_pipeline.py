@@ -28,19 +28,44 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, (80, 100)
 
 
-def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
-    """Rows whose doc_id is not among ``rejected`` (doc_id); a null id matches a null id. A
-    filter keeps most rows, whose texts are long, out of the join."""
-    rejected = staged(rejected.select(F.col("doc_id").alias("rejected_id")).distinct(), name)
-    maybe, others = split_by(docs.select(*COLUMNS), F.col("doc_id"), rejected, "rejected_id")
-    checked = maybe.join(rejected, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
-    return others.unionByName(checked)
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``key`` for every row: its doc_id where that is its own, else a number beyond
+    all ids. So a stage's decision about one row says nothing about another that has the same id,
+    or none, and of equal rows one can stay. Ids are below 2^62."""
+    docs = docs.select(*COLUMNS)
+    counted = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1")
+    odd = staged(counted.select(F.col("doc_id").alias("odd_id")), "odd_ids")
+    if odd.isEmpty():
+        return docs.withColumn("key", F.col("doc_id").cast("long"))
+    beyond = 1 + max(docs.agg(F.max("doc_id")).first()[0] or 0, 0)
+    maybe, others = split_by(docs, F.col("doc_id"), odd, "odd_id")
+    same = F.col("doc_id").eqNullSafe(F.col("odd_id"))
+    own = others.unionByName(maybe.join(odd, same, "left_anti")).withColumn("key", F.col("doc_id").cast("long"))
+    # Written, so that every reader sees the same numbers.
+    numbered = maybe.join(odd, same, "left_semi").withColumn("key", F.lit(beyond) + F.monotonically_increasing_id())
+    return own.unionByName(staged(numbered, "numbered"))
+
+
+def _as_documents(rows: DataFrame) -> DataFrame:
+    """What the operators take, by key."""
+    return rows.select(F.col("key").alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """Documents of ``rows`` whose key is not among ``rejected`` (doc_id). A filter keeps most
+    rows, whose texts are long, out of the join."""
+    rejected = staged(rejected.select(F.col("doc_id").alias("rejected_key")).distinct(), name)
+    maybe, others = split_by(rows, F.col("key"), rejected, "rejected_key")
+    checked = maybe.join(rejected, F.col("key") == F.col("rejected_key"), "left_anti")
+    return others.unionByName(checked).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity grammar predicts to be toxic go."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where("predicted = 1"), "toxic")
+    """Documents that the toxicity grammar predicts to be toxic go. Labels are by doc_id, so rows
+    without one of their own teach nothing."""
+    rows = keyed(docs)
+    scored = score_toxicity(_as_documents(rows), table(spark, sf_dir, "labels"))
+    return _without(rows, scored.where("predicted = 1"), "toxic")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,15 +76,17 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shingles of five words and a similarity of 0.8 the one with the
-    smallest doc_id stays; rows that repeat its id are the same document and stay with it."""
-    linked = link_documents(docs, size=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
-    return _without(docs, linked.where("component_id <> doc_id"), "copies")
+    smallest doc_id stays; rows without an id of their own come after all others."""
+    rows = keyed(docs)
+    linked = link_documents(_as_documents(rows), size=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
+    return _without(rows, linked.where("component_id <> doc_id"), "copies")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"), "contaminated")
+    rows = keyed(docs)
+    found = contamination(_as_documents(rows), table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.where("contaminated"), "contaminated")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
