@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.bloom import split_by
 from footfall.llm.common import staged
-from footfall.llm.labelled import fold, known_labels, training_labels
+from footfall.llm.labelled import class_sample, fold, known_labels
 from footfall.llm.transducers import ANY, Transducer, compose
 
 FOLDS, HELD_OUT = 3, 1
@@ -300,13 +300,27 @@ def _clause_features(docs: DataFrame, lexicon: dict[str, tuple[str, float]], kee
     return docs.select(*keep, "text").mapInArrow(run, ", ".join([*fields, "features array<double>"]))
 
 
+def different_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, y, text) of the labelled texts, each once: under the smallest of its ids,
+    and with the label that most of its labelled rows have, the toxic one in a tie. The order of
+    rows decides nothing. Texts travel once, ids and hashes before them."""
+    known = staged(known.withColumnRenamed("doc_id", "known_id"), "known")
+    held = docs.where("text is not null").select("doc_id", F.sha2("text", 256).alias("text_hash"), "text")
+    maybe, _ = split_by(held, F.col("doc_id"), known, "known_id")
+    labelled = maybe.select("doc_id", "text_hash").join(known, F.col("doc_id") == F.col("known_id"))
+    once = labelled.groupBy("text_hash").agg(
+        F.min("doc_id").alias("first_id"), (2 * F.sum("y") >= F.count("*")).cast("int").alias("y")
+    )
+    once = staged(once.withColumnRenamed("text_hash", "hash"), "once")
+    same = (F.col("doc_id") == F.col("first_id")) & (F.col("text_hash") == F.col("hash"))
+    rows = maybe.join(once, same).select("doc_id", "text_hash", "y", "text")
+    return rows.dropDuplicates(["doc_id", "text_hash"])
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """From the labelled rows of ``docs`` that are not held out; copies of a text teach once.
     The words come from all of them, the coefficients from a weighted sample."""
-    known = staged(known_labels(labels, "toxic", FOLDS, HELD_OUT).withColumnRenamed("doc_id", "known_id"), "known")
-    maybe, _ = split_by(docs.select("doc_id", "text").where("text is not null"), F.col("doc_id"), known, "known_id")
-    rows = maybe.join(known, F.col("doc_id") == F.col("known_id")).select("doc_id", "text", "y")
-    taught = staged(rows.dropDuplicates(["text"]), "taught")
+    taught = staged(different_texts(docs, known_labels(labels, "toxic", FOLDS, HELD_OUT)), "taught")
     sizes = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     lexicon = known_words()
     if sizes.get(1):
@@ -319,8 +333,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
                 del lexicon[p]
         for p, weight in teach(toxic, clean, texts, tested).items():
             lexicon[p] = (INSULT, weight)
-    wanted = F.broadcast(training_labels(labels, "toxic", FOLDS, HELD_OUT, per_class).drop("y"))  # 2 * per_class rows
-    sample = taught.join(wanted, "doc_id")
+    wanted = F.broadcast(class_sample(taught.select("doc_id", "text_hash", "y"), per_class).drop("y"))  # 2 * per_class rows
+    sample = taught.join(wanted, ["doc_id", "text_hash"])
     fitted = _clause_features(sample, lexicon, ["y", "weight"]).toPandas()  # as many rows as the sample
     if len(set(fitted["y"])) < 2:
         rate = (fitted["y"].sum() + 0.5) / (len(fitted) + 1)

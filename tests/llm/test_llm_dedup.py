@@ -128,8 +128,8 @@ def slow_shingles(text, size=4):
     return {tuple(words[i : i + size]) for i in range(max(len(words) - size, 0) + 1)} if words else set()
 
 
-def slow_links(docs: list[tuple], num=85, den=100) -> list[tuple]:
-    sets = [slow_shingles(t) for _, t in docs]
+def slow_links(docs: list[tuple], num=85, den=100, *size: int) -> list[tuple]:
+    sets = [slow_shingles(t, *size) for _, t in docs]
     parent = list(range(len(docs)))
 
     def find(x):

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
-from awkward import documents, empty, odd_documents, rows
+from awkward import documents, empty, odd_documents, rows, sentence
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -343,3 +344,23 @@ def test_toxicity_needs_no_sample_of_both_classes(spark, monkeypatch):
     docs = documents(spark, 1)
     known = labels(spark, [(i, 1, int(i % 4 == 0)) for i in range(40)])
     assert toxicity.learn_toxicity(docs, known, per_class=3).coefficients
+
+
+def test_equal_texts_with_different_labels(spark):
+    """The order of rows changes no score, and no sampled row is lost."""
+    rng = random.Random(21)
+    texts = [sentence(rng, 8) + (" bogus fool" if k % 3 == 0 else "") for k in range(60)]
+    rows = [(i, texts[i % 60], int(i % 3 == 0 or i % 7 == 0)) for i in range(240)]
+    known = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    scores = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([r[:2] for r in order], "doc_id long, text string").coalesce(1)
+        scores.append(sorted((r["doc_id"], round(r["score"], 12)) for r in score_toxicity(docs, known).collect()))
+    assert scores[0] == scores[1]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    taught = toxicity.different_texts(docs, toxicity.known_labels(known, "toxic", toxicity.FOLDS, toxicity.HELD_OUT)).collect()
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert len(taught) == len({t for _, t, _ in learnt})
+    for r in taught:
+        same = [(i, y) for i, t, y in learnt if t == r["text"]]
+        assert (r["doc_id"], r["y"]) == (min(same)[0], int(2 * sum(y for _, y in same) >= len(same)))

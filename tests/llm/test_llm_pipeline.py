@@ -61,7 +61,7 @@ def test_stages(spark, corpus):
 
     near = stages["jaccard_join"](spark, lines, path)
     assert near.columns == COLUMNS
-    stay = sorted([i for i, _, c in slow_links(pairs(lines)) if i is None or c == i], key=repr)
+    stay = sorted([i for i, _, c in slow_links(pairs(lines), 80, 100, 5) if i is None or c == i], key=repr)
     assert sorted([i for i, _ in pairs(near)], key=repr) == stay
     assert len(stay) < lines.count()
 
@@ -124,3 +124,38 @@ def test_near_copies_against_brute_force(spark, corpus):
     kept = {i for i, _ in pairs(corpus_pipeline.drop_near_copies(spark, docs, ""))}
     assert kept == {i for i, r in root.items() if r == i} | {None}
     assert len(kept) < docs.count()
+
+
+def some_documents(spark, rows):
+    docs = [(i, t, "en", None, len(t)) for i, t in rows]
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_rows_without_an_id_of_their_own_are_judged_each(spark, corpus):
+    """A rejected row takes no other with it that has its id, or no id as it has none."""
+    path, items = corpus
+    rng = random.Random(12)
+    clean = [sentence(rng, 40) for _ in range(4)]
+    passage = items[0][1]
+    docs = some_documents(spark, [(None, clean[0]), (None, passage), (7, clean[1]), (7, passage), (7, clean[1]), (8, clean[2]), (9, passage)])
+    kept = corpus_pipeline.drop_contaminated(spark, docs, path)
+    assert sorted(pairs(kept), key=repr) == sorted([(None, clean[0]), (7, clean[1]), (7, clean[1]), (8, clean[2])], key=repr)
+    insult = "You stupid idiot."
+    docs = some_documents(spark, [(None, clean[0]), (None, insult), (70, clean[1]), (70, insult)])
+    kept = corpus_pipeline.drop_toxic(spark, docs, path)
+    assert sorted(pairs(kept), key=repr) == sorted([(None, clean[0]), (70, clean[1])], key=repr)
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(13)
+    text, other = sentence(rng, 60), sentence(rng, 60)
+    docs = some_documents(spark, [(None, text), (None, text), (5, text + " more"), (None, other), (None, other), (6, "x"), (6, "x"), (7, "")])
+    kept = sorted(pairs(corpus_pipeline.drop_near_copies(spark, docs, "")), key=repr)
+    assert kept == sorted([(5, text + " more"), (None, other), (6, "x"), (7, "")], key=repr)
+
+
+def test_keys(spark):
+    docs = some_documents(spark, [(None, "a"), (None, "b"), (3, "c"), (3, "c"), (4, "d"), (-2, "e")])
+    found = [(r["doc_id"], r["key"]) for r in corpus_pipeline.keyed(docs).collect()]
+    assert {k for i, k in found if i in (4, -2)} == {4, -2} and len({k for _, k in found}) == 6
+    assert all(k > 4 for i, k in found if i in (3, None))
