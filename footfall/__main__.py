@@ -56,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
         "--jdbc-url",
         default=os.environ.get("FOOTFALL_JDBC_URL"),
         help="also refresh the tables hourly_aggregations and daily_aggregations there; user and password are"
-        " taken from FOOTFALL_JDBC_USER and FOOTFALL_JDBC_PASSWORD",
+        " taken from FOOTFALL_JDBC_USER and FOOTFALL_JDBC_PASSWORD, the driver's class from FOOTFALL_JDBC_DRIVER",
     )
 
     prune = commands.add_parser("prune", help="remove the days before a date, for good")

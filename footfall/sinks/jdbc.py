@@ -96,12 +96,19 @@ def create_tables(spark: SparkSession, url: str, tables: Mapping[str, T.StructTy
     execute(spark, url, [x for table, contract in tables.items() for x in create_statements(table, contract)], **extra)
 
 
-def execute(spark: SparkSession, url: str, statements: Iterable[str], **login: str) -> None:
-    """Run statements on the driver as one transaction."""
-    properties = spark.sparkContext._jvm.java.util.Properties()
+def execute(spark: SparkSession, url: str, statements: Iterable[str], driver: str | None = None, **login: str) -> None:
+    """Run statements on the driver as one transaction. ``driver`` names the class to connect with; one
+    that came with ``--jars`` is only found like that, as it is not on the driver manager's path."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
     for name, value in login.items():
         properties.setProperty(name, value)
-    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url, properties)
+    if driver:
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        found = jvm.java.lang.Class.forName(driver, True, loader).getDeclaredConstructor().newInstance()
+        connection = found.connect(url, properties)
+    else:
+        connection = jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
         connection.setAutoCommit(False)
         for statement in statements:
@@ -115,6 +122,6 @@ def execute(spark: SparkSession, url: str, statements: Iterable[str], **login: s
 
 
 def login_from(environment: Mapping[str, str]) -> dict[str, str]:
-    """User and password, as far as the environment names them."""
-    names = {"user": "FOOTFALL_JDBC_USER", "password": "FOOTFALL_JDBC_PASSWORD"}
+    """User, password and the driver's class, as far as the environment names them."""
+    names = {"user": "FOOTFALL_JDBC_USER", "password": "FOOTFALL_JDBC_PASSWORD", "driver": "FOOTFALL_JDBC_DRIVER"}
     return {option: environment[name] for option, name in names.items() if name in environment}

@@ -205,6 +205,15 @@ def read_days(spark: SparkSession, path: str, schema: T.StructType, days: Sequen
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
+#: A lookup skips row groups that do not have its location, also where their least and greatest
+#: one enclose it. A group's filter grows with its locations, up to 128 KB.
+LOOKUP_FILTER = {
+    "parquet.bloom.filter.enabled#location": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(128 * 1024),
+}
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -231,6 +240,7 @@ def write_partitions(
         laid_out.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replace else "static")
+        .options(**(LOOKUP_FILTER if sort_by and sort_by[0] == "location" else {}))
         .partitionBy(*partition_by)
         .parquet(path)
     )

@@ -326,3 +326,31 @@ def test_jdbc_counts_do_not_wrap(hourly):
     huge = daily_totals(hourly).withColumn("total_in", F.lit(2**31).cast("bigint"))
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         jdbc.serving_columns(huge, DAILY).collect()
+
+
+def test_a_lookup_skips_row_groups_without_its_location(spark, tmp_path, monkeypatch):
+    """Locations lie between a row group's least and greatest one, but are not in it."""
+    rows = spark.range(400).selectExpr(
+        "concat('gate', lpad(2 * id, 4, '0')) AS location", "timestamp_ntz'2024-03-01 08:00:00' AS hour", "date'2024-03-01' AS date",
+        "id AS total_in", "0L AS total_out", "id AS net_flow", "id AS occupancy",
+    )
+
+    def read_rows(path: str, location: str) -> int:
+        found = tables.read_hourly(spark, path).where(F.col("location") == location)
+        assert found.count() == int(int(location[4:]) % 2 == 0)
+        plan = found._jdf.queryExecution().executedPlan()
+        found._jdf.queryExecution().toRdd().count()
+        leaf = plan.collectLeaves().head()
+        leaf = leaf.executedPlan().collectLeaves().head() if leaf.metrics().get("numOutputRows").isEmpty() else leaf
+        return leaf.metrics().get("numOutputRows").get().value()
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.write_hourly(rows, str(tmp_path / "with"))
+        monkeypatch.setattr(tables, "LOOKUP_FILTER", {})
+        tables.write_hourly(rows, str(tmp_path / "without"))
+        assert read_rows(str(tmp_path / "without"), "gate0301") > 0
+        assert read_rows(str(tmp_path / "with"), "gate0301") == 0
+        assert read_rows(str(tmp_path / "with"), "gate0300") > 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
