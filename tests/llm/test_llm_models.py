@@ -244,14 +244,55 @@ def test_base_scores(spark, make):
 def test_rare_words_are_looked_up(spark):
     docs = documents(spark, 1)
     training = lm.fold("doc_id", 5) != 1
-    whole = lm.score_texts(docs, lm.train_model(docs, training, frequent=1000))
-    few = lm.score_texts(docs, lm.train_model(docs, training, frequent=5))
+    whole, _ = lm.learn_and_score(docs, training, frequent=1000)
+    few, _ = lm.learn_and_score(docs, training, frequent=5)
     wanted = [(i, k, round(b, 6)) for i, _, _, k, _, b in slow_base([tuple(r) for r in docs.collect()])]
     for found in (whole, few):
         got = [(r[0], r[1], round(r[2], 6)) for r in rows(found, "doc_id", "n_known", "base_score")]
         assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
 
+def slow_score(text, model, train):
+    """Token by token: the class after its context, and the word in its class."""
+    vocab, net = model.vocabulary, lm.LogBilinear(model.vocabulary.classes, model.parameters)
+    own = {w: k for k, w in enumerate(vocab.words[: vocab.word_classes])}
+    endings = {e: vocab.word_classes + k for k, e in enumerate(vocab.endings)}
+    before, total = [vocab.classes, vocab.classes], 0.0
+    for word in [*(w.encode() for w in slow_tokens(text)[:-1]), lm.END]:
+        k = own.get(word, endings.get(word[-3:], vocab.classes - 1))
+        hidden = net.d[0] * net.r[before[0]] + net.d[1] * net.r[before[1]]
+        odds = np.exp(net.q @ hidden + net.b)
+        total += math.log10(odds[k] / odds.sum())
+        if k >= vocab.word_classes:
+            total += math.log10((train[word] + 0.5) / (vocab.class_tokens[k] + 0.5 * (vocab.class_types[k] + 1)))
+        before = [k, before[0]]
+    return total
+
+
+@pytest.mark.parametrize("frequent", [6, 1000])
+def test_scores_token_by_token(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "WORD_CLASSES", 8)
+    monkeypatch.setattr(lm, "ENDING_CLASSES", 5)
+    docs = documents(spark, 6)
+    found, model = lm.learn_and_score(docs, lm.fold("doc_id", 5) != 1, frequent=frequent)
+    texts = dict(tuple(r) for r in docs.collect())
+    train = Counter(w.encode() for i, t in texts.items() if fold(i, 5) != 1 for w in slow_tokens(t)[:-1])
+    train[lm.END] = sum(fold(i, 5) != 1 for i in texts)
+    for r in found.collect():
+        assert r["score"] == pytest.approx(slow_score(texts[r["doc_id"]], model, train), rel=1e-9, abs=1e-9)
+
+
+def test_held_out_texts_change_no_other_score(spark):
+    scores = []
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        texts = [(i, sentence(random.Random(i), 30) if fold(i, 5) != 1 else " ".join(f"w{rng.randint(0, 9)}x" for _ in range(200))) for i in range(80)]
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartitionByRange(2, "doc_id")
+        found = lm.score_documents(docs).where("not held_out")
+        scores.append(sorted((r["doc_id"], r["score"], r["base_score"]) for r in found.collect()))
+    assert scores[0] == scores[1]
+
+
 def test_model_beats_the_base_on_held_out_texts(spark, tables):
     found = lm.score_documents(tables[0]).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.avg(F.expr("int(score > base_score)"))).first()
     assert found[0] > found[1] and found[2] > 0.8
