@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.common import staged
+
 WINDOW = 13
 #: Patterns searched for in one pass over the documents. A block of this many is about 100 MB
 #: in a worker; larger benchmarks are searched for in several passes.
@@ -128,21 +130,35 @@ def _search(texts: DataFrame, patterns: dict[tuple[bytes, ...], set[str]]) -> Da
     )
 
 
-def _passes(benchmark: DataFrame, size: int, per_pass: int) -> Iterator[dict[tuple[bytes, ...], set[str]]]:
-    """Patterns with the ids of their items, a bounded part of the benchmark at a time."""
+def benchmark_patterns(benchmark: DataFrame, size: int) -> DataFrame:
+    """(pattern, item_ids): the different windows of the benchmark, their words parted by a blank,
+    with the ids of all items that have them."""
+
+    def run(batches):
+        for batch in batches:
+            patterns, ids = [], []
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                found = {b" ".join(p) for p in windows(words(text), size)}
+                patterns.extend(found)
+                ids.extend([item] * len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.binary()), pa.array(ids, pa.string())], ["pattern", "item_id"])
+
     texts = benchmark.where("text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")
     )
-    # A pattern starts at each word, and a text has at most a word for every two bytes.
-    size_of_all = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size_of_all // (2 * per_pass)))
+    made = texts.mapInArrow(run, "pattern binary, item_id string")
+    return made.groupBy("pattern").agg(F.collect_set("item_id").alias("item_ids"))
+
+
+def _passes(benchmark: DataFrame, size: int, per_pass: int) -> Iterator[dict[tuple[bytes, ...], set[str]]]:
+    """Patterns with the ids of their items, about ``per_pass`` at a time, whatever items they are of.
+    Only these pass through the driver."""
+    table = staged(benchmark_patterns(benchmark, size), "patterns")
+    parts = max(1, -(-table.count() // per_pass))
     for part in range(parts):
-        patterns: dict[tuple[bytes, ...], set[str]] = {}
-        for row in texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).toLocalIterator():
-            for p in windows(words(bytes(row["text"])), size):
-                patterns.setdefault(p, set()).update([row["item_id"]] if row["item_id"] is not None else [])
-        if patterns:
-            yield patterns
+        rows = table.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part).collect()
+        if rows:
+            yield {tuple(bytes(r["pattern"]).split(b" ")): set(r["item_ids"]) for r in rows}
 
 
 def find_passages(
