@@ -429,7 +429,10 @@ def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Writes ``pages`` to archives in the scratch folder and reads them back."""
-    path = f"{scratch_dir(pages.sparkSession)}/archives"
+    """Writes ``pages`` to archives in the scratch folder and reads them back: responses with
+    their payloads, revisits by their headers alone."""
+    spark = pages.sparkSession
+    path = f"{scratch_dir(spark)}/archives"
     write_archives(page_records(pages), path)
-    return read_archives(pages.sparkSession, path)
+    responses = read_archives(spark, path).where("record_type = 'response'")
+    return responses.unionByName(read_archives(spark, path, payloads="false").where("record_type = 'revisit'"))
