@@ -11,10 +11,10 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Words kept by a worker, about 200 bytes each: 60 MB.
-CACHED_WORDS = 300_000
+#: Words kept by a worker, about 200 bytes each: 24 MB.
+CACHED_WORDS = 120_000
 #: Until so many are kept, all are; later only those that come again.
-KEPT_AT_ONCE = 150_000
+KEPT_AT_ONCE = 50_000
 #: Bits that note which words were met.
 MET_BITS = 1 << 25
 #: Words joined into one call of the tokenizer.
