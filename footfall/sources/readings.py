@@ -6,6 +6,8 @@ Two layouts are read, each with one scan for all locations: plain directories,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,14 +87,17 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, root: str, *, partitioned: bool = False) -> DataFrame:
+def list_files(
+    spark: SparkSession, root: str, *, partitioned: bool = False, names: Sequence[str] | None = None
+) -> DataFrame:
     """One row per CSV file: location, file_date, file, bytes, modified and path. Comes from
-    the file listing alone, no content is read."""
+    the file listing alone, no content is read. ``names`` are the location folders to list, if
+    not all: what is listed at once is held by the driver."""
     reader = spark.read.format("binaryFile").options(**CSV_FILES)
     if partitioned:
         # Without this, the partition columns' types would follow their values.
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(_folders(spark, root))
+    files = reader.load(_folders(spark, root, names))
     name, path = F.col(FILE_NAME), F.col(FILE_PATH)
     if partitioned:
         location, filed = (_partition_value(path, c) for c in ("location", "file_date"))
@@ -169,9 +174,9 @@ def _schema(partitioned: bool) -> T.StructType:
     return T.StructType(CSV_READING.fields + PARTITION_COLUMNS) if partitioned else CSV_READING
 
 
-def _folders(spark: SparkSession, root: str) -> list[str]:
+def _folders(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> list[str]:
     """The location folders. Listing what is in them is spread over the executors."""
-    return [literal(f"{root.rstrip('/')}/{name}") for name in locations_of(spark, root)]
+    return [literal(f"{root.rstrip('/')}/{name}") for name in names or locations_of(spark, root)]
 
 
 def _tagged(raw: DataFrame, partitioned: bool) -> DataFrame:

@@ -48,7 +48,7 @@ from footfall.session import scratch_dir, sized_shuffles, together
 from footfall.sinks.publish import discard_unfinished, finish_publications
 from footfall.sinks.tables import replace_days, write_partitions
 from footfall.sources.folders import exists, make_folder, subfolders
-from footfall.sources.readings import list_files, list_locations, read_files
+from footfall.sources.readings import list_files, list_locations, locations_of, read_files
 from footfall.streaming import ledger
 from footfall.streaming.ledger import BAD_HEADER, LOADED, current_files, read_ledger
 from footfall.streaming.parts import UNDATED, fold_parts, read_parts, write_parts
@@ -61,6 +61,10 @@ logger = logging.getLogger(__name__)
 BATCH_BYTES = 1024**4
 BATCH_FILES = 50_000
 
+#: Locations whose files are listed at once.
+LOCATIONS_AT_ONCE = 500
+
+PENDING = columns("location string, file_date date, file string, bytes bigint, modified timestamp, path string, source string")
 FACTS = T.StructType(
     [
         *[HOURLY[name] for name in ("location", "hour", "total_in", "total_out")],
@@ -144,11 +148,8 @@ def run_ingest(
     run = IngestRun(out)
     open_tables(spark, out, drop_duplicates)
     path = f"{scratch_dir(spark)}/pending"
-    pending, counted = pending_files(spark, root, out, partitioned), Observation()
-    size_of = [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")]
-    pending.observe(counted, *size_of).write.parquet(path)
-    pending = spark.read.schema(pending.schema).parquet(path)
-    run.files, size = counted.get["files"], counted.get["bytes"]
+    run.files, size = write_pending(spark, root, out, path, partitioned)
+    pending = spark.read.schema(PENDING).parquet(path)
     parts = max(1, -(-size // batch_bytes), -(-run.files // batch_files))
     pending = pending.withColumn("in_batch", F.pmod(F.xxhash64("source"), F.lit(parts)))
     if gates and gates.max_age_hours is not None:
@@ -178,11 +179,18 @@ def open_tables(spark: SparkSession, out: str, drop_duplicates: bool = False) ->
     finish_merges(spark, out, drop_duplicates)
 
 
-def pending_files(spark: SparkSession, root: str, out: str, partitioned: bool = False) -> DataFrame:
-    """Files that the ledger does not have with this length and time of change."""
-    listed = list_files(spark, root, partitioned=partitioned).withColumn("source", source_of())
+def write_pending(spark: SparkSession, root: str, out: str, path: str, partitioned: bool = False) -> tuple[int, int]:
+    """Write the files that the ledger does not have with this length and time of change, and say
+    how many they are, and of how many bytes. The driver holds the listing of some locations at a time."""
     known = read_ledger(spark, out).select("source", "bytes", "modified")
-    return listed.join(known, ["source", "bytes", "modified"], "left_anti")
+    files = size = 0
+    for names in slices(locations_of(spark, root), LOCATIONS_AT_ONCE):
+        listed = list_files(spark, root, partitioned=partitioned, names=names).withColumn("source", source_of())
+        pending, counted = listed.join(known, ["source", "bytes", "modified"], "left_anti"), Observation()
+        measures = [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")]
+        pending.select(*PENDING.names).observe(counted, *measures).write.mode("append").parquet(path)
+        files, size = files + counted.get["files"], size + counted.get["bytes"]
+    return files, size
 
 
 def check_silent(spark: SparkSession, out: str, gates: Gates, locations: DataFrame, pending: DataFrame) -> None:

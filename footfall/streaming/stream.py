@@ -13,16 +13,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions.rows import columns
 from footfall.operators.rejects import BAD_TIMESTAMP
 from footfall.plans.batch import Gates
+from footfall.session import scratch_dir
 from footfall.sources.folders import exists, make_folder
-from footfall.sources.readings import read_files
+from footfall.sources.readings import list_locations, read_files
 from footfall.streaming import ingest
 
-ARRIVAL = columns(
-    "location string, file_date date, file string, bytes bigint, modified timestamp, path string, source string"
-)
 #: Files of arrivals, and so of readings, in one micro-batch.
 FILES_PER_ARRIVAL = 10_000
 
@@ -30,11 +27,10 @@ FILES_PER_ARRIVAL = 10_000
 def note_arrivals(spark: SparkSession, root: str, out: str, partitioned: bool = False, files_at_once: int = FILES_PER_ARRIVAL) -> int:
     """Append the files that neither the ledger nor the arrivals have like this; says how many."""
     make_folder(spark, f"{out}/arrivals")
-    arrived = spark.read.schema(ARRIVAL).parquet(f"{out}/arrivals").select("source", "bytes", "modified")
-    pending = ingest.pending_files(spark, root, out, partitioned).join(arrived, ["source", "bytes", "modified"], "left_anti")
-    path = f"{ingest.scratch_dir(spark)}/arrivals"
-    pending.select(*ARRIVAL.names).write.parquet(path)
-    pending = spark.read.schema(ARRIVAL).parquet(path)
+    path = f"{scratch_dir(spark)}/arrivals"
+    ingest.write_pending(spark, root, out, path, partitioned)
+    arrived = spark.read.schema(ingest.PENDING).parquet(f"{out}/arrivals").select("source", "bytes", "modified")
+    pending = spark.read.schema(ingest.PENDING).parquet(path).join(arrived, ["source", "bytes", "modified"], "left_anti")
     files = pending.count()
     if files:
         parts = -(-files // files_at_once)
@@ -63,19 +59,24 @@ def stream_ingest(
         raise ValueError(f"{out} was loaded without a stream")
     ingest.open_tables(spark, out, drop_duplicates)
     files = note_arrivals(spark, root, out, partitioned, files_at_once)
+    if gates and gates.max_age_hours is not None:
+        waiting = spark.read.schema(ingest.PENDING).parquet(f"{out}/arrivals")
+        loaded = ingest.read_ledger(spark, out).select("source", "bytes", "modified")
+        waiting = waiting.join(loaded, ["source", "bytes", "modified"], "left_anti").select("location")
+        ingest.check_silent(spark, out, gates, list_locations(spark, root), waiting)
 
     def load(arrived: DataFrame, number: int) -> None:
         # The same file twice, if it changed between two looks: only its last state can be read.
-        latest = arrived.groupBy("source").agg(F.max_by(F.struct(*ARRIVAL.names), "modified").alias("a")).select("a.*")
-        path = f"{ingest.scratch_dir(spark)}/arrived"
+        latest = arrived.groupBy("source").agg(F.max_by(F.struct(*ingest.PENDING.names), "modified").alias("a")).select("a.*")
+        path = f"{scratch_dir(spark)}/arrived"
         latest.write.parquet(path)
-        latest = spark.read.schema(ARRIVAL).parquet(path)
+        latest = spark.read.schema(ingest.PENDING).parquet(path)
         paths = [row.path for row in latest.select("path").collect()]  # of a micro-batch
         if paths:
             readings = read_files(spark, root, paths, partitioned=partitioned)
             ingest.load_batch(readings, number, out, options=options, files=latest)
 
-    arrivals = spark.readStream.schema(ARRIVAL).option("maxFilesPerTrigger", 1).parquet(f"{out}/arrivals")
+    arrivals = spark.readStream.schema(ingest.PENDING).option("maxFilesPerTrigger", 1).parquet(f"{out}/arrivals")
     query = (
         arrivals.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)

@@ -331,6 +331,8 @@ def test_stream(spark, tree, tmp_path, monkeypatch):
     assert (stream_ingest(spark, root, out), stream_ingest(spark, root, out)) == (1, 0)
     assert read_hourly(spark, f"{out}/hourly").where("total_in = 100").count() == 1
     assert ledger.current_files(spark, out).count() == len(fx.FILES)
+    with pytest.raises(QualityGateError, match="max_age"):
+        stream_ingest(spark, root, out, gates=Gates(max_age_hours=1, as_of=dt.datetime(2024, 5, 1)))
     with pytest.raises(ValueError, match="without a stream"):
         stream_ingest(spark, root, str(_loaded(spark, root, tmp_path)))
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import os
+import types
 
 import fixture_rows as fx
 import pytest
@@ -250,8 +251,9 @@ def test_jdbc_statements():
     assert jdbc.login_from({"FOOTFALL_JDBC_USER": "me", "HOME": "/"}) == {"user": "me"}
 
 
+@pytest.mark.parametrize("driver", [{}, {"driver": "some.Driver"}])
 @pytest.mark.parametrize("fails", [False, True])
-def test_jdbc_statements_run_as_one_transaction(fails):
+def test_jdbc_statements_run_as_one_transaction(fails, driver):
     """Stands in for the driver's connection."""
     done = []
 
@@ -264,6 +266,10 @@ def test_jdbc_statements_run_as_one_transaction(fails):
             if fails and statement == "two":
                 raise RuntimeError("no")
 
+    class Driver:
+        getDeclaredConstructor = classmethod(lambda cls: types.SimpleNamespace(newInstance=cls))
+        connect = staticmethod(lambda url, properties: Connection())
+
     class Spark:
         class sparkContext:
             class _jvm:
@@ -275,8 +281,16 @@ def test_jdbc_statements_run_as_one_transaction(fails):
                         class DriverManager:
                             getConnection = staticmethod(lambda url, properties: Connection())
 
+                    class lang:
+                        class Thread:
+                            currentThread = staticmethod(lambda: types.SimpleNamespace(getContextClassLoader=lambda: "loader"))
+
+                        class Class:
+                            forName = staticmethod(lambda *args: done.append(args) or Driver)
+
     with pytest.raises(RuntimeError) if fails else contextlib.nullcontext():
-        jdbc.execute(Spark, "jdbc:x", ["one", "two", "three"], user="me")
+        jdbc.execute(Spark, "jdbc:x", ["one", "two", "three"], user="me", **driver)
+    assert (("some.Driver", True, "loader") in done) == bool(driver)
     names = [d if isinstance(d, str) else d[0] for d in done]
     assert ("setProperty", "user", "me") in done and ("setAutoCommit", False) in done
     assert names[-2:] == (["rollback", "close"] if fails else ["commit", "close"])
