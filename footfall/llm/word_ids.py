@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import gc
 import os
-from collections.abc import Iterable
+import re
 
 import numpy as np
 
-#: Words kept by a worker, about 200 bytes each: 24 MB.
-CACHED_WORDS = 120_000
+#: Words kept by a worker, about 200 bytes each: 40 MB.
+CACHED_WORDS = 200_000
 #: Until so many are kept, all are; later only those that come again.
 KEPT_AT_ONCE = 50_000
 #: Bits that note which words were met.
@@ -20,19 +20,17 @@ MET_BITS = 1 << 25
 #: Words joined into one call of the tokenizer.
 WORDS_PER_CALL = 4_096
 
+#: Latin letters that normal forms turn into nothing else, and lower-casing into one other, then
 #: ASCII marks but the apostrophe: after letters they are a run of their own.
-_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
-
-_workers: dict[str, WordIds] = {}
+_LETTERS = rb"[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|\xC4[\x80-\xAF\xB1-\xBF]|[\xC5-\xC8][\x80-\xBF]|\xC9[\x80-\x8F]"
+_MARKS = re.escape(bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"))
+_WORD = re.compile(b"((?:" + _LETTERS + b")+)([" + _MARKS + b"]*)")
 
+#: What byte-level tokenizers write for a byte; blanks stay.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {0x20: 0x20}
 
-def _latin(stem: bytes) -> bool:
-    """Latin letters that neither normal forms nor lower-casing turn into anything else."""
-    try:
-        letters = stem.decode()
-    except UnicodeDecodeError:
-        return False
-    return letters.isalpha() and max(letters) < "ɐ" and "İ" not in letters
+_workers: dict[str, WordIds] = {}
 
 
 def worker_ids(path: str) -> WordIds:
@@ -45,9 +43,12 @@ def worker_ids(path: str) -> WordIds:
 class WordIds:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for runs of letters: there is nothing to normalise or to cut but at blanks.
+        self.runs = Tokenizer(self.tokenizer.model)
+        self.runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -58,13 +59,16 @@ class WordIds:
     def _one(self, word: str) -> bytes:
         return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _letters(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words of letters only: each is one run for the tokenizer, whose last id
         alone carries the mark of a word's end, so many words go through one call."""
-        found = {}
+        found, words = {}, sorted(words, key=bytes.isascii)
         for at in range(0, len(words), WORDS_PER_CALL):
             part = words[at : at + WORDS_PER_CALL]
-            (encoded,) = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            text = b" ".join(part).decode().lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(_BYTES)
+            (encoded,) = self.runs.encode_batch_fast([text], add_special_tokens=False)
             ids = np.asarray(encoded.ids, "<u4")
             ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
             if len(ends) != len(part):
@@ -81,22 +85,25 @@ class WordIds:
         np.bitwise_or.at(self.met, at, bit)
         return before
 
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not known, and of stems found in them."""
-        plain = [word for word in words if word.isalpha()]
+        plain: list[bytes] = []
         marked: list[tuple[bytes, bytes, bytes]] = []
         odd: list[bytes] = []
         for word in words:
-            if not word.isalpha():
-                stem = word.rstrip(_MARKS)
-                if stem.isalpha():
-                    marked.append((word, stem, word[len(stem) :]))
-                elif stem and _latin(stem):
-                    marked.append((word, stem.decode().lower().encode(), word[len(stem) :]))
-                else:
-                    odd.append(word)
+            match = _WORD.fullmatch(word)
+            if not match:
+                odd.append(word)
+                continue
+            stem, marks = match.groups()
+            if not stem.isascii():
+                stem = stem.decode().lower().encode()
+            if marks or stem != word:
+                marked.append((word, stem, marks))
+            else:
+                plain.append(word)
         known = self.known
-        found = self._letters([*{*plain, *(stem for _, stem, _ in marked if stem not in known)}])
+        found = self._letters({*plain, *(stem for _, stem, _ in marked if stem not in known)})
         for word, stem, marks in marked:
             ids = found[stem] if stem in found else known[stem]
             found[word] = ids + self._marks(marks) if marks else ids
@@ -138,7 +145,7 @@ class WordIds:
         # Lower-casing first makes fewer words; a special token's name must stay as it is.
         lists = [(text if b"<|" in text else text.lower()).split() for text in texts]
         known = self.known
-        found = self._new([word for word in set().union(*lists) if word not in known])
+        found = self._new(set().union(*lists).difference(known))
         known.update(found)
         ids = [b"".join(map(known.__getitem__, words)) for words in lists]
         self._forget(found)

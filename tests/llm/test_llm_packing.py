@@ -57,6 +57,15 @@ def test_a_full_cache_changes_nothing(monkeypatch):
     assert small.encode([t.encode() for t in everything]) == [plain_ids(t) for t in everything]
 
 
+def test_runs_of_latin_letters_go_to_the_model_alone():
+    """Normalising and cutting them cost more than the model itself."""
+    coder = WordIds(TOKENIZER)
+    letters = [chr(c) for c in range(0xC0, 0x250) if chr(c) not in "×÷İ"]
+    asked = [*"abcxyz", "Hello", "ÉTÉ", *letters, *(a + "n" + b for a, b in zip(letters, reversed(letters)))]
+    coder.tokenizer = None
+    assert coder.encode([w.encode() for w in asked]) == [plain_ids(w) for w in asked]
+
+
 def check_plan(counts, plan, size):
     made = np.zeros(size + 1, np.int64)
     for contents, n in plan:
