@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import staged
+from footfall.llm.common import lean, staged
 
 WINDOW = 13
 #: Patterns searched for in one pass over the documents. A block of this many is about 100 MB
@@ -93,6 +93,7 @@ def _search(texts: DataFrame, patterns: dict[tuple[bytes, ...], set[str]]) -> Da
     broadcast, whose size PATTERNS_PER_PASS bounds."""
     shared = texts.sparkSession.sparkContext.broadcast(patterns)
 
+    @lean
     def run(batches):
         items = shared.value
         by_length: dict[int, list] = {}
@@ -134,6 +135,7 @@ def benchmark_patterns(benchmark: DataFrame, size: int) -> DataFrame:
     """(pattern, item_ids): the different windows of the benchmark, their words parted by a blank,
     with the ids of all items that have them."""
 
+    @lean
     def run(batches):
         for batch in batches:
             patterns, ids = [], []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.bloom import split_by
-from footfall.llm.common import staged
+from footfall.llm.common import TEXT_BYTES, give_back, lean, staged
 from footfall.llm.components import components
 from footfall.llm.shingles import shingle_set, word_hashes
 
@@ -72,6 +72,7 @@ def _shingled(docs: DataFrame, size: int, num: int, den: int, whole: bool) -> Da
     """doc_id, text_hash, key (of the words), tag (its first 8 bytes), n_shingles and hashes:
     the long prefix, or the whole set."""
 
+    @lean
     def run(batches):
         for batch in batches:
             keys, counts, hashes = [], [], []
@@ -136,6 +137,7 @@ def _matches(rows: DataFrame, buckets: int) -> DataFrame:
     A batch sends at most two texts of a shingle that several of its texts hold, as witnesses:
     a shingle of a third of all texts is two entries a batch."""
 
+    @lean
     def spread(batches):
         for batch in batches:
             lengths = np.array([len(x.as_buffer()) // 8 for x in batch["hashes"]], np.int64)
@@ -161,6 +163,7 @@ def _matches(rows: DataFrame, buckets: int) -> DataFrame:
         return ids, np.bincount(places, n, len(ids)).astype(np.int64)
 
     def count(group: pa.Table) -> pa.Table:
+        give_back()
         hashes, tags, told = (_joined(group[c], k) for c, k in (("hashes", np.uint64), ("tags", np.int64), ("told", np.uint8)))
         order = np.lexsort((-told.astype(np.int8), tags, hashes))
         hashes, tags, told = hashes[order], tags[order], told[order]
@@ -201,6 +204,7 @@ def _rarest(whole: DataFrame, blocks: int, num: int, den: int) -> DataFrame:
         return pa.table({"block": block, "bucket": numbers, "hashes": hash_blobs, "n": text_blobs})
 
     def count(group: pa.Table) -> pa.Table:
+        give_back()
         hashes, n = _joined(group["hashes"], np.uint64), _joined(group["n"], np.int64)
         _, places = np.unique(hashes, return_inverse=True)
         n = np.bincount(places, n)[places].astype(np.int64) if len(places) else n
@@ -209,6 +213,7 @@ def _rarest(whole: DataFrame, blocks: int, num: int, den: int) -> DataFrame:
         return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(parts, pa.binary())})
 
     def order(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        give_back()
         hashes, _, bucket = distinct(texts)
         held = np.empty(len(hashes), np.int64)
         by_bucket = np.argsort(bucket, kind="stable")
@@ -248,6 +253,7 @@ class _Forest:
 def _candidate_edges(texts: DataFrame, buckets: int) -> DataFrame:
     """(a, b) of tags: a forest whose trees hold all texts that share a shingle of ``prefix``."""
 
+    @lean
     def spread(batches):
         for batch in batches:
             lengths = np.array([len(x.as_buffer()) // 8 for x in batch["prefix"]], np.int64)
@@ -264,6 +270,7 @@ def _candidate_edges(texts: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([numbers, hash_blobs, tag_blobs, tied], ["bucket", "hashes", "tags", "tied"])
 
     def forest(group: pa.Table) -> pa.Table:
+        give_back()
         hashes, tags, starts, runs = _by_hash(_joined(group["hashes"], np.uint64), _joined(group["tags"], np.int64))
         held = np.repeat(tags[starts], runs)
         other = tags != held
@@ -332,6 +339,7 @@ def _links(texts: DataFrame, blocks: DataFrame, num: int, den: int) -> DataFrame
     """(a, b) of keys: a forest of the links among texts of the same candidate component."""
 
     def product(group: pa.Table) -> pa.Table:
+        give_back()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["hashes"]]
         side = group["block"].to_numpy()
         pairs = list(block_links(sets, side, num, den))
@@ -353,7 +361,7 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
     """One row per row of ``docs`` (of which doc_id and text are read): doc_id, n_shingles and
     component_id, the smallest doc_id reachable by links."""
     num, den = similarity
-    sets = staged(_shingled(_hashed(docs), size, num, den, whole=False), "sets")
+    sets = staged(_shingled(_hashed(docs), size, num, den, whole=False), "sets", batch_bytes=TEXT_BYTES)
 
     in_all = sets.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
     n = F.col("n_shingles")
@@ -371,7 +379,7 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
     maybe, _ = split_by(_hashed(docs), F.col("text_hash"), near, "near_hash")
     whole = _shingled(maybe.join(near, same_row, "left_semi"), size, num, den, whole=True)
     whole = whole.select("key", "tag", "n_shingles", "hashes")
-    whole = staged(whole.dropDuplicates(["key"]), "whole")
+    whole = staged(whole.dropDuplicates(["key"]), "whole", batch_bytes=TEXT_BYTES)
 
     left = whole.agg(F.sum("n_shingles")).first()[0] or 0
     whole = staged(_rarest(whole, 1 + left // BUCKET, num, den), "rarest")

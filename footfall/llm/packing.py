@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import staged
+from footfall.llm.common import TEXT_BYTES, lean, staged
 from footfall.llm.word_ids import worker_ids
 
 SEQUENCE = 2048
@@ -41,6 +41,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_i
     was made: its task, and its number among the task's pieces of the same length."""
     end = np.uint32(end_id).astype("<u4").tobytes()
 
+    @lean
     def run(batches):
         coder = worker_ids(tokenizer)
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
@@ -223,6 +224,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     kept = [c for c in pieces.columns if c not in ("task", "nth")]
     numbered = pieces.join(first, ["length", "task"]).select(*kept, (F.col("first") + F.col("nth")).alias("number"))
 
+    @lean
     def run(batches):
         table = places.value
         for batch in batches:
@@ -242,4 +244,4 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
 def stage_pieces(pieces: DataFrame) -> DataFrame:
     """Pieces are tokenized once: both the histogram and the placing read this table."""
-    return staged(pieces, "pieces")
+    return staged(pieces, "pieces", batch_bytes=TEXT_BYTES)

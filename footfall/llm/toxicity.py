@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.bloom import split_by
-from footfall.llm.common import staged
+from footfall.llm.common import TEXT_BYTES, lean, staged
 from footfall.llm.labelled import class_sample, fold, known_labels
 from footfall.llm.transducers import ANY, Transducer, compose
 
@@ -182,19 +182,24 @@ def _text_words(text: pa.Scalar) -> set[str]:
 def prefix_counts(taught: DataFrame) -> DataFrame:
     """(prefix, toxic, clean): texts of each class of ``taught`` (text, y) that have a beginning."""
 
+    @lean
     def run(batches):
+        counts: tuple[Counter, Counter] = Counter(), Counter()
+
+        def counted():
+            for y, held in enumerate(counts):
+                n, none = pa.array(held.values(), pa.int64()), pa.array(np.zeros(len(held), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(held), pa.string()), *((n, none) if y else (none, n))], ["prefix", "toxic", "clean"]
+                )
+                held.clear()
+
         for batch in batches:
-            counts: tuple[Counter, Counter] = Counter(), Counter()
-            last = batch.num_rows - 1
-            for row, (text, y) in enumerate(zip(batch["text"], batch["y"].to_pylist())):
+            for text, y in zip(batch["text"], batch["y"].to_pylist()):
                 counts[y].update(_prefixes(_text_words(text)))
-                if row == last or len(counts[0]) + len(counts[1]) > COUNTED:
-                    for y, held in enumerate(counts):
-                        n, none = pa.array(held.values(), pa.int64()), pa.array(np.zeros(len(held), np.int64))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(list(held), pa.string()), *((n, none) if y else (none, n))], ["prefix", "toxic", "clean"]
-                        )
-                        held.clear()
+                if len(counts[0]) + len(counts[1]) > COUNTED:
+                    yield from counted()
+        yield from counted()
 
     counts = taught.select("text", "y").mapInArrow(run, "prefix string, toxic long, clean long")
     return counts.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -288,6 +293,7 @@ def _clause_features(docs: DataFrame, lexicon: dict[str, tuple[str, float]], kee
     """The columns to keep, and the features of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most CANDIDATES entries
 
+    @lean
     def run(batches):
         words, grammar = Lexicon(shared.value), clause_grammar()
         for batch in batches:
@@ -326,7 +332,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     if sizes.get(1):
         texts = sizes.get(0, 0), sizes[1]
         written = [p for p, (s, _) in lexicon.items() if s in (INSULT, THREAT)]
-        toxic, clean, tested = candidate_counts(staged(prefix_counts(taught), "prefixes"), texts, written)
+        toxic, clean, tested = candidate_counts(staged(prefix_counts(taught), "prefixes", batch_bytes=TEXT_BYTES), texts, written)
         # What labels show to be harmless, or do not show to be harmful though common, is not used.
         for p in written:
             if clean.get(p, 0) >= 5 and toxic.get(p, 0) < MIN_PRECISION * (toxic.get(p, 0) + clean.get(p, 0)):

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from awkward import documents, empty, odd_documents, texts
 from hypothesis import given, settings
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import word_ids
+from footfall.llm.common import TEXT_BYTES, lean
 from footfall.llm.packing import best_fit, exact_patterns, fitted_plan, fitted_repeats, pack, pack_plan, place_table, stage_pieces, tokenize_pieces
 from footfall.llm.queries import TOKENIZER, packed_pieces
 from footfall.llm.word_ids import WordIds
@@ -66,6 +68,36 @@ def test_runs_of_latin_letters_go_to_the_model_alone():
     assert coder.encode([w.encode() for w in asked]) == [plain_ids(w) for w in asked]
 
 
+def test_texts_are_handed_on_by_bytes(spark):
+    """2,000 texts of 20 KB are not one batch."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["bytes"])
+
+    docs = spark.range(0, 2_000, 1, 1).select(F.repeat(F.lit("abcd "), 4_000).alias("text"))
+    assert stage_pieces(docs.mapInArrow(sizes, "bytes long")).agg(F.max("bytes")).first()[0] < 2 * TEXT_BYTES
+
+
+def test_a_task_gives_back_what_it_has_freed():
+    def held() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) // 1024
+
+    pinned = []
+
+    @lean
+    def run(batches):
+        blocks = [bytes(60_000) for _ in range(3_000)]
+        pinned.append(bytes(60_000))  # on top of the others, so the C library keeps them
+        del blocks
+        yield from batches
+
+    before = held()
+    assert list(run([1, 2])) == [1, 2]
+    assert held() < before + 60
+
+
 def check_plan(counts, plan, size):
     made = np.zeros(size + 1, np.int64)
     for contents, n in plan:
