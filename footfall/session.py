@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -35,22 +36,49 @@ DEFAULT_CONF = {
 ROWS_PER_SHUFFLE_PARTITION = 4_000_000
 
 
+# Stored and shuffled readings are packed to ten or thirty bytes, and take up to 850 in a task that
+# sorts or groups them; lines of text take more themselves. What a task gets would grow with the
+# input up to the session's 128 or 256 MB, that is several GB.
+SCANNED_BYTES = SHUFFLED_BYTES = 8 << 20
+SCANNED_TEXT_BYTES = 32 << 20
+
+
 def shuffle_partitions(rows: int, configured: int) -> int:
     """Shuffle partitions for a number of rows, never fewer than configured. AQE only
     merges partitions, so the number has to be large enough before the job."""
     return max(configured, -(-rows // ROWS_PER_SHUFFLE_PARTITION))
 
 
+def size_in_bytes(text: str) -> int:
+    """Of a setting: a number of bytes, or one with a unit as Spark writes it."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 @contextmanager
-def sized_shuffles(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs started inside shuffle into enough partitions for ``rows`` readings."""
-    key = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(key)
-    spark.conf.set(key, str(shuffle_partitions(rows, int(configured))))
+def _set(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, configured)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def bounded_tasks(spark: SparkSession, scanned: int = SCANNED_BYTES, **others: str):
+    """Jobs started inside give no task more than so much to scan, nor more than
+    ``SHUFFLED_BYTES`` of a shuffle that can be split; settings below that stay."""
+    bounds = {"spark.sql.files.maxPartitionBytes": scanned, "spark.sql.adaptive.advisoryPartitionSizeInBytes": SHUFFLED_BYTES}
+    lower = {key: str(bound) for key, bound in bounds.items() if size_in_bytes(spark.conf.get(key)) > bound}
+    return _set(spark, {**lower, **others})
+
+
+def sized_shuffles(spark: SparkSession, rows: int):
+    """Jobs started inside shuffle into enough partitions for ``rows`` readings, in bounded tasks."""
+    key = "spark.sql.shuffle.partitions"
+    return bounded_tasks(spark, **{key: str(shuffle_partitions(rows, int(spark.conf.get(key))))})
 
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> list:

@@ -44,7 +44,7 @@ from footfall.operators.profiling import combined_profile, daily_profile, profil
 from footfall.operators.rejects import BAD_TIMESTAMP, EXPIRED, flag_readings, is_rejected, rejection_rate
 from footfall.operators.totals import hourly_facts, valid_hours, with_net_flow, with_occupancy
 from footfall.plans.batch import PROFILED, STAGES, Gates, log_alerts, log_misfiled, log_profile
-from footfall.session import scratch_dir, sized_shuffles, together
+from footfall.session import SCANNED_TEXT_BYTES, bounded_tasks, scratch_dir, sized_shuffles, together
 from footfall.sinks.publish import discard_unfinished, finish_publications
 from footfall.sinks.tables import replace_days, write_partitions
 from footfall.sources.folders import exists, make_folder, subfolders
@@ -241,7 +241,8 @@ def load_batch(
         *[F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STAGED.fields[:-4]],
         F.col("reject_reasons"), source_of().alias("source"), number.alias("batch_id"), status.alias("status"),
     )
-    rows = write_partitions(flagged, f"{out}/readings", ("batch_id", "status"), replace=True, rebalance=False)
+    with bounded_tasks(spark, SCANNED_TEXT_BYTES):
+        rows = write_partitions(flagged, f"{out}/readings", ("batch_id", "status"), replace=True, rebalance=False)
     staged = _staged(spark, out, batch_id, rows)
     bad = None
     if files is not None and "header" in batch.columns:

@@ -13,7 +13,7 @@ from footfall.operators import lookups, profiling
 from footfall.operators.dates import readings_of_dates
 from footfall.operators.rejects import flag_with_duplicates
 from footfall.plans.registry import QUERIES
-from footfall.session import scratch_dir, shuffle_partitions, sized_shuffles
+from footfall.session import SCANNED_BYTES, scratch_dir, shuffle_partitions, size_in_bytes, sized_shuffles
 from footfall.sources.events import event_readings
 from footfall.sources.readings import read_readings
 
@@ -122,3 +122,16 @@ def test_shuffle_partitions_grow_with_the_rows(spark):
         assert spark.conf.get(key) == "250"
         raise ZeroDivisionError
     assert spark.conf.get(key) == before
+
+
+def test_tasks_stay_small_whatever_the_input(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    spark.conf.set(keys[0], "1g")
+    spark.conf.set(keys[1], "16k")
+    with sized_shuffles(spark, 10**9):
+        assert [size_in_bytes(spark.conf.get(key)) for key in keys] == [SCANNED_BYTES, 16 << 10]
+    assert [spark.conf.get(key) for key in keys] == ["1g", "16k"]
+    for key, value in zip(keys, before):
+        spark.conf.set(key, value)
+    assert [size_in_bytes(x) for x in ("134217728b", "64MB", "5", "2k")] == [1 << 27, 1 << 26, 5, 2048]
